@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from .line_dedup import OP3_SQL, op3_line_dedup
 from .sharding import op8_sharding
+from .warc import op10_warc
 
-QUERIES: dict[str, Callable] = {"op8_sharding": op8_sharding}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Callable] = {
+    "op3_line_dedup": op3_line_dedup,
+    "op8_sharding": op8_sharding,
+    "op10_warc": op10_warc,
+}
+ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL}
