@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from .language_id import op7_language_id
 from .line_dedup import OP3_SQL, op3_line_dedup
+from .packing import op5_packing
+from .quality_rules import op9_quality_rules
 from .sharding import op8_sharding
 from .warc import op10_warc
 
 QUERIES: dict[str, Callable] = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_packing": op5_packing,
+    "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
+    "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
 }
 ORACLES: dict[str, str] = {"op3_line_dedup": OP3_SQL}
