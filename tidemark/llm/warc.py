@@ -204,14 +204,23 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     return rows.mapInArrow(_writer(folder), "file string, records long")
 
 
+#: Tasks that the files of one pass are dealt to at most.
+MOST_TASKS = 50_000
+
+
+def _one_each(files: DataFrame) -> DataFrame:
+    """About one file per task; a count of tasks that is given isn't merged again because the rows are small."""
+    return files.select("file").repartition(max(1, min(files.count(), MOST_TASKS)))
+
+
 def normalise_archives(files: DataFrame, folder: str) -> DataFrame:
     """Inflate each listed file once and write it again with a member per record and a sidecar index."""
-    return files.select("file").repartition(F.col("file")).mapInArrow(_normaliser(folder), "file string, records long")
+    return _one_each(files).mapInArrow(_normaliser(folder), "file string, records long")
 
 
 def read_archives(files: DataFrame) -> DataFrame:
     """A row for each record of the listed files, read member by member at the places of the sidecar."""
-    return files.select("file").repartition(F.col("file")).mapInArrow(
+    return _one_each(files).mapInArrow(
         _reader, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
 
