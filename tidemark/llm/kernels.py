@@ -186,3 +186,26 @@ def cover(starts: np.ndarray, size: int, n: int) -> np.ndarray:
 
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
+
+
+def windows(w: Words, size: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Like grams(), by prefix sums: the cost doesn't follow the size."""
+    n = len(w.hash)
+    if n < size:
+        return np.zeros(0, _U), np.zeros(0, np.int64)
+    at = np.flatnonzero(w.text[: n - size + 1] == w.text[size - 1 :])
+    values = w.hash if seed == 0 else mix(w.hash + _U(seed))
+    with np.errstate(over="ignore"):
+        total = np.zeros(n + 1, _U)
+        np.cumsum(values * _table("power", n)[:n], out=total[1:])
+        return mix((total[at + size] - total[at]) * _table("inverse", n)[at] + _U(size)), at
+
+
+def sliding_max(x: np.ndarray, width: int) -> np.ndarray:
+    """Maximum of every width consecutive values, by doubling."""
+    size = 1
+    while size * 2 <= width:
+        x = np.maximum(x[:-size], x[size:])
+        size *= 2
+    rest = width - size
+    return np.maximum(x[: len(x) - rest], x[rest:]) if rest else x

@@ -9,10 +9,12 @@ from .line_dedup import OP3_SQL, op3_line_dedup
 from .packing import op5_packing
 from .quality_rules import op9_quality_rules
 from .sharding import op8_sharding
+from .substring_dedup import op4_substring_dedup
 from .warc import op10_warc
 
 QUERIES: dict[str, Callable] = {
     "op3_line_dedup": op3_line_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
     "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,3 +49,17 @@ class Workspace:
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns alone, so that other columns can't clash with the operator's own."""
     return df.select(*[df[c] for c in columns])
+
+
+def with_row_key(df: DataFrame, id_col: str, ws: Workspace) -> DataFrame:
+    """Add _row, a number that no two rows share: the id where ids are whole numbers, distinct and not null.
+
+    Else the table is written once with numbers of its own, so that every later pass sees the same ones.
+    """
+    if dict(df.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
+        counts = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.max("n"), F.max(F.col(id_col).isNull().cast("int"))
+        ).first()
+        if counts[0] is None or (counts[0] == 1 and counts[1] == 0):
+            return df.withColumn("_row", F.col(id_col).cast("long"))
+    return ws.save(df.withColumn("_row", F.monotonically_increasing_id()), "keyed")
