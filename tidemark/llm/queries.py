@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from .language_id import op7_language_id
 from .line_dedup import OP3_SQL, op3_line_dedup
+from .near_dedup import op2_near_dedup
 from .packing import op5_packing
 from .quality_rules import op9_quality_rules
 from .sharding import op8_sharding
@@ -13,6 +14,7 @@ from .substring_dedup import op4_substring_dedup
 from .warc import op10_warc
 
 QUERIES: dict[str, Callable] = {
+    "op2_near_dedup": op2_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
