@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from .decontamination import op1_decontamination
 from .language_id import op7_language_id
 from .line_dedup import OP3_SQL, op3_line_dedup
 from .near_dedup import op2_near_dedup
 from .packing import op5_packing
+from .quality_classifier import op6_quality_classifier
 from .quality_rules import op9_quality_rules
 from .sharding import op8_sharding
 from .substring_dedup import op4_substring_dedup
 from .warc import op10_warc
 
 QUERIES: dict[str, Callable] = {
+    "op1_decontamination": op1_decontamination,
     "op2_near_dedup": op2_near_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_packing": op5_packing,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
     "op9_quality_rules": op9_quality_rules,
