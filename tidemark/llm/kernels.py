@@ -122,14 +122,16 @@ class Words:
     first: np.ndarray  # number of each text's first word
 
 
-def words(part: Slice, classes: np.ndarray = WORD_CLASS, lower: bool = False) -> Words:
-    """Maximal runs of bytes of one class other than 0, none of which crosses the end of a text."""
+def words(part: Slice, classes: np.ndarray = WORD_CLASS, lower: bool = False, cuts: np.ndarray | None = None) -> Words:
+    """Maximal runs of bytes of one class other than 0, none of which crosses the end of a text or a place in cuts."""
     data, offsets = part.data, part.offsets
     n = len(data)
     kind = classes[data]
     edge = np.ones(n + 1, bool)
     edge[1:n] = kind[1:] != kind[:-1]
     edge[offsets] = True
+    if cuts is not None:
+        edge[:n] |= cuts
     at = np.flatnonzero(edge[:n])
     if n:
         used = kind[at] > 0

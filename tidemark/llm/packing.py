@@ -8,6 +8,7 @@ increases the sum of squared fills, until bins empty. Bins that stay underfull g
 from __future__ import annotations
 
 import bisect
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .workspace import Workspace, only
 
 LENGTH = 4096
@@ -24,61 +26,123 @@ END_ID = 1
 GROUP = 3000
 #: Bins with more room than this go to the second round.
 ROOM = 16
-#: Words whose tokens a worker keeps.
-MOST_WORDS = 300_000
+#: Words whose tokens a worker keeps, about 40 bytes each.
+MOST_WORDS = 1_500_000
 VOCABULARY = "word_bpe_49k.json"
 
 
+_DIGIT, _OTHER = 3, 2
+#: Classes of bytes in plain texts: 0 white space, 1 letters, 2 others, 3 digits.
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_CLASS[48:58] = _DIGIT
+#: Lower case of A-Z, and of the second bytes of the capitals from U+00C0 on.
+_SMALL = np.arange(256, dtype=np.uint8)
+_SMALL[65:91] += 32
+_SMALL[0x80:0x9F] += 32
+#: Leading bytes other than 0xC3 and the apostrophe, which takes part in contractions, make a text not plain.
+_STRANGE = np.zeros(256, bool)
+_STRANGE[[ord("'"), 0xC2, *range(0xC4, 0x100)]] = True
+
+
+def plain_texts(part: K.Slice) -> np.ndarray:
+    """Which texts hold only ASCII and letters of U+00C0 to U+00FF, and no apostrophe.
+
+    The vocabulary's rules part such a text into runs of letters, single digits and runs of other characters, all of
+    them on their own; normalising is lower case alone.
+    """
+    data = part.data
+    bad = _STRANGE[data]
+    # U+00D7 and U+00F7 aren't letters
+    sign = np.zeros(len(data), bool)
+    sign[1:] = (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+    total = np.concatenate([[0], np.cumsum(bad | sign)])
+    return total[part.offsets[1:]] == total[part.offsets[:-1]]
+
+
 class WordTokens:
-    """Tokens of texts by their space-separated parts.
+    """Tokens of texts, with the tokens of words kept from earlier texts.
 
-    The vocabulary's own rules never join characters across white space, so parts can be encoded one by one and their
-    tokens kept; part by part the library does all normalising and merging.
+    Words of plain texts are looked up by hash; only new ones go through the tokenizer. All other texts go through it
+    whole.
     """
 
     def __init__(self, path: str, most: int = MOST_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.starts, self.lengths, self.ids = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
-        self.used = 0
-
-    def _learn(self, new: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        ids = np.fromiter((i for e in encoded for i in e), np.uint32, int(lengths.sum()))
-        n = len(self.known)
-        while n + len(new) > len(self.starts):
-            self.starts, self.lengths = np.append(self.starts, np.zeros_like(self.starts)), np.append(self.lengths, np.zeros_like(self.lengths))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.append(self.ids, np.zeros_like(self.ids))
-        self.starts[n : n + len(new)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[n : n + len(new)] = lengths
+        self.hash, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.starts, self.lengths, self.ids = (np.zeros(1024, t) for t in (np.int64, np.int32, np.uint32))
+        self.n = self.used = 0
+
+    def _tokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and how many each has."""
+        joined = [" ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
+        at = np.flatnonzero(self.ends[ids])
+        if len(at) == len(words) and at[-1] == len(ids) - 1:
+            return ids, np.diff(np.r_[-1, at])
+        each = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return np.array([i for e in each for i in e], np.uint32), np.array([len(e) for e in each])
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        ids, lengths = self._tokens(words)
+        for name, more in (("starts", self.n + len(words)), ("lengths", self.n + len(words)), ("ids", self.used + len(ids))):
+            have = getattr(self, name)
+            if more > len(have):
+                setattr(self, name, np.concatenate([have, np.zeros(max(more - len(have), len(have)), have.dtype)]))
+        self.starts[self.n : self.n + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.n : self.n + len(words)] = lengths
         self.ids[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.known.update(zip(new, range(n, n + len(new))))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.most:
+        at = np.searchsorted(self.hash, hashes)
+        self.hash, self.number = np.insert(self.hash, at, hashes), np.insert(self.number, at, self.n + np.arange(len(words)))
+        self.n, self.used = self.n + len(words), self.used + len(ids)
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.hash, hashes)
+        at[at == len(self.hash)] = 0
+        return (self.hash[at] == hashes if len(self.hash) else np.zeros(len(hashes), bool)), at
+
+    def encode(self, part: K.Slice) -> list[np.ndarray]:
+        """Token ids of each text of a slice."""
+        plain = plain_texts(part)
+        data = _SMALL[part.data]
+        kind = _CLASS[part.data]
+        edge = kind == _DIGIT
+        edge[1:] |= (kind[1:] != kind[:-1]) | edge[:-1]
+        w = K.words(K.Slice(part.first, data, part.offsets), _CLASS, cuts=edge)
+        use = plain[w.text]
+        unique, inverse = np.unique(w.hash[use], return_inverse=True)
+        if self.n + len(unique) > self.most:
             self._reset()
-        known = self.known
-        new = list(dict.fromkeys(p for ps in parts for p in ps if p not in known))
-        if new:
-            self._learn(new)
-        out = []
-        for ps in parts:
-            at = np.fromiter(map(known.__getitem__, ps), np.int64, len(ps))
-            lengths = self.lengths[at]
-            ends = np.cumsum(lengths)
-            total = int(ends[-1]) if len(ends) else 0
-            places = np.arange(total) + np.repeat(self.starts[at] - (ends - lengths), lengths)
-            out.append(self.ids[places])
+        known, at = self._find(unique)
+        if not known.all():
+            place = np.zeros(len(unique), np.int64)
+            place[inverse] = np.flatnonzero(use)
+            raw = data.tobytes()
+            new = place[~known]
+            self._learn(unique[~known], [raw[a:b].decode() for a, b in zip(w.start[new].tolist(), w.end[new].tolist())])
+            _, at = self._find(unique)
+        number = self.number[at][inverse] if len(unique) else np.zeros(0, np.int64)
+        lengths = self.lengths[number].astype(np.int64)
+        ends = np.cumsum(lengths)
+        flat = self.ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[number] - (ends - lengths), lengths)]
+        sizes = np.bincount(w.text[use], lengths, len(part)).astype(np.int64)
+        out = np.split(flat, np.cumsum(sizes)[:-1])
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            raw = part.data.tobytes()
+            texts = [raw[part.offsets[k] : part.offsets[k + 1]].decode() for k in rest]
+            for k, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                out[k] = np.array(e.ids, np.uint32)
         return out
 
 
@@ -86,15 +150,13 @@ def _cutter(path: str, length: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, row = WordTokens(path), 0
         for batch in batches:
-            n = batch.num_rows
-            for lo in range(0, n, 256):
-                texts = ["" if t is None else t for t in batch.column(1).slice(lo, 256).to_pylist()]
+            for part in K.slices(batch.column(1)):
                 which, piece, start, size, crc, rows = [], [], [], [], [], []
-                for k, ids in enumerate(tokens.encode(texts)):
+                for k, ids in enumerate(tokens.encode(part)):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                     for p in range(0, len(ids), length):
                         cut = ids[p : p + length]
-                        which.append(lo + k), piece.append(p // length), start.append(p), size.append(len(cut))
+                        which.append(part.first + k), piece.append(p // length), start.append(p), size.append(len(cut))
                         crc.append(zlib.crc32(cut.tobytes())), rows.append(row)
                     row += 1
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
