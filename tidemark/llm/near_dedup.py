@@ -2,9 +2,10 @@
 
 Texts with equal shingle sets form a class, and one row stands for it. Every independent tree starts with all classes in
 its root; a node branches each of its documents by minwise tokens at signature places that the node's path selects, so
-two documents share a child with a chance of their similarity per branch. Small nodes are compared exhaustively. In
-large nodes all documents are compared with two leaders; those that are surely similar to one are settled, the others
-go on branching, until no large node is left. Candidates are confirmed on full sets. Documents that a leader nearly
+two documents share a child with a chance of their similarity per branch. Small nodes are compared exhaustively, each
+set of members once: estimates order the pairs, full sets confirm them, and pairs that earlier links of the node
+already connect are left out. In large nodes all documents are compared with a few leaders; those that are surely
+similar to one are settled, the others go on branching, until no large node is left. Documents that a leader nearly
 matched but that ended in another component are compared with all settled documents of that node, so nothing hangs on
 the leaders chosen. Components come from label propagation in tables.
 """
@@ -24,7 +25,10 @@ PLACES = 64
 TREES = 4
 #: Children of a document in a node. At 0.8 a shared path dies out in one tree with a chance of 1/16.
 BRANCHES = 2
-SMALL = 48
+#: A node of up to so many documents and shingles is small: one task holds it.
+SMALL, SMALL_SHINGLES = 2048, 2_000_000
+#: Leaders of a large node, on average.
+LEADERS = 8
 #: Estimated similarity from which a pair is checked exactly (4 standard deviations below 0.8), and from which it is sure.
 CHECK, SURE = 0.6, 0.95
 
@@ -114,61 +118,116 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), PLACES)
 
 
-def _compare_small(batches):
-    """Members of small nodes, sorted by node within the task: candidate pairs, each node once."""
-    held: list[pa.RecordBatch] = []
-
-    def pairs(table: pa.Table):
-        node = table["node"].to_numpy()
-        ids, n, sig = table["id"].to_numpy(), table["n"].to_numpy(), _matrix(table["signature"].combine_chunks())
-        heads = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-        sizes = np.diff(np.r_[heads, len(node)])
-        left, right = [], []
-        for gap in range(1, int(sizes.max(initial=0))):
-            # all members with one `gap` places further on in their node
-            i = np.flatnonzero(node[gap:] == node[:-gap])
-            if not len(i):
-                break
-            for lo in range(0, len(i), 20_000):
-                a = i[lo : lo + 20_000]
-                b = a + gap
-                fits = 100 * np.minimum(n[a], n[b]) >= 80 * np.maximum(n[a], n[b])
-                a, b = a[fits], b[fits]
-                like = (sig[a] == sig[b]).mean(axis=1) >= CHECK
-                left.append(ids[a[like]]), right.append(ids[b[like]])
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            a, b = np.minimum(a, b), np.maximum(a, b)
-            keep = a != b
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+def _hits(x: np.ndarray, y: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    return int((y[at] == x).sum()) if len(y) else 0
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = _hits(x, y)
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _links_of_node(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Exhaustive comparison of a node: enough links that all that is linked is connected."""
+    n = len(sets)
+    if n == 2:
+        return [(0, 1)] if _linked(sets[0], sets[1], percent) else []
+    sizes = np.array([len(x) for x in sets])
+    sig = (signatures(np.concatenate(sets), np.cumsum(sizes) - sizes) >> np.uint64(32)).astype(np.uint32)
+    left, right, like = [], [], []
+    for lo in range(0, n - 1, 32):
+        rows = np.arange(lo, min(lo + 32, n - 1))
+        est = (sig[rows, None, :] == sig[None, lo + 1 :, :]).mean(axis=2)
+        i, j = np.nonzero(est >= CHECK)
+        a, b = rows[i], j + lo + 1
+        ok = (b > a) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
+        left.append(a[ok]), right.append(b[ok]), like.append(est[i, j][ok])
+    a, b, est = np.concatenate(left), np.concatenate(right), np.concatenate(like)
+    order = np.argsort(-est, kind="stable")
+    label = np.arange(n)
+    out = []
+    for lo in range(0, len(order), 4096):
+        cut = order[lo : lo + 4096]
+        cut = cut[label[a[cut]] != label[b[cut]]]
+        for i, j in zip(a[cut].tolist(), b[cut].tolist()):
+            if label[i] != label[j] and _linked(sets[i], sets[j], percent):
+                out.append((i, j))
+                label[label == label[j]] = label[i]
+    return out
 
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        node = batch.column(0)
-        last = node[len(node) - 1]
-        # the last node of the batch may go on in the next one
-        cut = int(np.searchsorted(np.asarray(node.to_numpy() == last.as_py()).astype(int), 1, "left"))
-        done = [*held, batch.slice(0, cut)] if cut else []
-        if cut:
-            table = pa.Table.from_batches(done)
-            if table.num_rows:
-                yield from pairs(table)
-            held = [batch.slice(cut)]
-        else:
-            held.append(batch)
-    if held and sum(b.num_rows for b in held):
-        yield from pairs(pa.Table.from_batches(held))
+
+def _compare_small(size: int, percent: int):
+    """Members of small nodes (node, id, h1, text), sorted by node within the task: links, each node once."""
+
+    def links(table: pa.Table):
+        node, ids, h1 = (table[k].to_numpy() for k in ("node", "id", "h1"))
+        sets: list[np.ndarray] = []
+        for part in K.slices(table["text"]):
+            _, hashes, sizes = shingle_sets(part, size)
+            sets += np.split(hashes, np.cumsum(sizes)[:-1])
+        with np.errstate(over="ignore"):
+            # another row may repeat the id with another text
+            mine = np.array([x.sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64) == h1
+        heads = np.r_[np.flatnonzero(np.r_[True, node[1:] != node[:-1]]), len(node)]
+        pairs = []
+        for lo, hi in zip(heads[:-1].tolist(), heads[1:].tolist()):
+            own = [k for k in range(lo, hi) if mine[k]]
+            if len(own) > 1:
+                pairs += [(ids[own[i]], ids[own[j]]) for i, j in _links_of_node([sets[k] for k in own], percent)]
+        pairs = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2000):
+                batch = whole.slice(at, 2000)
+                node = batch.column(0).to_numpy()
+                cut = int(np.flatnonzero(node == node[-1])[0])  # the last node may go on in the next batch
+                if held and held[-1].column(0)[-1].as_py() != node[0]:
+                    yield links(pa.Table.from_batches(held))
+                    held = []
+                if cut:
+                    yield links(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+                    held = []
+                held.append(batch.slice(cut))
+        if held:
+            yield links(pa.Table.from_batches(held))
+
+    return run
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), PLACES)
 
 
 def _compare_leaders(batches):
-    """Members of large nodes with the signatures of both leaders: similarity to the nearer one."""
+    """Members of large nodes (node, id, n, signature, leaders): the leaders they may link to, and the nearest of all."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, one, two = (_matrix(batch.column(k)) for k in (2, 4, 6))
-        s1, s2 = (sig == one).mean(axis=1), (sig == two).mean(axis=1)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(s1), batch.column(5), pa.array(s2)], ["node", "id", "signature", "l1", "s1", "l2", "s2"])
+        sig = _matrix(batch.column(3))
+        node = batch.column(0).to_numpy()
+        near, best, to = np.zeros(len(node)), np.zeros(len(node), np.int64), [[] for _ in node]
+        for x in np.unique(node):
+            rows = np.flatnonzero(node == x)
+            leaders = batch.column(4)[int(rows[0])].as_py()
+            ids = np.array([k["id"] for k in leaders], np.int64)
+            other = np.stack([np.frombuffer(k["signature"], np.uint32) for k in leaders])
+            est = np.stack([(sig[rows] == g).mean(axis=1) for g in other], axis=1)
+            at = np.argmax(est, axis=1)
+            near[rows], best[rows] = est[np.arange(len(rows)), at], ids[at]
+            for i, k in zip(*np.nonzero(est >= CHECK)):
+                to[rows[i]].append(int(ids[k]))
+        yield pa.RecordBatch.from_arrays(
+            [*[batch.column(k) for k in range(4)], pa.array(best), pa.array(near), pa.array(to, pa.list_(pa.int64()))],
+            ["node", "id", "n", "signature", "leader", "near", "check"],
+        )
 
 
 def _branch(branches: int):
@@ -177,9 +236,9 @@ def _branch(branches: int):
             if not batch.num_rows:
                 continue
             path = batch.column(0).to_numpy().view(np.uint64)
-            made = children(path, _matrix(batch.column(2)).astype(np.uint64), branches)
+            made = children(path, _matrix(batch.column(3)).astype(np.uint64), branches)
             ids = np.repeat(np.arange(len(path)), branches)
-            yield pa.RecordBatch.from_arrays([pa.array(K.signed(made.reshape(-1))), batch.column(1).take(pa.array(ids))], ["node", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(K.signed(made.reshape(-1))), *[batch.column(k).take(pa.array(ids)) for k in (1, 2)]], ["node", "id", "n"])
 
     return run
 
@@ -209,11 +268,7 @@ def _confirm(size: int, percent: int):
                 # texts that stand in several pairs are cut into shingles once
                 left, right = cut.column(2).dictionary_encode(), cut.column(3).dictionary_encode()
                 a, b = sets(left.dictionary), sets(right.dictionary)
-                ok = []
-                for i, j in zip(left.indices.to_pylist(), right.indices.to_pylist()):
-                    x, y = a[i], b[j]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+                ok = [_linked(a[i], b[j], percent) for i, j in zip(left.indices.to_pylist(), right.indices.to_pylist())]
                 yield pa.RecordBatch.from_arrays([cut.column(0), cut.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
@@ -241,36 +296,50 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
             return labels
 
 
-def candidates(reps: DataFrame, members: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs (a, b) to confirm, and what large nodes left: (node, id, signature, l1, s1, l2, s2)."""
-    signs = reps.select("id", "n", "signature")
-    pairs, large = None, None
+def small_node_links(members: DataFrame, small: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
+    """Links inside the small nodes; nodes with the same members are compared once."""
+    once = small.groupBy("size", "who1", "who2").agg(F.min("node").alias("node")).select("node")
+    rows = ws.save(members.select("node", "id").join(once, "node").join(reps.select("id", "h1"), "id"), "small")
+    texts = docs.join(rows.select("id").distinct(), "id", "left_semi")
+    rows = rows.join(texts, "id").select("node", "id", "h1", "text")
+    tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, "node").sortWithinPartitions("node")
+    return ws.save(rows.mapInArrow(_compare_small(size, percent), "a long, b long"), "links")
+
+
+def node_links(reps: DataFrame, members: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) of all trees, and what large nodes left: (node, id, n, signature, leader, near, check)."""
+    links, large = None, None
     depth = 1
     while True:
         sized = members.groupBy("node").agg(
-            F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", "id").alias("h"), "id")).alias("lo"), F.max(F.struct(F.xxhash64("node", "id").alias("h"), "id")).alias("hi")
-        ).filter("size > 1")
-        sized = ws.save(sized.select("node", "size", F.col("lo.id").alias("l1"), F.col("hi.id").alias("l2")), "sized")
-        small = members.join(sized.filter(F.col("size") <= SMALL).select("node"), "node").join(signs, "id").select("node", "id", "n", "signature")
-        tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        found = small.repartition(tasks, "node").sortWithinPartitions("node", "id").mapInArrow(_compare_small, "a long, b long")
-        pairs = found if pairs is None else pairs.unionByName(found)
-        big = sized.filter(F.col("size") > SMALL)
+            F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.bit_xor(F.xxhash64("id")).alias("who1"),
+            F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("who2"),
+        )
+        sized = ws.save(sized.filter("size > 1"), "sized")
+        fits = (F.col("size") <= SMALL) & (F.col("weight") <= SMALL_SHINGLES)
+        found = small_node_links(members, sized.filter(fits), reps, docs, size, percent, ws)
+        links = found if links is None else links.unionByName(found)
+        big = sized.filter(~fits).select("node", "size")
         if not big.limit(1).count():
-            return pairs, large
-        one = signs.select(F.col("id").alias("l1"), F.col("signature").alias("g1"))
-        two = signs.select(F.col("id").alias("l2"), F.col("signature").alias("g2"))
-        led = big.select("node", "l1", "l2").join(one, "l1").join(two, "l2").select("node", "l1", "g1", "l2", "g2")
-        held = members.join(signs.select("id", "signature"), "id").join(led, "node")
-        kind = "node long, id long, signature binary, l1 long, s1 double, l2 long, s2 double"
-        held = ws.save(held.select("node", "id", "signature", "l1", "g1", "l2", "g2").mapInArrow(_compare_leaders, kind), "large")
-        for k in "12":
-            near = held.filter((F.col(f"s{k}") >= CHECK) & (F.col("id") != F.col(f"l{k}")))
-            near = near.select(F.least("id", f"l{k}").alias("a"), F.greatest("id", f"l{k}").alias("b"))
-            pairs = pairs.unionByName(near)
+            return links, large
+        signed = members.join(big, "node").join(reps.select("id", "signature").dropDuplicates(["id"]), "id")
+        signed = ws.save(signed.select("node", "id", "n", "signature", "size"), "signed")
+        # LEADERS of a node on average, by hash: the list stays short, whatever the node's size
+        chosen = signed.filter(F.pmod(F.xxhash64("node", "id"), F.col("size")) < LEADERS)
+        chosen = chosen.groupBy("node").agg(F.collect_list(F.struct("id", "signature")).alias("leaders"))
+        chosen = ws.save(chosen, "leaders")
+        kind = "node long, id long, n long, signature binary, leader long, near double, check array<long>"
+        held = signed.join(chosen, "node").select("node", "id", "n", "signature", "leaders").mapInArrow(_compare_leaders, kind)
+        held = ws.save(held, "large")
+        pairs = held.select("id", F.explode("check").alias("other")).filter("id <> other")
+        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+        links = links.unionByName(confirmed(pairs, docs, size, percent, ws))
         large = held if large is None else large.unionByName(held)
-        rest = held.filter(F.greatest("s1", "s2") < SURE).select("node", "id", "signature")
-        members = ws.save(rest.mapInArrow(_branch(BRANCHES if depth < 4 else 1), "node long, id long"), "members")
+        # nodes without a leader, as chance has it, go on whole
+        alone = signed.join(chosen.select("node"), "node", "left_anti").select("node", "id", "n", "signature")
+        rest = held.filter(F.col("near") < SURE).select("node", "id", "n", "signature").unionByName(alone)
+        members = ws.save(rest.mapInArrow(_branch(BRANCHES if depth < 4 else 1), "node long, id long, n long"), "members")
         depth += 1
 
 
@@ -305,10 +374,9 @@ def near_duplicates(
     mine = ws.save(mine, "mine")
     # of rows that repeat a representative's id, the one whose set it stands for
     reps = linked.join(classes.select("h1", "h2", "n", F.col("rep").alias("id")), ["h1", "h2", "n", "id"], "left_semi")
-    reps = ws.save(reps.dropDuplicates(["id", "h1", "h2", "n"]).select("id", "n", "signature", "paths"), "reps")
-    members = ws.save(reps.select(F.explode("paths").alias("node"), "id"), "members")
-    pairs, large = candidates(reps, members, ws)
-    links = confirmed(pairs, docs, size, percent, ws)
+    reps = ws.save(reps.dropDuplicates(["id", "h1", "h2", "n"]).select("id", "n", "h1", "signature", "paths"), "reps")
+    members = reps.select(F.explode("paths").alias("node"), "id", "n")
+    links, large = node_links(reps, ws.save(members, "members"), docs, size, percent, ws)
     copies = mine.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     if large is not None:
         labels = components(links, ws)
@@ -327,7 +395,7 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
-def recheck(large: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
+def recheck(large: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
     """Links between documents of a large node that its leaders left apart.
 
     A settled document lies within 0.05 of its leader and a link within 0.2, so only documents that come within the
@@ -335,15 +403,15 @@ def recheck(large: DataFrame, labels: DataFrame, reps: DataFrame, texts: DataFra
     settled documents of the node whose component differs.
     """
     told = large.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    heads = labels.select(F.col("id").alias("l1"), F.col("label").alias("label1"))
-    told = told.join(heads, "l1", "left").withColumn("label1", F.coalesce("label1", "l1"))
-    near = F.greatest("s1", "s2")
-    left = ws.save(told.filter((near >= CHECK) & (near < SURE) & (F.col("label") != F.col("label1"))).select("node", "id", "signature", "label"), "left")
+    heads = labels.select(F.col("id").alias("leader"), F.col("label").alias("label1"))
+    told = told.join(heads, "leader", "left").withColumn("label1", F.coalesce("label1", "leader"))
+    apart = (F.col("near") >= CHECK) & (F.col("near") < SURE) & (F.col("label") != F.col("label1"))
+    left = ws.save(told.filter(apart).select("node", "id", "signature", "label"), "left")
     if not left.limit(1).count():
         return reps.sparkSession.createDataFrame([], "a long, b long")
-    settled = told.filter(near >= SURE).select("node", F.col("id").alias("other"), F.col("signature").alias("g"), F.col("label").alias("l"))
+    settled = told.filter(F.col("near") >= SURE).select("node", F.col("id").alias("other"), F.col("signature").alias("g"), F.col("label").alias("l"))
     rows = left.join(settled, "node").filter("label <> l").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "signature", "g")
-    return confirmed(rows.mapInArrow(_near, "a long, b long"), texts, size, percent, ws)
+    return confirmed(rows.mapInArrow(_near, "a long, b long"), docs, size, percent, ws)
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
