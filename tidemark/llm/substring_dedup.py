@@ -5,7 +5,7 @@ alphabet into left and right symbols, and each left symbol followed by a right o
 hashes of what they stand for, so all tasks give equal parts equal names without a dictionary. Each phase can change
 one symbol at either end of two equal passages; so after the rounds the symbols over a window's interior are the same
 wherever the window occurs. The longest of them (ties by name) is the window's anchor. Windows whose anchor occurs
-once occur once. The others, and those that touch a run (where the bound doesn't hold), are verified by 128-bit
+once occur once. The others, and those with a run at an end (where the bound doesn't hold), are verified by 96-bit
 fingerprints of their words, over the whole corpus.
 """
 
@@ -65,7 +65,11 @@ def recompress(w: K.Words, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def anchors(w: K.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For all windows of a slice: first word, anchor, the anchor's first word, and whether the window touches a run."""
+    """For all windows of a slice: first word, anchor, the anchor's first word, and whether a run lies at an end.
+
+    A run inside is the same wherever the window occurs. One that reaches into the eroded words at an end may be longer
+    outside, and take more of the window with it than one symbol.
+    """
     rounds, eroded = rounds_for(window)
     n = len(w.hash)
     none = np.zeros(0, np.int64)
@@ -82,7 +86,9 @@ def anchors(w: K.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     # the place of an anchor: the first symbol of that name at or after the interior's beginning
     symbol = np.repeat(np.arange(len(name)), lengths)
     place = _first_at(key, symbol[starts + eroded], best)
-    return starts, best, first[place], runs[starts + window] > runs[starts]
+    last = starts + window
+    at_end = (runs[starts + eroded] > runs[starts]) | (runs[last] > runs[last - eroded])
+    return starts, best, first[place], at_end
 
 
 def _first_at(key: np.ndarray, low: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -129,20 +135,13 @@ def _emit_anchors(window: int):
     return run
 
 
-_OPENED = "kind int, _row long, n_words long, start int, f1 long, f2 long, weight int, text string"
-_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
-#: Rows of the opened table: a text that is done, a text that needs its windows, a window.
-DONE, OPEN, WINDOW_ROW, ALL_GONE = 0, 1, 2, 3
-
+_WINDOWS = "_row long, start int, f1 long, f2 int, weight int"
+#: What is known of exact copies: the one that gives the windows of its class, and the others.
+FIRST, OTHER = 1, 2
 
-def _open(window: int):
-    """Candidate windows of every text that has any, and what is known of the text itself."""
-    names = [f.split()[0] for f in _OPENED.split(", ")]
 
-    def rows(n, **cols):
-        return pa.RecordBatch.from_arrays(
-            [cols[k].cast(t) if k in cols else pa.nulls(n, t) for k, t in zip(names, _KINDS)], names
-        )
+def _candidates(window: int):
+    """Candidate windows of every text (_row, text, shared anchors, copy) but copies other than the first."""
 
     def run(batches):
         for batch in batches:
@@ -153,52 +152,50 @@ def _open(window: int):
                 n = len(part)
                 own = slice(part.first, part.first + n)
                 lists = shared.slice(part.first, n)
-                owner = np.repeat(np.arange(n), np.diff(np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64))
-                names_of = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                starts, key, _, runs = anchors(w, window)
+                owner = np.repeat(np.arange(n), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                names = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                starts, key, _, at_end = anchors(w, window)
                 text = w.text[starts]
                 with np.errstate(over="ignore"):
                     tag = lambda t, k: K.mix(k + K.mix(t.astype(np.uint64)))
-                    hit = np.isin(tag(text, key), tag(owner, names_of))
-                skip = (copy[own] == 2)[text]
-                use = (hit | runs | (copy[own] == 1)[text]) & ~skip
-                f1, at = K.windows(w, window, 0)
-                f2, _ = K.windows(w, window, 1)
-                has = np.bincount(text[use], minlength=n) > 0
-                gone = (copy[own] == 2) & (w.counts >= window)
-                kind = np.where(gone, ALL_GONE, np.where(has, OPEN, DONE))
+                    hit = np.isin(tag(text, key), tag(owner, names))
+                use = (hit | at_end) & (copy[own] != OTHER)[text]
+                f1, f2 = K.windows(w, window, 0)[0][use], K.windows(w, window, 1)[0][use]
+                text, first = text[use], (starts - w.first[text])[use]
+                weight = np.where(copy[own][text] == FIRST, 2, 1)
                 row_ids = ids.slice(part.first, n)
-                yield rows(n, kind=pa.array(kind), _row=row_ids, n_words=pa.array(w.counts), text=texts.slice(part.first, n))
-                weight = np.where((copy[own] == 1)[text[use]], 2, 1)
-                for lo in range(0, int(use.sum()), 50_000):
+                for lo in range(0, len(text), 50_000):
                     cut = slice(lo, lo + 50_000)
-                    m = len(text[use][cut])
-                    yield rows(
-                        m, kind=pa.array(np.full(m, WINDOW_ROW)), _row=row_ids.take(pa.array(text[use][cut])),
-                        start=pa.array(starts[use][cut] - w.first[text[use][cut]]), f1=pa.array(K.signed(f1[use][cut])),
-                        f2=pa.array(K.signed(f2[use][cut])), weight=pa.array(weight[cut]),
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            row_ids.take(pa.array(text[cut])), pa.array(first[cut].astype(np.int32)), pa.array(K.signed(f1[cut])),
+                            pa.array((f2[cut] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(weight[cut].astype(np.int32)),
+                        ],
+                        ["_row", "start", "f1", "f2", "weight"],
                     )
 
     return run
 
 
 def _finish(window: int):
+    """Rows (_row, text, starts, copy) with what is left of them."""
+
     def run(batches):
         for batch in batches:
-            ids, kinds, texts, starts = batch.column(0), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
+            ids, texts, starts = batch.column(0), batch.column(1), batch.column(2)
+            copy = batch.column(3).fill_null(0).to_numpy(zero_copy_only=False)
             for part in K.slices(texts):
                 w = K.words(part)
                 removed, kept = [], []
                 raw = part.data.tobytes()
                 for k in range(len(part)):
                     n, f = int(w.counts[k]), int(w.first[k])
-                    found = starts[part.first + k].as_py()
-                    if kinds[part.first + k] == ALL_GONE:
-                        gone = np.ones(n, bool)
+                    if copy[part.first + k]:
+                        gone = np.full(n, n >= window)
                     else:
-                        gone = K.cover(np.asarray(found or [], np.int64), window, n)
+                        gone = K.cover(np.asarray(starts[part.first + k].as_py() or [], np.int64), window, n)
                     stays = np.flatnonzero(~gone) + f
-                    kept.append(b" ".join(raw[a:b] for a, b in zip(w.start[stays], w.end[stays])).decode())
+                    kept.append(b" ".join([raw[a:b] for a, b in zip(w.start[stays].tolist(), w.end[stays].tolist())]).decode())
                     removed.append(int(gone.sum()))
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(part.first, len(part)), pa.array(w.counts.astype(np.int64)), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
@@ -217,29 +214,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     ws = Workspace(docs.sparkSession, "repeats")
     keyed = with_row_key(only(docs, id_col, text_col).withColumnRenamed(text_col, "_text"), id_col, ws)
-    # exact copies: one of a class gives its windows, for all of them
+    # exact copies lose everything that is long enough; the first of a class gives its windows, for all of them
     hashed = keyed.select("_row", F.md5("_text").alias("_md5"))
     classes = hashed.filter(F.col("_md5").isNotNull()).groupBy("_md5").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
-    copies = hashed.join(classes.filter("_n > 1"), "_md5").select("_row", F.when(F.col("_row") == F.col("_first"), 1).otherwise(2).alias("_copy"))
-    found = ws.save(keyed.select("_row", "_text").mapInArrow(_emit_anchors(window), "_row long, anchor long, n byte"), "anchors")
-    shared = found.groupBy("anchor").agg(F.sum("n").alias("_n")).filter("_n > 1").select("anchor")
+    copies = hashed.join(ws.save(classes.filter("_n > 1"), "classes"), "_md5")
+    copies = ws.save(copies.select("_row", F.when(F.col("_row") == F.col("_first"), FIRST).otherwise(OTHER).alias("_copy")), "copies")
+    found = keyed.select("_row", "_text").mapInArrow(_emit_anchors(window), "_row long, anchor long, n byte")
+    found = ws.save(found.join(copies.filter(F.col("_copy") == OTHER), "_row", "left_anti"), "anchors")
+    shared = ws.save(found.groupBy("anchor").agg(F.sum("n").alias("_n")).filter("_n > 1").select("anchor"), "shared")
     lists = found.join(shared, "anchor").select("_row", "anchor").groupBy("_row").agg(F.collect_list("anchor").alias("_shared"))
     known = ws.save(lists.join(copies, "_row", "full"), "known")
-    ws.drop(found)
+    ws.drop(found, shared)
+    ws.collect_garbage()
+    rows = keyed.join(known, "_row", "left").select("_row", "_text", "_shared", "_copy").mapInArrow(_candidates(window), _WINDOWS)
+    rows = ws.save(rows, "windows")
+    ws.drop(known)
     ws.collect_garbage()
-    opened = keyed.join(known, "_row", "left").select("_row", "_text", "_shared", "_copy").mapInArrow(_open(window), _OPENED)
-    opened = ws.save(opened, "opened")
+    twice = ws.save(rows.groupBy("f1", "f2").agg(F.sum("weight").alias("_n")).filter("_n > 1").select("f1", "f2"), "twice")
     ws.collect_garbage()
-    rows = opened.filter(F.col("kind") == WINDOW_ROW)
-    twice = rows.groupBy("f1", "f2").agg(F.sum("weight").alias("_n")).filter("_n > 1").select("f1", "f2")
     starts = rows.select("_row", "start", "f1", "f2").join(twice, ["f1", "f2"]).groupBy("_row").agg(F.collect_list("start").alias("_starts"))
-    texts = opened.filter(F.col("kind") != WINDOW_ROW).select("_row", "kind", "text")
+    starts = ws.save(starts.join(copies, "_row", "full"), "starts")
+    ws.drop(rows, twice)
+    ws.collect_garbage()
     schema = "_row long, n_words long, n_removed long, kept_text string"
-    hit = texts.filter(F.col("kind") == OPEN).join(starts, "_row", "left").select("_row", "kind", "text", "_starts")
-    rest = texts.filter(F.col("kind") != OPEN).select("_row", "kind", "text", F.lit(None).cast("array<int>").alias("_starts"))
-    out = hit.unionByName(rest).mapInArrow(_finish(window), schema)
-    if dict(keyed.dtypes)[id_col] == "bigint" and "keyed" not in getattr(keyed, "_workspace_path", ""):
-        return out.select(F.col("_row").alias(id_col), "n_words", "n_removed", "kept_text")
+    out = keyed.select("_row", "_text").join(starts, "_row", "left").select("_row", "_text", "_starts", "_copy").mapInArrow(_finish(window), schema)
+    if not hasattr(keyed, "_workspace_path"):
+        return out.select(F.col("_row").cast(docs.schema[id_col].dataType).alias(id_col), "n_words", "n_removed", "kept_text")
     return keyed.select("_row", id_col).join(out, "_row").drop("_row")
 
 

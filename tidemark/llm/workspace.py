@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,7 +31,7 @@ class Workspace:
         """Write df as Parquet and return the written table."""
         self._made += 1
         path = f"{self.path}/{self._made:03d}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._workspace_path = path
         return out
@@ -43,6 +44,7 @@ class Workspace:
 
     def collect_garbage(self) -> None:
         """Let Spark's cleaner remove shuffle files of finished stages."""
+        gc.collect()
         self.spark._jvm.System.gc()
 
 
