@@ -123,7 +123,8 @@ def dedup_lines(
         if high is not None:
             batch = batch.filter(F.col(id_col) <= high)
         store.add(batch, id_col)
-    repeated = store.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper")
+    # written first, so that the join below has exchanges of its own that can be split where a line is very common
+    repeated = ws.save(store.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"), "repeated")
     lost = keys.join(repeated, ["h1", "h2"]).filter(F.col(id_col) < F.col("keeper"))
     lost = lost.select(id_col, F.struct("h1", "h2").alias("k")).groupBy(id_col).agg(F.collect_set("k").alias("_lost"))
     kept = docs.drop("n_lines", "n_dropped", "kept_text").join(lost, id_col, "left")
