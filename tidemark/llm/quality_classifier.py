@@ -1,7 +1,7 @@
 """Quality classification by co-training of a text view and a metadata view.
 
-Two logistic models see different things: the tokens of a text, and what describes the page (source, language, length,
-layout). Both are fitted on a bounded sample of labelled rows; over some rounds each gives its most confident
+Two logistic models over log-odds weighted features see different things: the tokens of a text, and what describes the
+page (source, language, length, layout). Both are fitted on a bounded sample of labelled rows; over some rounds each gives its most confident
 judgements of a bounded pool of unlabelled rows to the other as labels. Then each view is calibrated on labelled rows
 that took no part in the fit, the calibrated log-odds are combined, and every document of the table is scored.
 """
@@ -26,8 +26,7 @@ ROUNDS = 3
 #: Rows of each class that a view gives to the other in a round, at this confidence at least.
 EXCHANGED, CONFIDENT = 300, 0.95
 ACCEPT = 0.5
-#: Tokens a sampled text may give to the fit; scoring reads whole texts.
-_STEPS = 300
+_STEPS = 200
 
 
 def text_features(part: K.Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -78,20 +77,34 @@ class Rows:
     def dot(self, weights: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, weights[self.at] * self.value, self.n) + weights[-1]
 
-    def back(self, errors: np.ndarray) -> np.ndarray:
-        return np.r_[np.bincount(self.at, errors[self.row] * self.value, self.size), errors.sum()]
+
+#: Labelled rows that a feature must occur in to count.
+LEAST_ROWS = 3
 
 
 def fit(rows: Rows, y: np.ndarray, weight: np.ndarray, steps: int = _STEPS, penalty: float = 1e-4) -> np.ndarray:
-    """Logistic regression with balanced classes by adaptive gradient steps from zero (the last weight is the bias)."""
+    """Weights of the features and, last, the bias, for rows of weight above 0 with labels y.
+
+    Each feature is first scaled by its smoothed log odds between the classes, which leaves little to features that
+    don't tell them apart; then logistic regression with balanced classes by adaptive gradient steps from zero.
+    """
+    good, bad = weight * (y == 1), weight * (y == 0)
+    ones, zeros = (np.bincount(rows.at, c[rows.row], rows.size) for c in (good, bad))
+    odds = np.log((ones + 1) / (good.sum() + 2)) - np.log((zeros + 1) / (bad.sum() + 2))
+    odds[ones + zeros < LEAST_ROWS] = 0
+    used = (weight[rows.row] > 0) & (odds[rows.at] != 0)
+    at, row = rows.at[used], rows.row[used]
+    value = rows.value[used] * odds[at]
     w = np.zeros(rows.size + 1)
     moment, square = np.zeros_like(w), np.zeros_like(w)
-    share = np.where(y == 1, 0.5 / max(1e-9, weight[y == 1].sum()), 0.5 / max(1e-9, weight[y == 0].sum())) * weight
+    share = 0.5 * good / max(1e-9, good.sum()) + 0.5 * bad / max(1e-9, bad.sum())
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(rows.dot(w), -30, 30)))
-        g = rows.back(share * (p - y)) + penalty * np.r_[w[:-1], 0]
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[at] * value, rows.n) + w[-1], -30, 30)))
+        e = share * (p - y)
+        g = np.r_[np.bincount(at, e[row] * value, rows.size) + penalty * w[:-1], e.sum()]
         moment, square = 0.9 * moment + 0.1 * g, 0.999 * square + 0.001 * g * g
-        w -= 0.1 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
+        w -= 0.05 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
+    w[:-1] *= odds
     return w
 
 
