@@ -26,11 +26,11 @@ TREES = 4
 #: Children of a document in a node. At 0.8 a shared path dies out in one tree with a chance of 1/16.
 BRANCHES = 2
 #: A node of up to so many documents and shingles is small: one task holds it.
-SMALL, SMALL_SHINGLES = 2048, 2_000_000
+SMALL, SMALL_SHINGLES = 8192, 2_000_000
 #: Leaders of a large node, on average.
 LEADERS = 8
-#: Estimated similarity from which a pair is checked exactly (4 standard deviations below 0.8), and from which it is sure.
-CHECK, SURE = 0.6, 0.95
+#: Estimated similarity from which a pair is checked exactly (4 standard deviations below 0.8), is likely, and is sure.
+CHECK, LIKELY, SURE = 0.6, 0.85, 0.95
 
 _SEEDS = K.stream(21, PLACES)
 _ODD = K.stream(22, PLACES) | np.uint64(1)
@@ -139,25 +139,21 @@ def _links_of_node(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
         return [(0, 1)] if _linked(sets[0], sets[1], percent) else []
     sizes = np.array([len(x) for x in sets])
     sig = (signatures(np.concatenate(sets), np.cumsum(sizes) - sizes) >> np.uint64(32)).astype(np.uint32)
-    left, right, like = [], [], []
-    for lo in range(0, n - 1, 32):
-        rows = np.arange(lo, min(lo + 32, n - 1))
-        est = (sig[rows, None, :] == sig[None, lo + 1 :, :]).mean(axis=2)
-        i, j = np.nonzero(est >= CHECK)
-        a, b = rows[i], j + lo + 1
-        ok = (b > a) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
-        left.append(a[ok]), right.append(b[ok]), like.append(est[i, j][ok])
-    a, b, est = np.concatenate(left), np.concatenate(right), np.concatenate(like)
-    order = np.argsort(-est, kind="stable")
     label = np.arange(n)
     out = []
-    for lo in range(0, len(order), 4096):
-        cut = order[lo : lo + 4096]
-        cut = cut[label[a[cut]] != label[b[cut]]]
-        for i, j in zip(a[cut].tolist(), b[cut].tolist()):
-            if label[i] != label[j] and _linked(sets[i], sets[j], percent):
-                out.append((i, j))
-                label[label == label[j]] = label[i]
+    for least in (LIKELY, CHECK):  # first what is likely linked, then what is left between components
+        for lo in range(0, n - 1, 32):
+            rows = np.arange(lo, min(lo + 32, n - 1))
+            est = (sig[rows, None, :] == sig[None, lo + 1 :, :]).mean(axis=2)
+            i, j = np.nonzero(est >= least)
+            a, b, est = rows[i], j + lo + 1, est[i, j]
+            ok = (b > a) & (label[a] != label[b]) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
+            a, b, est = a[ok], b[ok], est[ok]
+            for k in np.argsort(-est, kind="stable").tolist():
+                x, y = int(a[k]), int(b[k])
+                if label[x] != label[y] and _linked(sets[x], sets[y], percent):
+                    out.append((x, y))
+                    label[label == label[y]] = label[x]
     return out
 
 
@@ -222,8 +218,10 @@ def _compare_leaders(batches):
             est = np.stack([(sig[rows] == g).mean(axis=1) for g in other], axis=1)
             at = np.argmax(est, axis=1)
             near[rows], best[rows] = est[np.arange(len(rows)), at], ids[at]
-            for i, k in zip(*np.nonzero(est >= CHECK)):
-                to[rows[i]].append(int(ids[k]))
+            # the two nearest that may link: more would add a row per leader, and what they miss is looked for again
+            for k in np.argsort(-est, axis=1, kind="stable")[:, :2].T:
+                for i in np.flatnonzero(est[np.arange(len(rows)), k] >= CHECK):
+                    to[rows[i]].append(int(ids[k[i]]))
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(k) for k in range(4)], pa.array(best), pa.array(near), pa.array(to, pa.list_(pa.int64()))],
             ["node", "id", "n", "signature", "leader", "near", "check"],
