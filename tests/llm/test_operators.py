@@ -120,13 +120,45 @@ def test_substring_dedup(spark, seed):
 @pytest.mark.parametrize("seed", range(2))
 def test_substring_dedup_small_alphabet(spark, seed):
     rng = random.Random(100 + seed)
-    texts = [" ".join(words(rng, rng.randrange(0, 120), rng.choice([1, 2, 3]))) for _ in range(60)]
-    for window in (8, 12):
+    texts = [" ".join(words(rng, rng.randrange(0, 120), rng.choice([1, 2, 3, 5]))) for _ in range(60)]
+    for window in (8, 12, 20, 35):
         out = {r["doc_id"]: r for r in remove_repeats(docs(spark, texts), window=window).collect()}
         for k, want in enumerate(remove_repeats_by_hand(texts, window)):
             assert (out[k].n_words, out[k].n_removed) == want[:2]
 
 
+def test_every_repeated_window_is_a_candidate():
+    """Passages with runs of all lengths at their ends, over small and large alphabets."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.llm.substring_dedup import anchors
+
+    for seed in range(150):
+        rng = random.Random(seed)
+        window, alphabet = rng.choice([8, 12, 20, 35, 35]), rng.choice([2, 3, 5, 20, 200])
+        base = words(rng, window + rng.randrange(40), alphabet)
+        texts = []
+        for _ in range(12):
+            t = words(rng, rng.randrange(0, 60), alphabet)
+            b = base[rng.randrange(0, len(base) // 2) :]
+            b = [b[0]] * rng.randrange(0, 4) + b + [b[-1]] * rng.randrange(0, 4)
+            at = rng.randrange(len(t) + 1)
+            t[at:at] = b if rng.random() < 0.7 else []
+            texts.append(" ".join(t))
+        w = K.words(next(K.slices(pa.array(texts))))
+        starts, key, place, at_end = anchors(w, window)
+        if not len(starts):
+            continue
+        content = K.windows(w, window)[0].tolist()
+        count = collections.Counter(content)
+        places = collections.defaultdict(set)
+        for k, p in zip(key.tolist(), place.tolist()):
+            places[k].add(p)
+        candidate = at_end | np.array([len(places[k]) > 1 for k in key.tolist()])
+        assert all(c or count[x] == 1 for c, x in zip(candidate, content))
+
+
 def test_substring_dedup_repeated_ids(spark):
     t = " ".join(f"w{k}" for k in range(40))
     df = spark.createDataFrame([(1, t), (1, t), (None, "x y"), (None, None)], "doc_id long, text string")

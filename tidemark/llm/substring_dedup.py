@@ -33,11 +33,20 @@ def rounds_for(window: int) -> tuple[int, int]:
     return rounds, 2 * (2**rounds - 1)
 
 
-def recompress(w: K.Words, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names of the symbols after the rounds, the first word of each, and the words that a run took part in."""
+#: Words that short runs may add to the erosion at an end, and the length from which a run is long.
+SLACK, LONG = 2, 4
+
+
+def slack_for(window: int) -> int:
+    """SLACK, where a quarter of the window still remains as interior; else none."""
+    return SLACK if window - 2 * (rounds_for(window)[1] + SLACK) >= window / 4 else 0
+
+
+def recompress(w: K.Words, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the symbols after the rounds, the first word of each, and the words of runs and of long runs."""
     name, first, text = w.hash, np.arange(len(w.hash)), w.text
     n = len(name)
-    in_run = np.zeros(n, bool)
+    in_run, in_long = np.zeros(n, bool), np.zeros(n, bool)
     for r in range(rounds):
         # runs
         if len(name) > 1:
@@ -48,6 +57,7 @@ def recompress(w: K.Words, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndar
                 ends = np.r_[first[heads[1:]], n]
                 for a, b in zip(first[heads][lengths > 1], ends[lengths > 1]):
                     in_run[a:b] = True
+                    in_long[a:b] |= b - a >= LONG
                 with np.errstate(over="ignore"):
                     run = K.mix(name[heads] + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 name = np.where(lengths > 1, run, name[heads])
@@ -61,33 +71,38 @@ def recompress(w: K.Words, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndar
             name = np.where(np.r_[joined, False], np.r_[pair, np.uint64(0)], name)
             stays = np.r_[True, ~joined]
             name, first, text = name[stays], first[stays], text[stays]
-    return name, first, in_run
+    return name, first, in_run, in_long
 
 
 def anchors(w: K.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For all windows of a slice: first word, anchor, the anchor's first word, and whether a run lies at an end.
 
-    A run inside is the same wherever the window occurs. One that reaches into the eroded words at an end may be longer
-    outside, and take more of the window with it than one symbol.
+    A run inside is the same wherever the window occurs. One among the eroded words at an end may be longer outside, and
+    takes more words with it than the bound allows for one symbol: one more for a pair of words, two for three. That
+    much is added to the eroded words where the window has room for it; ends with more or longer runs are told apart.
     """
     rounds, eroded = rounds_for(window)
+    slack = slack_for(window)
+    eroded += slack
     n = len(w.hash)
     none = np.zeros(0, np.int64)
     if n < window:
         return none, none.astype(np.uint64), none, none.astype(bool)
     starts = np.flatnonzero(w.text[: n - window + 1] == w.text[window - 1 :])
-    name, first, in_run = recompress(w, rounds)
+    name, first, in_run, in_long = recompress(w, rounds)
     lengths = np.diff(np.r_[first, n])
     key = (np.minimum(lengths, 255).astype(np.uint64) << np.uint64(56)) | (name >> np.uint64(8))
     by_word = np.repeat(key, lengths)
     inner = window - 2 * eroded
     best = K.sliding_max(by_word, inner)[starts + eroded]
-    runs = np.concatenate([[0], np.cumsum(in_run)])
+    runs, long_runs = (np.concatenate([[0], np.cumsum(x)]) for x in (in_run, in_long))
     # the place of an anchor: the first symbol of that name at or after the interior's beginning
     symbol = np.repeat(np.arange(len(name)), lengths)
     place = _first_at(key, symbol[starts + eroded], best)
     last = starts + window
-    at_end = (runs[starts + eroded] > runs[starts]) | (runs[last] > runs[last - eroded])
+    at_end = np.zeros(len(starts), bool)
+    for lo, hi in ((starts, starts + eroded), (last - eroded, last)):
+        at_end |= (runs[hi] - runs[lo] > slack + 1 if slack else runs[hi] > runs[lo]) | (long_runs[hi] > long_runs[lo])
     return starts, best, first[place], at_end
 
 
