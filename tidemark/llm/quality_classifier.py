@@ -65,17 +65,17 @@ def meta_features(part: K.Slice, source: list, lang: list) -> tuple[np.ndarray,
 
 
 class Rows:
-    """Sparse binary rows scaled to unit length."""
+    """Sparse binary rows scaled to unit length, in narrow types: the sample is what the driver holds."""
 
-    def __init__(self, lists: list[np.ndarray], size: int):
+    def __init__(self, lists, size: int):
         lengths = np.array([len(x) for x in lists], np.int64)
         self.n, self.size = len(lists), size
-        self.at = np.concatenate([np.zeros(0, np.int64), *[np.asarray(x, np.int64) for x in lists]])
-        self.row = np.repeat(np.arange(self.n), lengths)
-        self.value = np.repeat(1 / np.sqrt(np.maximum(1, lengths)), lengths)
+        self.at = np.concatenate([np.zeros(0, np.int32), *[np.asarray(x, np.int32) for x in lists]])
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), lengths)
+        self.value = np.repeat((1 / np.sqrt(np.maximum(1, lengths))).astype(np.float32), lengths)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights[self.at] * self.value, self.n) + weights[-1]
+        return np.bincount(self.row, weights.astype(np.float32)[self.at] * self.value, self.n) + weights[-1]
 
 
 #: Labelled rows that a feature must occur in to count.
@@ -94,14 +94,15 @@ def fit(rows: Rows, y: np.ndarray, weight: np.ndarray, steps: int = _STEPS, pena
     odds[ones + zeros < LEAST_ROWS] = 0
     used = (weight[rows.row] > 0) & (odds[rows.at] != 0)
     at, row = rows.at[used], rows.row[used]
-    value = rows.value[used] * odds[at]
+    value = rows.value[used] * odds.astype(np.float32)[at]
+    del used
     w = np.zeros(rows.size + 1)
     moment, square = np.zeros_like(w), np.zeros_like(w)
     share = 0.5 * good / max(1e-9, good.sum()) + 0.5 * bad / max(1e-9, bad.sum())
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[at] * value, rows.n) + w[-1], -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w.astype(np.float32)[at] * value, rows.n) + w[-1], -30, 30)))
         e = share * (p - y)
-        g = np.r_[np.bincount(at, e[row] * value, rows.size) + penalty * w[:-1], e.sum()]
+        g = np.r_[np.bincount(at, e.astype(np.float32)[row] * value, rows.size) + penalty * w[:-1], e.sum()]
         moment, square = 0.9 * moment + 0.1 * g, 0.999 * square + 0.001 * g * g
         w -= 0.05 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
     w[:-1] *= odds
@@ -153,11 +154,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.combine(*z), -30, 30)))
 
 
-def co_train(sample: list[tuple[list, list, float | None]], held: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """sample: (text features, meta features, label or None); held: rows kept for calibration."""
-    text = Rows([s[0] for s in sample], 1 << BITS)
-    meta = Rows([s[1] for s in sample], 1 << META_BITS)
-    gold = np.array([np.nan if s[2] is None else s[2] for s in sample], float)
+def co_train(text: Rows, meta: Rows, gold: np.ndarray, held: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """gold: labels, NaN where there is none; held: rows kept for calibration."""
     known = ~np.isnan(gold)
     views = [text, meta]
     labels = [np.where(known & ~held, gold, np.nan) for _ in views]
@@ -204,15 +202,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, source
     chosen = ws.save(some.unionByName(free), "sample")
     rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_key"]).select("_key", text_col, source_col, lang_col, "y")
     kind = "_key long, text array<int>, meta array<int>, y double"
-    table = rows.mapInArrow(_sampler, kind).toPandas().sort_values("_key", kind="stable")
-    table["order"] = [tuple(x) for x in table["text"]]
-    table = table.sort_values(["_key", "order"], kind="stable")
+    table = rows.mapInArrow(_sampler, kind).toPandas()
     if not table["y"].notna().any():
         return None
-    sample = [(r.text, r.meta, None if np.isnan(r.y) else r.y) for r in table.itertuples()]
+    table["_crc"] = [zlib.crc32(np.asarray(x, np.int32).tobytes()) for x in table["text"]]
+    table = table.sort_values(["_key", "_crc"], kind="stable")
     # copies of a text go to one side
-    held = np.array([zlib.crc32(np.asarray(s[0], np.int32).tobytes()) % 4 == 0 for s in sample])
-    return co_train(sample, held)
+    held, gold = table["_crc"].to_numpy() % 4 == 0, table["y"].to_numpy(float)
+    text, meta = Rows(table.pop("text"), 1 << BITS), Rows(table.pop("meta"), 1 << META_BITS)
+    return co_train(text, meta, gold, held)
 
 
 def _scorer(shared):
