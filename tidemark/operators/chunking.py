@@ -12,7 +12,7 @@ from tidemark.functions.text import closes_sentence, sentences, strip, word_coun
 def split_long(sentence: Column, budget: int) -> Column:
     """Parts of a sentence over the budget: cut after ; , or |, packed greedily, what is still too long by windows."""
     parts = F.flatten(F.transform(F.split(sentence, r"(?<=[;,|])\s+"), lambda p: F.when(word_count(p) > budget, windows(p, budget)).otherwise(F.array(p))))
-    return F.transform(pack(parts, budget, 0.0), lambda c: c["texto"])
+    return F.transform(pack(parts, budget, 0.0, long_units=False), lambda c: c["texto"])
 
 
 def windows(text: Column, budget: int) -> Column:
@@ -22,9 +22,10 @@ def windows(text: Column, budget: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(size)), lambda i: F.array_join(F.slice(w, i, size), " "))
 
 
-def pack(units: Column, budget: int, overlap: float = config.CHUNK_OVERLAP) -> Column:
+def pack(units: Column, budget: int, overlap: float = config.CHUNK_OVERLAP, long_units: bool = True) -> Column:
     """Array of structs (texto, tokens): units joined while their tokens fit; each chunk begins with the whole units at
-    the end of the one before that hold at most budget * overlap tokens."""
+    the end of the one before that hold at most budget * overlap tokens. A unit over the budget closes the chunk and
+    becomes chunks of its own, and the next one begins with nothing."""
     carry = int(budget * overlap)
     item = "struct<s: string, n: int>"
     kind = f"struct<cur: array<{item}>, n: int, out: array<struct<texto: string, tokens: int>>>"
@@ -46,10 +47,16 @@ def pack(units: Column, budget: int, overlap: float = config.CHUNK_OVERLAP) -> C
         x = F.struct(u.alias("s"), word_count(u).cast("int").alias("n"))
         over = (st["n"] + x["n"] > budget) & (F.size(st["cur"]) > 0)
         base = F.when(over, tail(st["cur"]) if carry else F.array().cast(f"array<{item}>")).otherwise(st["cur"])
-        return F.struct(
+        plain = F.struct(
             F.array_append(base, x).alias("cur"), F.when(over, total(base) + x["n"]).otherwise(st["n"] + x["n"]).alias("n"),
             F.when(over, closed(st)).otherwise(st["out"]).alias("out"),
         ).cast(kind)
+        if not long_units:
+            return plain
+        own = F.transform(split_long(u, budget), lambda p: F.struct(p.alias("texto"), word_count(p).cast("int").alias("tokens")))
+        shut = F.when(F.size(st["cur"]) > 0, closed(st)).otherwise(st["out"])
+        alone = F.struct(F.array().cast(f"array<{item}>").alias("cur"), F.lit(0).alias("n"), F.concat(shut, own).alias("out")).cast(kind)
+        return F.when(x["n"] > budget, alone).otherwise(plain)
 
     return F.aggregate(units, start, add, lambda st: F.when(F.size(st["cur"]) > 0, closed(st)).otherwise(st["out"]))
 
@@ -70,8 +77,10 @@ def chunk(docs: DataFrame, budget: int = config.CHUNK_TOKENS, overlap: float = c
     """
     table = F.col("formato").isin("csv", "xlsx")
     text = F.when(table, tabular_cut(F.col("texto"), budget, tabular)).otherwise(F.col("texto"))
-    units = F.flatten(F.transform(sentences(text), lambda s: F.when(word_count(s) > budget, split_long(s, budget)).otherwise(F.array(s))))
-    rows = docs.withColumn("_c", F.filter(pack(units, budget, overlap), lambda c: c["tokens"] >= least))
+    again = lambda c: F.transform(windows(c["texto"], budget), lambda p: F.struct(p.alias("texto"), word_count(p).cast("int").alias("tokens")))
+    # what the overlap has carried over the budget is cut
+    fitting = F.flatten(F.transform(pack(sentences(text), budget, overlap), lambda c: F.when(c["tokens"] > budget, again(c)).otherwise(F.array(c))))
+    rows = docs.withColumn("_c", F.filter(fitting, lambda c: c["tokens"] >= least))
     rows = rows.withColumn("_c", F.when(table, F.slice("_c", 1, tabular)).otherwise(F.col("_c")))
     rest = [c for c in docs.columns if c not in ("texto", "doc_id")]
     rows = rows.select("doc_id", *rest, F.posexplode("_c").alias("posicion", "c"))

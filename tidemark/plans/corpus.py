@@ -143,7 +143,7 @@ WITH RECURSIVE u AS (
 SELECT f.doc_id, f.c AS posicion, sum(f.n)::BIGINT AS tokens, string_agg(u.s, ' ' ORDER BY f.k) AS texto FROM f JOIN u USING (doc_id, k) GROUP BY 1, 2""")
 def _(t: Tables):
     units = F.filter(F.transform(F.split("text", "\n"), T.strip), lambda s: s != "")
-    rows = t.documents.select("doc_id", F.posexplode(chunking.pack(units, 100, 0.0)).alias("posicion", "c"))
+    rows = t.documents.select("doc_id", F.posexplode(chunking.pack(units, 100, 0.0, long_units=False)).alias("posicion", "c"))
     return rows.select("doc_id", "posicion", "c.tokens", "c.texto")
 
 
