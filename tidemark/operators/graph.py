@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark import config
 from tidemark.functions.text import admissible, evidence, name_key, strip
+from tidemark.sources.lineage import cut
 
 # Window width and overlap, and the ordered relation patterns (type, pattern, passive).
 WINDOW, STEP = 1200, 1000
@@ -107,11 +108,11 @@ def merge_similar(similar: DataFrame) -> DataFrame:
 
     The lineage is cut each round by a checkpoint in the shared folder.
     """
-    edges = similar.select("a", "b").unionByName(similar.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    edges = cut(similar.select("a", "b").unionByName(similar.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = edges.select(F.col("a").alias("clave")).distinct().withColumn("id", F.col("clave"))
     while True:
         near = edges.join(labels.select(F.col("clave").alias("b"), "id"), "b").groupBy(F.col("a").alias("clave")).agg(F.min("id").alias("_n"))
-        new = labels.join(near, "clave").select("clave", F.least("id", "_n").alias("id"), F.col("id").alias("_old")).checkpoint()
+        new = cut(labels.join(near, "clave").select("clave", F.least("id", "_n").alias("id"), F.col("id").alias("_old")))
         done = not new.filter("id <> _old").limit(1).count()
         labels = new.select("clave", "id")
         if done:

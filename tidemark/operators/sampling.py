@@ -75,22 +75,25 @@ def running_total(column: str, *order):
 def hard_negatives(rankings: DataFrame, already: DataFrame, docs: DataFrame, most: int, goal: int, have: int = 0) -> DataFrame:
     """Documents outside `already` by their best rank, until there are `most` or their fragments reach the goal."""
     best = rankings.join(already, "doc_id", "left_anti").groupBy("doc_id").agg(F.min("rank").alias("mejor"))
-    rows = best.join(docs.select("doc_id", "fragmentos"), "doc_id")
-    w = Window.partitionBy(F.lit(1)).orderBy("mejor", "doc_id")
-    rows = rows.withColumns({"_i": F.row_number().over(w), "_sum": running_total("fragmentos", "mejor", "doc_id")})
-    return rows.filter((F.col("_i") <= most) & (F.col("_sum") + have < goal)).select("doc_id", "mejor", "fragmentos")
+    # the running total needs the first `most` rows only
+    rows = best.join(docs.select("doc_id", "fragmentos"), "doc_id").orderBy("mejor", "doc_id").limit(most)
+    rows = rows.withColumn("_sum", running_total("fragmentos", "mejor", "doc_id"))
+    return rows.filter(F.col("_sum") + have < goal).select("doc_id", "mejor", "fragmentos")
 
 
 def stratified(docs: DataFrame, goal: int, per_round: int = 10, strata: tuple[str, ...] = ("fenomeno", "formato")) -> DataFrame:
     """docs (doc_id, fragmentos, strata, orden): rounds take from each stratum in turn, in proportion to its size, until
-    the fragments reach the goal."""
-    inside = Window.partitionBy(*strata)
-    total = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
-    quota = F.greatest(F.lit(1), F.rint(F.lit(float(per_round)) * F.count(F.lit(1)).over(inside) / total).cast("int"))
-    rows = docs.withColumns({"_q": quota, "_rn": F.row_number().over(inside.orderBy("orden", "doc_id"))})
-    rows = rows.withColumn("ronda", F.floor((F.col("_rn") - 1) / F.col("_q")).cast("int"))
+    the fragments reach the goal. Every document has a fragment at least, so no more than `goal` rows are looked at in
+    one order, and no more than `goal` of a stratum are ranked."""
+    sizes = docs.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"))
+    total = sizes.agg(F.sum("_n").alias("_all"))
+    quota = F.greatest(F.lit(1), F.rint(F.lit(float(per_round)) * F.col("_n") / F.col("_all")).cast("int"))
+    sizes = sizes.crossJoin(F.broadcast(total)).select(*strata, quota.alias("_q"))  # one row of totals
+    rank = F.row_number().over(Window.partitionBy(*strata).orderBy("orden", "doc_id"))
+    rows = docs.withColumn("_rn", rank).filter(F.col("_rn") <= goal).join(sizes, list(strata))
+    rows = rows.withColumn("ronda", F.floor((F.col("_rn") - 1) / F.col("_q")).cast("int")).orderBy("ronda", *strata, "_rn").limit(goal)
     rows = rows.withColumn("_sum", running_total("fragmentos", "ronda", *strata, "_rn"))
-    return rows.filter(F.col("_sum") < goal).drop("_q", "_rn", "_sum")
+    return rows.filter(F.col("_sum") < goal).select(*docs.columns, "ronda")
 
 
 def coverage(chosen: DataFrame, judged_chunks: DataFrame, relevant: DataFrame) -> DataFrame:
