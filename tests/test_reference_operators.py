@@ -325,6 +325,41 @@ def test_sinks(spark, tmp_path):
     assert (tmp_path / "i" / "encoder=a").exists()
 
 
+def test_load_queries(spark, tmp_path):
+    (tmp_path / "q.txt").write_text("Q002 dos\r\nsigue\nq001: uno")
+    (tmp_path / "q.jsonl").write_text('{"query_id": "Q1", "texto": "", "pregunta": "x"}\n{"query_id": "Q2"}')
+    assert [(r.query_id, r.texto) for r in readers.load_queries(spark, str(tmp_path / "q.txt")).collect()] == [("q001", "uno"), ("q002", "dos sigue")]
+    rows = spark.createDataFrame([("Q1", "", "x"), ("Q2", None, None)], "query_id string, texto string, pregunta string")
+    assert [(r.query_id, r.texto) for r in readers.queries_of_json(rows).collect()] == [("q1", "x")]
+    assert readers.load_queries(spark, str(tmp_path / "q.jsonl")).first().texto == "x"
+    with pytest.raises(readers.NotHere):
+        readers.load_queries(spark, "q.pdf")
+
+
+def test_csv_and_text(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b\n1,x\n2,\n")
+    assert sorted(r.texto for r in readers.csv_blocks(spark, str(tmp_path / "t.csv")).collect()) == ["a: 1 | b: x", "a: 2"]
+    (tmp_path / "n.txt").write_bytes(b"\xef\xbb\xbfhola")
+    assert readers.plain_text(spark, str(tmp_path / "n.txt")).first().texto == "hola"
+    assert readers.image_document(spark.range(1)).first().necesita_ocr
+
+
+def test_recover_stops_at_unknown_documents(spark):
+    d = lambda *ids: spark.createDataFrame([(i, f"f{i}") for i in ids], "doc_id long, fuente string")
+    assert {(r.doc_id, r.fuente, r.indexado) for r in readers.recover(d(1, 2), d(1), d(2)).collect()} == {(1, "f1", True), (2, "f2", False)}
+    with pytest.raises(Exception):
+        readers.recover(d(1, 2, 3), d(1), d(2)).collect()
+
+
+def test_chunks_of_sections(spark):
+    s = "array<struct<titulo: string, texto: string>>"
+    long = " ".join(f"frase número {k}." for k in range(60))
+    df = spark.createDataFrame([(1, "pdf", "", [("uno", "corta. " * 40), ("dos", long)]), (2, "pdf", "a b c d e f g h i j k l.", None)], f"doc_id long, formato string, texto string, secciones {s}")
+    rows = chunking.chunk_sections(df, budget=50, whole=100).orderBy("doc_id", "posicion").collect()
+    assert {r.titulo for r in rows if r.doc_id == 1} == {"uno"} or rows[0].titulo == "uno"
+    assert [r.posicion for r in rows if r.doc_id == 1] == list(range(len(rows) - 1)) and rows[-1].titulo is None
+
+
 def test_take_in(spark, tmp_path):
     src, dst, state = (str(tmp_path / x) for x in ("src", "dst", "state"))
     for k in range(2):

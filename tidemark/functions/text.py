@@ -201,3 +201,9 @@ def row_text(columns: list[str]) -> Column:
     """`column: value` of the cells that aren't blank, joined by ` | `."""
     cell = lambda c: F.when(F.trim(F.col(c).cast("string")) != "", F.concat(F.lit(f"{c}: "), F.trim(F.col(c).cast("string"))))
     return F.concat_ws(" | ", *[cell(c) for c in columns])
+
+
+def clean_section(text: Column, bad: Column) -> Column:
+    """A section's text normalised, without the given boilerplate lines of its document, and without numbering."""
+    lines = F.filter(F.split(normalise(text), "\n", -1), lambda x: ~F.array_contains(bad, strip(x)))
+    return collapse_newlines(drop_numbering(F.array_join(lines, "\n")))

@@ -171,3 +171,19 @@ def status(error: Column, needs_ocr: Column, text: Column, cleaned: Column, chun
         F.when(error.isNotNull(), "error_extraccion").when(needs_ocr, "pendiente_ocr").when(strip(text) == "", "vacio")
         .when(strip(cleaned) == "", "vacio_tras_limpieza").when(chunks == 0, "sin_fragmentos").otherwise("ok")
     )
+
+
+def chunk_sections(docs: DataFrame, budget: int = config.CHUNK_TOKENS, overlap: float = config.CHUNK_OVERLAP, least: int = config.MIN_CHUNK_TOKENS, whole: int = 650, small: int = 60) -> DataFrame:
+    """docs (doc_id, formato, texto, secciones) to chunks that follow sections: aligned to sentences, small ones joined,
+    those of up to `whole` tokens kept whole, others packed; each chunk has its section's title. Documents without
+    sections are cut as a whole."""
+    flat = chunk(docs.filter(F.coalesce(F.size("secciones"), F.lit(0)) <= 0).drop("secciones"), budget, overlap, least).withColumn("titulo", F.lit(None).cast("string"))
+    rows = docs.filter(F.size("secciones") > 0).select("doc_id", "formato", F.posexplode(merge_sections(align_sections(F.col("secciones")), small)).alias("s", "x"))
+    parts = F.when(F.col("x.tokens") <= whole, F.array(F.struct(F.col("x.texto").alias("texto"), F.col("x.tokens").cast("int").alias("tokens")))).otherwise(pack(sentences(F.col("x.texto")), budget, overlap))
+    rows = rows.select("doc_id", "formato", "s", F.col("x.titulo").alias("titulo"), F.posexplode(F.filter(parts, lambda c: c["tokens"] >= least)).alias("p", "c"))
+    pos = F.row_number().over(Window.partitionBy("doc_id").orderBy("s", "p")) - 1
+    rows = rows.withColumn("posicion", pos).select(
+        F.format_string("%s-chunk-%04d", F.col("doc_id").cast("string"), "posicion").alias("chunk_id"), "doc_id", "formato", "posicion",
+        F.col("c.tokens").alias("num_tokens"), F.col("c.texto").alias("texto"), "titulo",
+    )
+    return flat.unionByName(rows)

@@ -141,3 +141,19 @@ def against_base(runs: DataFrame, base: int) -> DataFrame:
     word = F.when(F.least(dn, df) > 0, "gana").when(F.greatest(dn, df) < 0, "pierde").otherwise("mixto")
     rows = runs.withColumn("umbral", F.round(F.lit(0.05) / F.greatest(2 * (n - 1), F.lit(1)), 6)).crossJoin(F.broadcast(b))
     return rows.filter(F.col("idx") != base).select("idx", F.round(dn, 6).alias("d_ndcg"), F.round(df, 6).alias("d_f1"), word.alias("veredicto"), "umbral")
+
+
+def evaluate_by_text(fragments: DataFrame, documents: DataFrame, judged: DataFrame, relevant: DataFrame) -> DataFrame:
+    """(query_id, ndcg, f1) where fragments (query_id, rank, chunk_id, text) get the grade of the judged passages
+    (query_id, judged_id, grade, texto) they overlap. Judgments without text leave the ideal too."""
+    from tidemark.operators.matching import grades
+
+    texts = fragments.select("query_id", "chunk_id", F.col("text").alias("texto")).dropDuplicates(["query_id", "chunk_id"])
+    graded = grades(texts, judged, "chunk_id")
+    known = judged.filter("texto IS NOT NULL")
+    best = Window.partitionBy("query_id").orderBy(F.desc("grade"))
+    ideal = known.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= config.TOP_FRAGMENTS)
+    ideal = ideal.groupBy("query_id").agg(dcg(F.col("grade"), F.col("_r")).alias("ideal"))
+    got = fragments.filter(F.col("rank") <= config.TOP_FRAGMENTS).join(graded, ["query_id", "chunk_id"]).groupBy("query_id").agg(dcg(F.col("grade"), F.col("rank")).alias("dcg"))
+    scored = got.join(ideal, "query_id").select("query_id", F.coalesce(F.try_divide("dcg", F.nullif("ideal", F.lit(0.0))), F.lit(0.0)).alias("ndcg"))
+    return scored.join(f1(documents, relevant), "query_id")

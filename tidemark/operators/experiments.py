@@ -177,3 +177,19 @@ def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that only one of two results has, with the side."""
     left = a.exceptAll(b).withColumn("lado", F.lit("a"))
     return left.unionByName(b.exceptAll(a).withColumn("lado", F.lit("b")))
+
+
+def recipe_plan(spark: SparkSession, names: list[str]) -> DataFrame:
+    """A row per recipe."""
+    rows = [(k, r.name, list(r.encoders), r.chunk, r.solape, r.fusion, r.agregacion, r.umbral, r.max_por_doc, r.estrategia) for k, r in enumerate(RECIPES[n] for n in names)]
+    return spark.createDataFrame(rows, "idx int, receta string, encoders array<string>, chunk int, solape double, fusion string, agregacion string, umbral double, max_por_doc int, estrategia string")
+
+
+def to_build(pairs: DataFrame, built: DataFrame) -> DataFrame:
+    """Chunkings and encoders that a plan needs and that aren't there yet."""
+    return pairs.join(built, ["chunk", "solape", "encoder"], "left_anti")
+
+
+def preflight(have: dict[str, bool]) -> list[str]:
+    """What is missing among the named parts of an environment, in order."""
+    return [f"missing: {name}" for name, there in have.items() if not there]

@@ -134,3 +134,10 @@ def dual_policy(rankings: DataFrame, chunks: DataFrame, queries: DataFrame, frag
     fragments, _ = reorder(rankings.filter(F.col("encoder").isin(fragment_encoders)), chunks, queries, "rrf", **options)
     _, documents = reorder(rankings.filter(F.col("encoder").isin(document_encoders)), chunks, queries, "convex", **options)
     return fragments, documents
+
+
+def retrieve(indices: dict[str, DataFrame], query_vectors: dict[str, DataFrame], chunks: DataFrame, queries: DataFrame, k: int = config.CANDIDATES, **options) -> tuple[DataFrame, DataFrame]:
+    """Search and reorder in one call."""
+    from tidemark.operators.search import search_all
+
+    return reorder(search_all(indices, query_vectors, k), chunks, queries, **options)

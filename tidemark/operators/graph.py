@@ -239,3 +239,10 @@ def graphml(nodes: DataFrame, edges: DataFrame) -> Iterator[str]:
 def not_scalar(df: DataFrame) -> list[str]:
     """Columns whose type GraphML can't hold."""
     return [f"{name}: {kind}" for name, kind in df.dtypes if kind.startswith(("array", "map", "struct", "binary", "variant"))]
+
+
+def as_ranking(ranked: DataFrame, chunks: DataFrame, encoder: str = "grafo", order: int = 9) -> DataFrame:
+    """Chunks ranked by entities as rows of the rankings table, those unknown to the index left out and ranks closed."""
+    known = ranked.withColumn("chunk_id", F.regexp_replace("chunk", "^C:", "").try_cast("long")).join(chunks.select("chunk_id"), "chunk_id", "left_semi")
+    best = Window.partitionBy("query_id").orderBy("rank")
+    return known.select("query_id", F.lit(encoder).alias("encoder"), F.lit(order).alias("enc_ord"), F.row_number().over(best).alias("rank"), "chunk_id", F.col("score").alias("sim"))

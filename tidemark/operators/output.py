@@ -36,11 +36,12 @@ def pieces(text: Column, most: int = config.FRAGMENT_WORDS) -> Column:
 
 
 def emit_fragments(
-    candidates: DataFrame, top: int = config.TOP_FRAGMENTS, most: int = config.FRAGMENT_WORDS, split: bool = False, per_doc: int = config.PER_DOC,
+    candidates: DataFrame, top: int = config.TOP_FRAGMENTS, most: int = config.FRAGMENT_WORDS, split: bool = False, per_doc: int = config.PER_DOC, first_piece: bool = False,
 ) -> DataFrame:
-    """(query_id, rank, chunk_id, doc_id, text): truncated or split fragments, at most per_doc positions of a document,
+    """(query_id, rank, chunk_id, doc_id, text): truncated or split fragments (or the first piece of the split ones), at most per_doc positions of a document,
     then what that left out, in order, until there are enough."""
     texts = pieces(F.col("texto"), most) if split else F.array(truncate_words(F.col("texto"), most))
+    texts = F.slice(pieces(F.col("texto"), most), 1, 1) if first_piece else texts
     rows = candidates.withColumn("_texts", texts).select("query_id", "chunk_id", "doc_id", "pos", F.posexplode("_texts").alias("piece", "text"))
     inside = Window.partitionBy("query_id", "doc_id").orderBy("pos", "piece")
     rows = rows.withColumn("_late", F.row_number().over(inside) > per_doc)

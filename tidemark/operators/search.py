@@ -147,3 +147,19 @@ def missing_blocks(done: DataFrame, total: int) -> DataFrame:
 def fingerprint(rows: DataFrame, *columns: str) -> DataFrame:
     """A number of the content that doesn't depend on the order of rows, and the count of rows."""
     return rows.agg(F.bit_xor(F.xxhash64(*columns)).alias("print"), F.count(F.lit(1)).alias("rows"))
+
+
+def encode(rows: DataFrame, id_col: str, text_col: str, load, prefix: str = "") -> DataFrame:
+    """(id_col, vector): unit vectors of prefixed texts. load() gives a function from a list of texts to a matrix; it is
+    called once per task. Models aren't part of this library."""
+
+    def run(batches):
+        model = load()
+        for batch in batches:
+            if batch.num_rows:
+                m = np.asarray(model([prefix + (t or "") for t in batch.column(1).to_pylist()]), np.float64)
+                m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(m), pa.list_(pa.float64()))], [id_col, "vector"])
+
+    kind = rows.schema[id_col].dataType.simpleString()
+    return rows.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, vector array<double>")

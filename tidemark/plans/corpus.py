@@ -654,3 +654,52 @@ UNION ALL SELECT 'fuentes_repetidas', count(*) FROM (SELECT source FROM document
 def _(t: Tables):
     docs = t.documents.select("doc_id", F.col("source").alias("fuente"))
     return readers.catalogue_report(docs, docs.filter("fuente < 'src5'"))
+
+
+@query("src_29_judged_texts", "SELECT conv_id AS chunk_id, arg_max(text, turn) AS texto FROM conversations GROUP BY 1")
+def _(t: Tables):
+    return readers.judged_texts(t.conversations.select(F.col("conv_id").alias("chunk_id"), F.col("turn").alias("ord"), F.col("text").alias("texto")))
+
+
+@query("src_36_first_fragments", BASE + "SELECT chunk_id, doc_id, fuente FROM chunks ORDER BY chunk_id LIMIT 25")
+def _(t: Tables):
+    return readers.first_fragments(None, t.chunks().select("chunk_id", "doc_id", "fuente"), 25)
+
+
+@query("snk_12_aligned", "SELECT 'a' AS encoder, count(*) AS vectores, count(*) AS filas, true AS alineado FROM embeddings UNION ALL SELECT 'b', count(*), count(*) FILTER (vec_id > 9), false FROM embeddings")
+def _(t: Tables):
+    ids = t.embeddings.select("vec_id")
+    both = ids.withColumn("encoder", F.lit("a")).unionByName(ids.withColumn("encoder", F.lit("b")))
+    return sinks.aligned(both, both.filter("encoder = 'a' OR vec_id > 9"))
+
+
+@query("smp_11_recover", BASE + "SELECT DISTINCT doc_id, CASE WHEN doc_id < 60 THEN fuente ELSE 'crudo' END AS fuente, doc_id < 60 AS indexado FROM chunks")
+def _(t: Tables):
+    docs = sampling.doc_stats(t.chunks()).select("doc_id", "fuente")
+    return readers.recover(docs, docs.filter("doc_id < 60"), docs.withColumn("fuente", F.lit("crudo")))
+
+
+@query("txt_07_clean_section")
+def _(t: Tables):
+    docs = _docs(t)
+    bad = T.boilerplate(docs, "doc_id", "texto").groupBy("doc_id").agg(F.collect_set("line").alias("bad"))
+    rows = docs.join(bad, "doc_id", "left").withColumn("bad", F.coalesce("bad", F.array().cast("array<string>")))
+    return rows.select("doc_id", T.clean_section(F.col("texto"), F.col("bad")).alias("texto"))
+
+
+@query("chk_09_sections")
+def _(t: Tables):
+    docs = _sections(t).select(F.col("conv_id").alias("doc_id"), F.lit("pdf").alias("formato"), F.lit("").alias("texto"), "secciones")
+    return chunking.chunk_sections(docs, budget=100)
+
+
+@query("gra_21_channel", _MENTIONS + """
+, want AS (SELECT range AS query_id, 'part ' || (range * 7) AS e FROM range(20)), sym AS (SELECT s, o FROM rela UNION SELECT o, s FROM rela),
+w AS (SELECT query_id, e, max(w) AS w FROM (SELECT query_id, e, 1.0 AS w FROM want UNION ALL SELECT query_id, b.o, 0.35 FROM want JOIN sym b ON b.s = want.e) GROUP BY 1, 2),
+sc AS (SELECT query_id, chunk_id, round(sum(w * (1 + (n - 1) * 0.25)), 9)::DOUBLE AS sim FROM w JOIN top ON top.id = w.e GROUP BY 1, 2),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, 'C:' || chunk_id) AS r FROM sc) WHERE r <= 50)
+SELECT query_id, chunk_id, sim, row_number() OVER (PARTITION BY query_id ORDER BY r) AS rank FROM best WHERE chunk_id IN (SELECT vec_id FROM embeddings)""")
+def _(t: Tables):
+    wanted = t.spark.range(20).select(F.col("id").alias("query_id"), F.concat(F.lit("part "), F.col("id") * 7).alias("id"))
+    out = graph.as_ranking(graph.rank_by_entities(wanted, _graph(t)[2]), t.chunks())
+    return out.select("query_id", "chunk_id", "sim", "rank")

@@ -432,3 +432,43 @@ def _(t: Tables):
 @query("evl_21_best_of", f"WITH {_RUNS} SELECT idx % 5 AS experimento, max(ndcg) AS ndcg, max(f1) AS f1, count(*) AS corridas FROM runs GROUP BY 1")
 def _(t: Tables):
     return experiments.best_of(_runs(t).withColumn("experimento", F.col("idx") % 5))
+
+
+@query("vec_01_encode", "SELECT doc_id, round(sqrt(1.0), 6) AS norma FROM documents")
+def _(t: Tables):
+    def load():
+        import zlib
+
+        return lambda texts: [[zlib.crc32(x[i::4].encode()) % 1000 + 1 for i in range(4)] for x in texts]
+
+    rows = search.encode(t.documents, "doc_id", "text", load, "passage: ")
+    return rows.select("doc_id", F.round(search.norm(F.col("vector")), 6).alias("norma"))
+
+
+@query("fus_13_retrieve", BASE + RRF + pooled(TOP2) + "SELECT query_id, rank, doc_id, fuente FROM documents3")
+def _(t: Tables):
+    return fusion.retrieve(t.indices(), t.query_vectors(), t.chunks(), t.queries(), 50)[1].select("query_id", "rank", "doc_id", "fuente")
+
+
+@query("out_04_first_piece")
+def _(t: Tables):
+    return output.emit_fragments(fusion.reorder(t.rankings(), t.chunks(), t.queries())[0], first_piece=True)
+
+
+@query("evl_05_by_text")
+def _(t: Tables):
+    frags, docs = fusion.reorder(t.rankings(), t.chunks(), t.queries())
+    judged = t.qrels().filter("query_id < 5").join(t.chunks().select("chunk_id", "texto"), "chunk_id").withColumnRenamed("chunk_id", "judged_id")
+    return evaluation.evaluate_by_text(output.emit_fragments(frags), docs, judged.select("query_id", "judged_id", "grade", "texto"), t.relevant())
+
+
+@query("exp_04_recipe_plan", "SELECT unnest(['entrega', 'convexa', 'granular']) AS receta, unnest([504, 504, 256])::BIGINT AS chunk, unnest([0.15, 0.15, 0.0])::DOUBLE AS solape")
+def _(t: Tables):
+    return experiments.recipe_plan(t.spark, experiments.select("entrega,convexa,granular")).select("receta", "chunk", "solape")
+
+
+@query("exp_08_to_build", "SELECT * FROM (VALUES (256::BIGINT, 0.15::DOUBLE, 'a'), (256, 0.15, 'b')) v(chunk, solape, encoder)")
+def _(t: Tables):
+    plan = experiments.grid_plan(t.spark, [256, 504], [0.15], ["a", "b"], 1, {"fusion": ["rrf"], "k0": [60]})
+    pairs = experiments.pairs_to_index(plan, t.spark.createDataFrame(_LIMITS, "encoder string, max_tokens int"))
+    return experiments.to_build(pairs, pairs.filter("chunk = 504")).select("chunk", "solape", "encoder")

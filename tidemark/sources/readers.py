@@ -219,3 +219,34 @@ def mention_rows(raw: DataFrame) -> DataFrame:
 
 def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
+
+
+def judged_texts(raw: DataFrame) -> DataFrame:
+    """(chunk_id, texto): the last text of each chunk, by ord."""
+    return raw.groupBy("chunk_id").agg(F.max_by("texto", "ord").alias("texto"))
+
+
+def first_fragments(fragments: DataFrame | None, index_meta: DataFrame, limit: int | None = None) -> DataFrame:
+    """The stored fragments, or the metadata of the index where there are none; the first `limit` by chunk_id."""
+    rows = index_meta if fragments is None else fragments
+    return rows if limit is None else rows.orderBy("chunk_id").limit(limit)
+
+
+def load_queries(spark: SparkSession, path: str) -> DataFrame:
+    """(query_id, texto) by id: JSON lines by the suffix .jsonl or .json, else text."""
+    if path.endswith((".jsonl", ".json")):
+        return queries_of_json(spark.read.json(path)).orderBy("query_id")
+    if path.endswith(".pdf"):
+        binary_reader("pdf")
+    # a file of queries is small: it is read whole, so that its lines keep their numbers
+    whole = spark.read.text(path, wholetext=True)
+    lines = whole.select(F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("n", "linea"))
+    return queries_of_text(lines).orderBy("query_id")
+
+
+def recover(wanted: DataFrame, indexed: DataFrame, raw: DataFrame) -> DataFrame:
+    """Metadata of wanted documents from the index or else from the raw texts; reading fails if one is in neither."""
+    here = wanted.select("doc_id").distinct().join(indexed.select("doc_id", F.col("fuente").alias("_a")), "doc_id", "left")
+    both = here.join(raw.select("doc_id", F.col("fuente").alias("_b")), "doc_id", "left")
+    lost = F.raise_error(F.concat(F.lit("document without metadata: "), F.col("doc_id").cast("string"))).cast("string")
+    return both.select("doc_id", F.coalesce("_a", "_b", lost).alias("fuente"), F.col("_a").isNotNull().alias("indexado"))

@@ -43,3 +43,11 @@ def queries_with_phenomenon(queries: DataFrame, phenomenon) -> DataFrame:
 def filled(df: DataFrame) -> DataFrame:
     """Null strings as empty ones."""
     return df.na.fill("")
+
+
+def aligned(vectors: DataFrame, meta: DataFrame) -> DataFrame:
+    """(encoder, vectores, filas, alineado): whether each index has as many vectors as rows of metadata."""
+    a = vectors.groupBy("encoder").agg(F.count(F.lit(1)).alias("vectores"))
+    b = meta.groupBy("encoder").agg(F.count(F.lit(1)).alias("filas"))
+    out = a.join(b, "encoder", "full").na.fill(0, ["vectores", "filas"])
+    return out.withColumn("alineado", F.col("vectores") == F.col("filas"))
