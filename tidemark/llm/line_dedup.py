@@ -109,34 +109,32 @@ def dedup_lines(
     one as holders, and all rows of the largest id keep the line. Rows with a null id never hold or lose a line. Other
     columns stay as they are; those named n_lines, n_dropped or kept_text are replaced. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    ws = Workspace(spark, "lines")
-    ids = docs.filter(docs[id_col].isNotNull())
-    keys = ws.save(line_keys(ids, id_col, text_col, min_chars), "keys")
-    bounds = batch_bounds(ids.select(id_col), id_col, batches)
+    ws = Workspace(docs.sparkSession, "lines")
+    rows = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"), F.struct("*").alias("_row"))
+    ids = rows.filter(F.col("_id").isNotNull())
+    keys = ws.save(line_keys(ids, "_id", "_text", min_chars), "keys")
+    bounds = batch_bounds(ids.select("_id"), "_id", batches)
     store = LineRuns(ws, fanout)
     edges = [None, *bounds, None]
     for low, high in list(zip(edges[:-1], edges[1:]))[::-1]:
         batch = keys
         if low is not None:
-            batch = batch.filter(F.col(id_col) > low)
+            batch = batch.filter(F.col("_id") > low)
         if high is not None:
-            batch = batch.filter(F.col(id_col) <= high)
-        store.add(batch, id_col)
+            batch = batch.filter(F.col("_id") <= high)
+        store.add(batch, "_id")
     # written first, so that the join below has exchanges of its own that can be split where a line is very common
     repeated = ws.save(store.merged().filter(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"), "repeated")
-    lost = keys.join(repeated, ["h1", "h2"]).filter(F.col(id_col) < F.col("keeper"))
-    lost = lost.select(id_col, F.struct("h1", "h2").alias("k")).groupBy(id_col).agg(F.collect_set("k").alias("_lost"))
-    kept = docs.drop("n_lines", "n_dropped", "kept_text").join(lost, id_col, "left")
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    lost = keys.join(repeated, ["h1", "h2"]).filter(F.col("_id") < F.col("keeper"))
+    lost = lost.select("_id", F.struct("h1", "h2").alias("k")).groupBy("_id").agg(F.collect_set("k").alias("_lost"))
+    lines = F.split(F.coalesce(F.col("_text"), F.lit("")), "\n", -1)
     stays = F.filter(
         lines, lambda x: ~((F.length(line_key(x)) >= min_chars) & F.array_contains(F.col("_lost"), key_hash(line_key(x))))
     )
-    kept = kept.withColumn("_stays", F.when(F.col("_lost").isNull(), lines).otherwise(stays))
+    kept = rows.join(lost, "_id", "left").withColumn("_stays", F.when(F.col("_lost").isNull(), lines).otherwise(stays))
     n_lines = F.size(lines).cast("long")
-    return kept.withColumns(
-        {"n_lines": n_lines, "n_dropped": n_lines - F.size("_stays"), "kept_text": F.array_join("_stays", "\n")}
-    ).drop("_lost", "_stays")
+    made = {"n_lines": n_lines, "n_dropped": n_lines - F.size("_stays"), "kept_text": F.array_join("_stays", "\n")}
+    return kept.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
