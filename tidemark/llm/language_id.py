@@ -135,9 +135,13 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
     ws = Workspace(spark, "langid")
     usable = docs.filter(~held_out(id_col) & docs[lang_col].isNotNull() & docs[id_col].isNotNull())
     langs = usable.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang_col).limit(MOST_LANGUAGES).collect()
-    langs = sorted(r[0] for r in langs)
+    sizes = {r[0]: r[1] for r in langs}
+    langs = sorted(sizes)
+    # rows of large languages are thinned by hash before they are ranked: half as many again as are wanted go on
+    part = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / float(1 << 30)
+    most = F.create_map(*[F.lit(x) for k in langs for x in (k, 1.5 * ROWS_PER_LANGUAGE / sizes[k])]) if langs else None
     order = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    ids = usable.filter(F.col(lang_col).isin(langs)).select(id_col, lang_col).withColumn("_rank", F.row_number().over(order))
+    ids = usable.filter(F.col(lang_col).isin(langs) & (part < most[F.col(lang_col)]) if langs else F.lit(False)).select(id_col, lang_col).withColumn("_rank", F.row_number().over(order))
     ids = ws.save(ids.filter(F.col("_rank") <= ROWS_PER_LANGUAGE).select(id_col).distinct(), "sample")
     # at most ROWS_PER_LANGUAGE * MOST_LANGUAGES narrow rows, whatever the input
     rows = usable.join(F.broadcast(ids), id_col).select(lang_col, text_col)
