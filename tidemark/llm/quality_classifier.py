@@ -21,7 +21,7 @@ from .workspace import Workspace, only
 BITS = 16
 META_BITS = 10
 #: Labelled rows used at most, and unlabelled rows in the pool (those with the smallest hashes of their ids).
-MOST_LABELLED, POOL = 12_000, 6_000
+MOST_LABELLED, POOL = 10_000, 4_000
 ROUNDS = 3
 #: Rows of each class that a view gives to the other in a round, at this confidence at least.
 EXCHANGED, CONFIDENT = 300, 0.95
