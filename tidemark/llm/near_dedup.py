@@ -362,7 +362,7 @@ def near_duplicates(
     has a null component_id and is kept. Other columns are left out. An empty table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "near")
-    docs = only(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = only(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     kind = "id long, n long, h1 long, h2 long, signature binary, paths array<long>"
     sketch = ws.save(docs.mapInArrow(_sketch(size), kind), "sketch")
     linked = sketch.filter("id IS NOT NULL AND n > 0")
