@@ -20,9 +20,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines stay in the largest document only; a document keeps its place even if no line is left."""
-    out = dedup_lines(docs).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept_text")))
-    out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = dedup_lines(docs.select("doc_id", "text", F.struct("*").alias("whole")))
+    new = F.when(F.col("text").isNotNull(), F.col("kept_text"))
+    made = {"text": new, "n_chars": F.length(new).cast(docs.schema["n_chars"].dataType)}
+    return out.select(*[made.get(c, F.col("whole")[c]).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
