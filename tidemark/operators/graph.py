@@ -109,13 +109,15 @@ def merge_similar(similar: DataFrame) -> DataFrame:
     The lineage is cut each round by a checkpoint in the shared folder.
     """
     edges = cut(similar.select("a", "b").unionByName(similar.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = edges.select(F.col("a").alias("clave")).distinct().withColumn("id", F.col("clave"))
+    labels = edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("id")).select(F.col("a").alias("clave"), "id")
     while True:
         near = edges.join(labels.select(F.col("clave").alias("b"), "id"), "b").groupBy(F.col("a").alias("clave")).agg(F.min("id").alias("_n"))
-        new = cut(labels.join(near, "clave").select("clave", F.least("id", "_n").alias("id"), F.col("id").alias("_old")))
-        done = not new.filter("id <> _old").limit(1).count()
+        met = cut(labels.join(near, "clave").select("clave", F.least("id", "_n").alias("id"), F.col("id").alias("_old")))
+        # and then the label of the label: widths halve each round
+        jump = met.select(F.col("clave").alias("id"), F.col("id").alias("_far"))
+        new = cut(met.join(jump, "id", "left").select("clave", F.least("id", F.coalesce("_far", "id")).alias("id"), "_old"))
         labels = new.select("clave", "id")
-        if done:
+        if not new.filter("id <> _old").limit(1).count():
             return labels
 
 

@@ -40,24 +40,30 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def _best(q: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k largest of each query, ties by id."""
+    order = np.lexsort((ids, -sims, q))
+    q, ids, sims = q[order], ids[order], sims[order]
+    head = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, np.int64)
+    place = np.arange(len(q)) - np.repeat(head, np.diff(np.r_[head, len(q)]))
+    keep = place < k
+    return q[keep], ids[keep], sims[keep]
+
+
 def _searcher(ids: np.ndarray, vectors: np.ndarray, k: int):
     def run(batches):
-        held_id, held_sim = [np.zeros(0, np.int64)] * len(ids), [np.zeros(0)] * len(ids)
+        q, found, best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = batch.column(0).to_numpy()
             sims = np.round(_matrix(batch.column(1)) @ vectors.T, config.TAU_DIGITS)
-            for q in range(len(ids)):
-                i, s = np.concatenate([held_id[q], rows]), np.concatenate([held_sim[q], sims[:, q]])
-                keep = np.lexsort((i, -s))[:k]
-                held_id[q], held_sim[q] = i[keep], s[keep]
-        n = np.array([len(x) for x in held_id])
-        if n.sum():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids, n)), pa.array(np.concatenate(held_id)), pa.array(np.concatenate(held_sim))],
-                ["query_id", "chunk_id", "sim"],
-            )
+            n = len(rows)
+            least = np.partition(sims, n - k, axis=0)[n - k] if n > k else np.full(len(ids), -np.inf)
+            r, c = np.nonzero(sims >= least)
+            q, found, best = _best(np.concatenate([q, c]), np.concatenate([found, rows[r]]), np.concatenate([best, sims[r, c]]), k)
+        if len(q):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(found), pa.array(best)], ["query_id", "chunk_id", "sim"])
 
     return run
 
