@@ -227,7 +227,7 @@ def test_leaks(spark):
     filler = lambda n: " ".join("".join(rng.choice("klmnopqrst") for _ in range(5)) for _ in range(n))
     typo = list(items[2])
     for at in (30, 80, 130):
-        typo[at] = "#"
+        typo[at] = "z"
     texts = [None, "", filler(40), f"{filler(9)} {items[0].upper()} {filler(4)}", f"{filler(3)}\n{items[3]}", f"{filler(3)} {''.join(typo)} {filler(3)}", items[1].replace(" ", "\n")]
     bench = spark.createDataFrame([*enumerate(items), (9, None), (10, ""), (11, "x"), (None, items[0])], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in leaks(docs(spark, texts), bench).collect()}
@@ -235,7 +235,7 @@ def test_leaks(spark):
     blocks = {(r.doc_id, r.item_id) for r in leaks(docs(spark, texts), bench, block_chars=100).collect()}
     assert blocks == got
     assert leaks(docs(spark, texts), bench.limit(0)).count() == 0
-    assert normal(" A\t b\n") == "a b"
+    assert normal(" A,\t--b_c\n") == "a b c"
 
 
 def test_packing(spark):

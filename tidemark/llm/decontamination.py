@@ -29,12 +29,12 @@ SHORTEST = 40
 #: Characters of benchmark text that one block holds.
 BLOCK_CHARS = 4_000_000
 
-_SPACE = re.compile(r"[\s]+")
+_OTHER = re.compile(r"[\W_]+")
 
 
 def normal(text: str | None) -> str:
-    """Lower case, every run of white space one space, none at the ends."""
-    return _SPACE.sub(" ", (text or "").lower()).strip()
+    """Lower case, every run of anything but letters and digits one space, none at the ends."""
+    return _OTHER.sub(" ", (text or "").lower()).strip()
 
 
 def edit_budget(m: int, edits: int = EDITS, q: int = Q) -> int:
