@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .workspace import Workspace, only
 
-Q = 10
+Q = 9
 #: Edits per 100 characters of a probe.
-EDITS = 7
+EDITS = 9
 #: Characters of a probe: texts of twice that and more are cut.
 PROBE = 80
 #: Shortest text that is looked for; shorter ones have no q-gram bound and are compared as whole lines of words.
