@@ -14,10 +14,10 @@ from .workspace import Workspace, only
 DIMENSIONS = 4096
 SIZES = (1, 2, 3)
 CENTROIDS = 4
-#: Labelled rows a language gives to the fit at most (those with the smallest hashes of their ids).
-ROWS_PER_LANGUAGE = 1000
+#: Labelled rows a language gives to the fit at most (those with the smallest hashes of their ids), and all together.
+ROWS_PER_LANGUAGE, MOST_ROWS = 1000, 6000
 #: Languages with the most labelled rows that are learned at most.
-MOST_LANGUAGES = 400
+MOST_LANGUAGES = 300
 #: A text further from its centroid than this share of the learned texts of that centroid is marked as rejected.
 RADIUS = 0.999
 UNKNOWN = "und"
@@ -101,14 +101,17 @@ class Model:
 
     def __init__(self, langs: list[str], rows: list[tuple[str, np.ndarray, np.ndarray]]):
         self.langs = langs
-        counts = np.zeros((len(rows), DIMENSIONS), np.float32)
-        for i, (_, at, n) in enumerate(rows):
-            counts[i, at] = n
-        self.idf = np.log((1 + len(rows)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
-        which = np.array([langs.index(r[0]) for r in rows], np.int64)
+        held = np.zeros(DIMENSIONS)
+        for _, at, _ in rows:
+            held[at] += 1
+        self.idf = (np.log((1 + len(rows)) / (1 + held)) + 1).astype(np.float32)
         centres, owners, radii = [], [], []
-        for k in range(len(langs)):
-            v = weigh(counts[which == k], self.idf)
+        for k, lang in enumerate(langs):
+            own = [r for r in rows if r[0] == lang]
+            counts = np.zeros((len(own), DIMENSIONS), np.float32)
+            for i, (_, at, n) in enumerate(own):
+                counts[i, at] = n
+            v = weigh(counts, self.idf).astype(np.float32)
             c = cluster(v, CENTROIDS, k)
             best = v @ c.T
             for j in range(len(c)):
@@ -130,20 +133,21 @@ def held_out(id_col: str) -> Column:
 
 
 def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
-    """Fit on at most ROWS_PER_LANGUAGE labelled rows of each language that aren't held out."""
+    """Fit on labelled rows that aren't held out: at most ROWS_PER_LANGUAGE of each language and MOST_ROWS of all."""
     spark = docs.sparkSession
     ws = Workspace(spark, "langid")
     usable = docs.filter(~held_out(id_col) & docs[lang_col].isNotNull() & docs[id_col].isNotNull())
     langs = usable.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang_col).limit(MOST_LANGUAGES).collect()
     sizes = {r[0]: r[1] for r in langs}
     langs = sorted(sizes)
+    most_rows = min(ROWS_PER_LANGUAGE, MOST_ROWS // max(1, len(langs)))
     # rows of large languages are thinned by hash before they are ranked: half as many again as are wanted go on
     part = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / float(1 << 30)
-    most = F.create_map(*[F.lit(x) for k in langs for x in (k, 1.5 * ROWS_PER_LANGUAGE / sizes[k])]) if langs else None
+    most = F.create_map(*[F.lit(x) for k in langs for x in (k, 1.5 * most_rows / sizes[k])]) if langs else None
     order = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
     ids = usable.filter(F.col(lang_col).isin(langs) & (part < most[F.col(lang_col)]) if langs else F.lit(False)).select(id_col, lang_col).withColumn("_rank", F.row_number().over(order))
-    ids = ws.save(ids.filter(F.col("_rank") <= ROWS_PER_LANGUAGE).select(id_col).distinct(), "sample")
-    # at most ROWS_PER_LANGUAGE * MOST_LANGUAGES narrow rows, whatever the input
+    ids = ws.save(ids.filter(F.col("_rank") <= most_rows).select(id_col).distinct(), "sample")
+    # at most MOST_ROWS narrow rows, whatever the input
     rows = usable.join(F.broadcast(ids), id_col).select(lang_col, text_col)
     rows = rows.mapInArrow(_vectors, "lang string, at array<int>, n array<float>").toPandas()
     rows = sorted(((r.lang, np.asarray(r.at, np.int64), np.asarray(r.n, np.float32)) for r in rows.itertuples() if r.lang in set(langs)), key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
