@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,12 +50,15 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
 
 
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+
+
 def _chunks(texts: list[str | None], chars: int = 400_000):
-    """Whole texts, lower case, in chunks of bounded length and number."""
+    """Whole texts, lower case, with a space for all between letters, in chunks of bounded length and number."""
     held: list[str] = []
     n = 0
     for t in texts:
-        held.append((t or "").lower())
+        held.append(_NOT_LETTERS.sub(" ", (t or "").lower()))
         n += len(held[-1])
         if n >= chars or len(held) >= 256:
             yield held
