@@ -25,14 +25,21 @@ MOST_LABELLED, POOL = 10_000, 4_000
 ROUNDS = 3
 #: Rows of each class that a view gives to the other in a round, at this confidence at least.
 EXCHANGED, CONFIDENT = 300, 0.95
-ACCEPT = 0.5
+ACCEPT = 0.4
 _STEPS = 200
 
 
+_REPEATS = K.stream(31, 11)
+
+
 def text_features(part: K.Slice) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket) of the distinct tokens of every text: words in lower case, marks, and whether words are capitals."""
+    """(text, bucket) of the distinct tokens of every text (words in lower case, and marks) and of the share of words
+    that repeat the one before, in tenths."""
     w = K.words(part, K.TOKEN_CLASS, lower=True)
-    text, bucket = w.text, (w.hash >> np.uint64(64 - BITS)).astype(np.int64)
+    again = (w.hash[1:] == w.hash[:-1]) & (w.text[1:] == w.text[:-1])
+    share = 10 * np.bincount(w.text[1:][again], minlength=len(part)) // np.maximum(1, w.counts)
+    text = np.r_[w.text, np.arange(len(part))]
+    bucket = np.r_[(w.hash >> np.uint64(64 - BITS)).astype(np.int64), (_REPEATS[np.minimum(share, 10)] >> np.uint64(64 - BITS)).astype(np.int64)]
     pair = np.unique((text.astype(np.int64) << BITS) | bucket)
     return pair >> BITS, pair & ((1 << BITS) - 1)
 
