@@ -22,6 +22,8 @@ from .workspace import Workspace, only
 Q = 9
 #: Edits per 100 characters of a probe.
 EDITS = 9
+#: Share of a probe's length that the bound on shared q-grams must keep: chance reaches less.
+LEAST_SHARE = 0.18
 #: Characters of a probe: texts of twice that and more are cut.
 PROBE = 80
 #: Shortest text that is looked for; shorter ones have no q-gram bound and are compared as whole lines of words.
@@ -38,8 +40,8 @@ def normal(text: str | None) -> str:
 
 
 def edit_budget(m: int, edits: int = EDITS, q: int = Q) -> int:
-    """Edits allowed for a probe of m characters; few enough that the q-gram bound stays positive."""
-    return max(0, min(m * edits // 100, (m - q) // q if m >= q else 0))
+    """Edits allowed for a probe of m characters; few enough that the q-gram bound stays a good part of its length."""
+    return max(0, min(m * edits // 100, (m + 1 - q - int(LEAST_SHARE * m)) // q))
 
 
 def _codes(text: str) -> np.ndarray:
@@ -149,6 +151,8 @@ class Probes:
             best = np.minimum.accumulate(slope)
             origin = np.maximum.accumulate(np.where(slope == best, span, 0))
             cost, start = best + span, begin[origin]
+            if i % 8 == 7 and cost.min() > k:
+                return None
         end = int(np.argmin(cost))
         if cost[end] > k:
             return None
