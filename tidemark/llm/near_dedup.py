@@ -374,7 +374,10 @@ def near_duplicates(
     reps = linked.join(classes.select("h1", "h2", "n", F.col("rep").alias("id")), ["h1", "h2", "n", "id"], "left_semi")
     reps = ws.save(reps.dropDuplicates(["id", "h1", "h2", "n"]).select("id", "n", "h1", "signature", "paths"), "reps")
     members = reps.select(F.explode("paths").alias("node"), "id", "n")
-    links, large = node_links(reps, ws.save(members, "members"), docs, size, percent, ws)
+    members = ws.save(members, "members")
+    ws.collect_garbage()
+    links, large = node_links(reps, members, docs, size, percent, ws)
+    ws.collect_garbage()
     copies = mine.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     if large is not None:
         labels = components(links, ws)
