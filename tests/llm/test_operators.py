@@ -201,6 +201,30 @@ def test_near_duplicates_large_nodes(spark, monkeypatch):
         assert (out[k].n_shingles, out[k].component_id, out[k].kept) == want
 
 
+def test_near_duplicates_linked_families(spark, monkeypatch):
+    """Families that settle in one large node and are linked by one pair: pairs across them are compared too."""
+    from tidemark.llm import near_dedup as N
+
+    monkeypatch.setattr(N, "SMALL", 20)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(400)]
+    texts = []
+    for f in range(2):  # of all pairs across the two families only that of their unchanged texts reaches 0.8
+        texts.append(" ".join(base))
+        for k in range(40):
+            t = list(base)
+            t[10 * k + 5] = f"m{len(texts)}"
+            texts.append(" ".join(t))
+        for k in range(11):
+            base[30 * k + 10] = f"other{k}"
+    rng.shuffle(texts)
+    out = by_id(near_duplicates(docs(spark, texts), size=4))
+    want = near_duplicates_by_hand(list(enumerate(texts)), 4)
+    assert len({w[1] for w in want.values()}) == 1
+    for k, w in want.items():
+        assert (out[k].n_shingles, out[k].component_id, out[k].kept) == w
+
+
 def test_near_duplicates_awkward_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e"), (3, "a b c d e"), (1, "a b c d e"), (1, "q r s t u"), (7, "q r s t u"), (9, None)], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in near_duplicates(df, size=4).collect())

@@ -5,9 +5,10 @@ its root; a node branches each of its documents by minwise tokens at signature p
 two documents share a child with a chance of their similarity per branch. Small nodes are compared exhaustively, each
 set of members once: estimates order the pairs, full sets confirm them, and pairs that earlier links of the node
 already connect are left out. In large nodes all documents are compared with a few leaders; those that are surely
-similar to one are settled, the others go on branching, until no large node is left. Documents that a leader nearly
-matched but that ended in another component are compared with all settled documents of that node, so nothing hangs on
-the leaders chosen. Components come from label propagation in tables.
+similar to one are settled and form its family, the others go on branching, until no large node is left. All documents
+of a large node, settled ones too, are then compared with the members of every family of the node that may hold a link
+and is not yet connected with them, so nothing hangs on the leaders chosen. Components come from label propagation in
+tables.
 """
 
 from __future__ import annotations
@@ -31,6 +32,10 @@ SMALL, SMALL_SHINGLES = 8192, 2_000_000
 LEADERS = 8
 #: Estimated similarity from which a pair is checked exactly (4 standard deviations below 0.8), is likely, and is sure.
 CHECK, LIKELY, SURE = 0.6, 0.85, 0.95
+#: A document whose estimate with a leader is lower has none of CHECK or more with any document settled by that leader.
+FAR = CHECK + SURE - 1
+#: Members of a family in one bucket of recheck(), and the growth of the buckets that are visited in a round.
+BUCKET, GROWTH = 16, 32
 
 _SEEDS = K.stream(21, PLACES)
 _ODD = K.stream(22, PLACES) | np.uint64(1)
@@ -203,13 +208,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _compare_leaders(batches):
-    """Members of large nodes (node, id, n, signature, leaders): the leaders they may link to, and the nearest of all."""
+    """Members of large nodes (node, id, n, signature, leaders): the nearest leader, two others to check, all within FAR."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sig = _matrix(batch.column(3))
-        node = batch.column(0).to_numpy()
-        near, best, to = np.zeros(len(node)), np.zeros(len(node), np.int64), [[] for _ in node]
+        node, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        near, best, to, around = np.zeros(len(node)), np.zeros(len(node), np.int64), [[] for _ in node], [[] for _ in node]
         for x in np.unique(node):
             rows = np.flatnonzero(node == x)
             leaders = batch.column(4)[int(rows[0])].as_py()
@@ -218,13 +223,17 @@ def _compare_leaders(batches):
             est = np.stack([(sig[rows] == g).mean(axis=1) for g in other], axis=1)
             at = np.argmax(est, axis=1)
             near[rows], best[rows] = est[np.arange(len(rows)), at], ids[at]
-            # the two nearest that may link: more would add a row per leader, and what they miss is looked for again
-            for k in np.argsort(-est, axis=1, kind="stable")[:, :2].T:
-                for i in np.flatnonzero(est[np.arange(len(rows)), k] >= CHECK):
+            for i, k in zip(*(x.tolist() for x in np.nonzero(est >= FAR))):
+                around[rows[i]].append(int(ids[k]))
+            # the two nearest others that may link; recheck() takes those that this leaves apart
+            other = np.where(own[rows][:, None] == ids, -1, est)
+            for k in np.argsort(-other, axis=1, kind="stable")[:, :2].T:
+                for i in np.flatnonzero(other[np.arange(len(rows)), k] >= CHECK):
                     to[rows[i]].append(int(ids[k[i]]))
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (to, around)]
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(k) for k in range(4)], pa.array(best), pa.array(near), pa.array(to, pa.list_(pa.int64()))],
-            ["node", "id", "n", "signature", "leader", "near", "check"],
+            [*[batch.column(k) for k in range(4)], pa.array(best), pa.array(near), *lists],
+            ["node", "id", "n", "signature", "leader", "near", "check", "around"],
         )
 
 
@@ -306,7 +315,7 @@ def small_node_links(members: DataFrame, small: DataFrame, reps: DataFrame, docs
 
 
 def node_links(reps: DataFrame, members: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> tuple[DataFrame, DataFrame | None]:
-    """Links (a, b) of all trees, and what large nodes left: (node, id, n, signature, leader, near, check)."""
+    """Links (a, b) of all trees, and the members of large nodes: (node, id, n, signature, leader, near, check, around)."""
     links, large = None, None
     depth = 1
     while True:
@@ -327,7 +336,7 @@ def node_links(reps: DataFrame, members: DataFrame, docs: DataFrame, size: int,
         chosen = signed.filter(F.pmod(F.xxhash64("node", "id"), F.col("size")) < LEADERS)
         chosen = chosen.groupBy("node").agg(F.collect_list(F.struct("id", "signature")).alias("leaders"))
         chosen = ws.save(chosen, "leaders")
-        kind = "node long, id long, n long, signature binary, leader long, near double, check array<long>"
+        kind = "node long, id long, n long, signature binary, leader long, near double, check array<long>, around array<long>"
         held = signed.join(chosen, "node").select("node", "id", "n", "signature", "leaders").mapInArrow(_compare_leaders, kind)
         held = ws.save(held, "large")
         pairs = held.select("id", F.explode("check").alias("other")).filter("id <> other")
@@ -380,8 +389,7 @@ def near_duplicates(
     ws.collect_garbage()
     copies = mine.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     if large is not None:
-        labels = components(links, ws)
-        links = links.unionByName(recheck(large, labels, reps, docs, size, percent, ws))
+        links = recheck(large, links, reps, docs, size, percent, ws)
     repeated = mine.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").limit(1).count()
     if repeated:
         labels = components(links.unionByName(copies), ws)
@@ -396,23 +404,38 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
 
-def recheck(large: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
-    """Links between documents of a large node that its leaders left apart.
+def recheck(large: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
+    """The links, and those between documents of a large node and settled ones that its leaders left apart.
 
-    A settled document lies within 0.05 of its leader and a link within 0.2, so only documents that come within the
-    CHECK bound of a leader but ended in another component can still have a link there. They are compared with the
-    settled documents of the node whose component differs.
+    A pair has an estimate of CHECK or more only if that of its document with the leader of the settled one reaches FAR
+    (places that differ obey the triangle inequality). So every document of the node, settled or not, is compared with
+    all members of every such leader's family that are not in its component. Families lie in buckets; a document visits
+    one bucket, then GROWTH times as many in all, and so on to the last one, unless a round has connected it.
     """
-    told = large.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-    heads = labels.select(F.col("id").alias("leader"), F.col("label").alias("label1"))
-    told = told.join(heads, "leader", "left").withColumn("label1", F.coalesce("label1", "leader"))
-    apart = (F.col("near") >= CHECK) & (F.col("near") < SURE) & (F.col("label") != F.col("label1"))
-    left = ws.save(told.filter(apart).select("node", "id", "signature", "label"), "left")
-    if not left.limit(1).count():
-        return reps.sparkSession.createDataFrame([], "a long, b long")
-    settled = told.filter(F.col("near") >= SURE).select("node", F.col("id").alias("other"), F.col("signature").alias("g"), F.col("label").alias("l"))
-    rows = left.join(settled, "node").filter("label <> l").select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"), "signature", "g")
-    return confirmed(rows.mapInArrow(_near, "a long, b long"), docs, size, percent, ws)
+    signs = reps.select("id", "signature").dropDuplicates(["id"])
+    held = ws.save(large.filter(F.col("near") >= SURE).select("node", "leader", F.col("id").alias("other")), "settled")
+    seen, share = 0, 1
+    while True:
+        labels = components(links, ws)
+        own = labels.select(F.col("id").alias("other"), F.col("label").alias("l"))
+        settled = held.join(own, "other", "left").withColumn("l", F.coalesce("l", "other"))
+        family = settled.groupBy("node", "leader", "l").agg(F.ceil(F.count(F.lit(1)) / BUCKET).alias("buckets"))
+        family = ws.save(family.filter(F.col("buckets") > seen), "families")
+        told = large.select("node", "id", "check", F.explode("around").alias("leader")).join(labels, "id", "left")
+        told = told.withColumn("label", F.coalesce("label", "id")).join(family, ["node", "leader"]).filter("label <> l")
+        left = ws.save(told.select("node", "leader", "l", "buckets", "id", "check"), "left")
+        if not left.limit(1).count():
+            return links
+        visit = F.explode(F.sequence(F.lit(seen), F.least(F.lit(share), "buckets") - 1)).alias("_k")
+        left = left.select("*", visit).withColumn("bucket", F.pmod(F.pmod(F.xxhash64("id"), "buckets") + F.col("_k"), "buckets"))
+        settled = settled.join(family, ["node", "leader", "l"]).withColumn("bucket", F.pmod(F.xxhash64("other", "leader"), "buckets"))
+        rows = left.join(settled.drop("buckets"), ["node", "leader", "l", "bucket"]).filter("NOT array_contains(check, other)")
+        rows = rows.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+        rows = rows.join(signs.select(F.col("id").alias("a"), F.col("signature").alias("f")), "a")
+        rows = rows.join(signs.select(F.col("id").alias("b"), F.col("signature").alias("g")), "b")
+        rows = rows.select("a", "b", "f", "g").mapInArrow(_near, "a long, b long")
+        links = links.unionByName(confirmed(rows, docs, size, percent, ws))
+        seen, share = share, share * GROWTH
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
