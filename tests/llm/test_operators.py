@@ -12,7 +12,7 @@ from tidemark.llm import kernels as K
 from tidemark.llm.decontamination import leaks, normal
 from tidemark.llm.language_id import identify
 from tidemark.llm.line_dedup import dedup_lines
-from tidemark.llm.near_dedup import _links_of_node, near_duplicates, near_duplicates_by_hand, shingle_sets
+from tidemark.llm.near_dedup import intersections, near_duplicates, near_duplicates_by_hand, spanning
 from tidemark.llm.packing import WordTokens, best_fit, default_vocabulary, local_search, pack
 from tidemark.llm.quality_classifier import accepted_rows, classify
 from tidemark.llm.quality_rules import judge
@@ -232,17 +232,69 @@ def test_near_duplicates_awkward_rows(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
-def test_exhaustive_node():
-    import pyarrow as pa
-
-    texts = pa.array(["a b c d e f g h i j", "a b c d e f g h i k", "z y x w v u t s", "a b c d e f g h i j l"])
-    part = next(K.slices(texts))
-    _, hashes, sizes = shingle_sets(part, 2)
+def test_intersections_and_spanning():
     import numpy as np
 
-    sets = np.split(hashes, np.cumsum(sizes)[:-1])
-    links = _links_of_node(sets, 80)
-    assert len(links) == 2 and {i for p in links for i in p} == {0, 1, 3}
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(0, 300))).astype(np.uint64) for _ in range(25)]
+    got = intersections(sets[:10], sets[10:])
+    assert all(got[i, j] == len(set(sets[i].tolist()) & set(sets[10 + j].tolist())) for i in range(10) for j in range(15))
+    a, b = rng.integers(0, 40, (2, 60))
+    chosen = spanning(40, a, b, rng.random(60))
+
+    def groups(edges):
+        label = list(range(40))
+        for x, y in edges:
+            label = [label[x] if k == label[y] else k for k in label]
+        return {frozenset(i for i in range(40) if label[i] == k) for k in label}
+
+    assert groups(zip(a, b)) == groups(zip(a[chosen], b[chosen])) and len(chosen) == 40 - len(groups(zip(a, b)))
+
+
+@pytest.mark.parametrize("small", [8, 40, 1024])
+def test_near_duplicates_one_link_between_clusters(spark, monkeypatch, small):
+    """Two clusters whose bases are just not similar enough, and one pair across them that is, in one dense node."""
+    from tidemark.llm import near_dedup as N
+
+    monkeypatch.setattr(N, "SMALL", small)
+    monkeypatch.setattr(N, "BLOCK", 16)
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(400)]
+    far = list(base)
+    for k in range(12):
+        far[31 * k + 9] = f"other{k}"
+    texts = []
+    for b in (base, far):
+        for k in range(60):
+            t = list(b)
+            t[rng.randrange(400)] = f"m{len(texts)}"
+            texts.append(t)
+    middle = list(far)
+    middle[9] = base[9]  # closer to the other base by one place
+    texts += [base, middle]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    rng.shuffle(rows)
+    want = near_duplicates_by_hand(rows, 4)
+    out = by_id(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=4))
+    for k, w in want.items():
+        assert (out[k].n_shingles, out[k].component_id, out[k].kept) == w
+
+
+def test_near_duplicates_recall(spark):
+    """Pairs just above the threshold: at most one in a thousand may be lost."""
+    rng = random.Random(8)
+    rows, pairs = [], []
+    for p in range(1500):
+        t = [f"v{p}x{k}" for k in range(100)]
+        u = list(t)
+        for k in rng.sample(range(1, 23), 2):  # each change takes four shingles: 89 of 105 in common, or one less
+            u[4 * k + 1] = f"c{p}"
+        u = u[:-1] if p % 2 else u
+        a, b = (set(zip(x, x[1:], x[2:], x[3:])) for x in (t, u))
+        assert 0.8 <= len(a & b) / len(a | b) <= 0.86
+        rows += [(2 * p, " ".join(t)), (2 * p + 1, " ".join(u))]
+    out = by_id(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), size=4))
+    assert sum(out[2 * p + 1].component_id == 2 * p for p in range(1500)) >= 1499
 
 
 def test_leaks(spark):

@@ -6,6 +6,7 @@ doesn't follow the batch. A text is never cut: a slice holds at least one whole
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,6 +16,9 @@ import pyarrow as pa
 #: Bytes of text that one slice holds at most, unless a single text is longer.
 SLICE_BYTES = 1_000_000
 
+#: From this length on words are hashed by BLAKE2b: sums of powers modulo 2**64 have known collisions from 1024 bytes on.
+LONG_WORD = 256
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -122,6 +126,12 @@ class Words:
     first: np.ndarray  # number of each text's first word
 
 
+def _digests(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
+    """64 bits of the BLAKE2b digest of each run of bytes, A-Z in lower case if asked."""
+    runs = (data[a:b].tobytes() for a, b in zip(start.tolist(), end.tolist()))
+    return np.array([int.from_bytes(hashlib.blake2b(r.lower() if lower else r, digest_size=8).digest(), "little") for r in runs], _U)
+
+
 def words(part: Slice, classes: np.ndarray = WORD_CLASS, lower: bool = False, cuts: np.ndarray | None = None) -> Words:
     """Maximal runs of bytes of one class other than 0, none of which crosses the end of a text or a place in cuts."""
     data, offsets = part.data, part.offsets
@@ -143,6 +153,9 @@ def words(part: Slice, classes: np.ndarray = WORD_CLASS, lower: bool = False, cu
         total = np.zeros(n + 1, _U)
         np.cumsum((_LOWER if lower else _BYTE)[data] * power[:n], out=total[1:])
         hashes = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(_U))
+    long = np.flatnonzero(end - start >= LONG_WORD)
+    if len(long):
+        hashes[long] = _digests(data, start[long], end[long], lower)
     text = np.searchsorted(offsets[1:], start, "right")
     counts = np.bincount(text, minlength=len(part))
     return Words(text, start, end, kind[start] if n else start.astype(np.uint8), hashes, counts, np.cumsum(counts) - counts)

@@ -2,40 +2,46 @@
 
 Texts with equal shingle sets form a class, and one row stands for it. Every independent tree starts with all classes in
 its root; a node branches each of its documents by minwise tokens at signature places that the node's path selects, so
-two documents share a child with a chance of their similarity per branch. Small nodes are compared exhaustively, each
-set of members once: estimates order the pairs, full sets confirm them, and pairs that earlier links of the node
-already connect are left out. In large nodes all documents are compared with a few leaders; those that are surely
-similar to one are settled and form its family, the others go on branching, until no large node is left. All documents
-of a large node, settled ones too, are then compared with the members of every family of the node that may hold a link
-and is not yet connected with them, so nothing hangs on the leaders chosen. Components come from label propagation in
-tables.
+two documents share a child with a chance of their similarity per branch. Nodes hold signatures, not texts. Small nodes
+are compared exhaustively; the candidates of all nodes are then checked once on full sets. In large nodes all documents
+are compared with a few leaders; those that are surely similar to one are settled and form its family, the others go on
+branching. A second look compares what the checked links leave apart: families with all documents near their leader, and
+the documents of dense nodes, in blocks of bounded size, so nothing hangs on the leaders or forests chosen. Components
+come from label propagation in tables.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .workspace import Workspace, only
+from .workspace import Workspace, only, with_row_key
 
 #: Places of a signature.
 PLACES = 64
 TREES = 4
-#: Children of a document in a node. At 0.8 a shared path dies out in one tree with a chance of 1/16.
+#: Children of a document in a node, at every level. At 0.8 a shared path dies out in one tree with a chance of 1/16.
 BRANCHES = 2
-#: A node of up to so many documents and shingles is small: one task holds it.
-SMALL, SMALL_SHINGLES = 8192, 2_000_000
+#: A node of up to so many documents is small: one task compares their signatures.
+SMALL = 1024
+#: Levels after which a node that is still large is compared in blocks instead of branched.
+DEEPEST = 6
 #: Leaders of a large node, on average.
 LEADERS = 8
-#: Estimated similarity from which a pair is checked exactly (4 standard deviations below 0.8), is likely, and is sure.
-CHECK, LIKELY, SURE = 0.6, 0.85, 0.95
+#: Estimated similarity from which a pair is checked exactly (six standard deviations below 0.8), and is sure.
+CHECK, SURE = 0.5, 0.95
 #: A document whose estimate with a leader is lower has none of CHECK or more with any document settled by that leader.
 FAR = CHECK + SURE - 1
-#: Members of a family in one bucket of recheck(), and the growth of the buckets that are visited in a round.
-BUCKET, GROWTH = 16, 32
+#: Documents and shingles on one side of a block, about.
+BLOCK, BLOCK_SHINGLES = 1024, 500_000
+#: Roles of documents in the blocks of the second look.
+FAMILY, VISITOR = 1, 2
 
 _SEEDS = K.stream(21, PLACES)
 _ODD = K.stream(22, PLACES) | np.uint64(1)
@@ -110,16 +116,16 @@ def _sketch(size: int):
                         paths[t] = K.signed(np.unique(first[k]))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(part.first, n), pa.array(sizes.astype(np.int64)), pa.array(K.signed(h1)), pa.array(K.signed(h2)),
+                        batch.column(0).slice(part.first, n), batch.column(2).slice(part.first, n), pa.array(sizes.astype(np.int64)), pa.array(K.signed(h1)), pa.array(K.signed(h2)),
                         pa.array(signature, pa.binary()), pa.array(paths, pa.list_(pa.int64())),
                     ],
-                    ["id", "n", "h1", "h2", "signature", "paths"],
+                    ["id", "named", "n", "h1", "h2", "signature", "paths"],
                 )
 
     return run
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), PLACES)
 
 
@@ -132,79 +138,129 @@ def _hits(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[at] == x).sum()) if len(y) else 0
 
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    both = _hits(x, y)
-    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
-
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set on the left with every one on the right.
 
-def _links_of_node(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Exhaustive comparison of a node: enough links that all that is linked is connected."""
-    n = len(sets)
-    if n == 2:
-        return [(0, 1)] if _linked(sets[0], sets[1], percent) else []
-    sizes = np.array([len(x) for x in sets])
-    sig = (signatures(np.concatenate(sets), np.cumsum(sizes) - sizes) >> np.uint64(32)).astype(np.uint32)
-    label = np.arange(n)
-    out = []
-    for least in (LIKELY, CHECK):  # first what is likely linked, then what is left between components
-        for lo in range(0, n - 1, 32):
-            rows = np.arange(lo, min(lo + 32, n - 1))
-            est = (sig[rows, None, :] == sig[None, lo + 1 :, :]).mean(axis=2)
-            i, j = np.nonzero(est >= least)
-            a, b, est = rows[i], j + lo + 1, est[i, j]
-            ok = (b > a) & (label[a] != label[b]) & (100 * np.minimum(sizes[a], sizes[b]) >= percent * np.maximum(sizes[a], sizes[b]))
-            a, b, est = a[ok], b[ok], est[ok]
-            for k in np.argsort(-est, kind="stable").tolist():
-                x, y = int(a[k]), int(b[k])
-                if label[x] != label[y] and _linked(sets[x], sets[y], percent):
-                    out.append((x, y))
-                    label[label == label[y]] = label[x]
+    Shingles that the same sets hold are one weighted column, so near copies cost little whatever their length.
+    """
+    n, m = len(left), len(right)
+    out = np.zeros((n, m), np.int64)
+    if n == 1 and m == 1:
+        out[0, 0] = _hits(left[0], right[0])
+        return out
+    both = [*left, *right]
+    owner = np.repeat(np.arange(n + m), [len(x) for x in both])
+    hashes = np.concatenate([np.zeros(0, np.uint64), *both])
+    if not len(hashes):
+        return out
+    order = np.argsort(hashes, kind="stable")
+    hashes, owner = hashes[order], owner[order]
+    head = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
+    size = np.diff(np.r_[head, len(hashes)])
+    on_left = np.add.reduceat((owner < n).astype(np.int64), head)
+    used = np.flatnonzero((on_left > 0) & (on_left < size))
+    if not len(used):
+        return out
+    with np.errstate(over="ignore"):
+        holders = np.add.reduceat(K.stream(24, n + m)[owner], head)[used]
+    _, first, weight = np.unique(holders, return_index=True, return_counts=True)
+    column, kind = used[first], np.float32 if len(hashes) < 1 << 24 else np.float64
+    for lo in range(0, len(column), 2048):
+        part, w = column[lo : lo + 2048], weight[lo : lo + 2048]
+        lengths = size[part]
+        ends = np.cumsum(lengths)
+        row = owner[np.arange(ends[-1]) + np.repeat(head[part] - (ends - lengths), lengths)]
+        at = np.repeat(np.arange(len(part)), lengths)
+        a, b, mine = np.zeros((n, len(part)), kind), np.zeros((m, len(part)), kind), row < n
+        a[row[mine], at[mine]] = w[at[mine]]
+        b[row[~mine] - n, at[~mine]] = 1
+        out += np.rint(a @ b.T).astype(np.int64)
     return out
 
 
-def _compare_small(size: int, percent: int):
-    """Members of small nodes (node, id, h1, text), sorted by node within the task: links, each node once."""
-
-    def links(table: pa.Table):
-        node, ids, h1 = (table[k].to_numpy() for k in ("node", "id", "h1"))
-        sets: list[np.ndarray] = []
-        for part in K.slices(table["text"]):
-            _, hashes, sizes = shingle_sets(part, size)
-            sets += np.split(hashes, np.cumsum(sizes)[:-1])
-        with np.errstate(over="ignore"):
-            # another row may repeat the id with another text
-            mine = np.array([x.sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64) == h1
-        heads = np.r_[np.flatnonzero(np.r_[True, node[1:] != node[:-1]]), len(node)]
-        pairs = []
-        for lo, hi in zip(heads[:-1].tolist(), heads[1:].tolist()):
-            own = [k for k in range(lo, hi) if mine[k]]
-            if len(own) > 1:
-                pairs += [(ids[own[i]], ids[own[j]]) for i, j in _links_of_node([sets[k] for k in own], percent)]
-        pairs = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-    def run(batches):
-        held: list[pa.RecordBatch] = []
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
-                node = batch.column(0).to_numpy()
-                cut = int(np.flatnonzero(node == node[-1])[0])  # the last node may go on in the next batch
-                if held and held[-1].column(0)[-1].as_py() != node[0]:
-                    yield links(pa.Table.from_batches(held))
-                    held = []
-                if cut:
-                    yield links(pa.Table.from_batches([*held, batch.slice(0, cut)]))
+def _alike(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, percent: int):
+    """Blocks of rows of a against all of b: row and column numbers of candidates, and their estimates."""
+    for lo in range(0, len(a), 32):
+        est = (a[lo : lo + 32, None, :] == b[None, :, :]).mean(axis=2, dtype=np.float32)
+        s = sizes_a[lo : lo + 32, None]
+        ok = (est >= CHECK) & (100 * np.minimum(s, sizes_b) >= percent * np.maximum(s, sizes_b))
+        i, j = np.nonzero(ok)
+        yield i + lo, j, est[i, j]
+
+
+def spanning(n: int, a: np.ndarray, b: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """Numbers of edges of a forest that connects what the edges connect, of greatest worth first (Boruvka's rounds)."""
+    order = np.argsort(-worth, kind="stable")
+    label, chosen = np.arange(n), []
+    while len(order):
+        la, lb = label[a[order]], label[b[order]]
+        order = order[la != lb]
+        if not len(order):
+            break
+        la, lb = label[a[order]], label[b[order]]
+        _, first = np.unique(np.stack([la, lb], axis=1).reshape(-1), return_index=True)
+        for e in np.unique(first // 2).tolist():
+            x, y = int(label[a[order[e]]]), int(label[b[order[e]]])
+            if x != y:
+                chosen.append(int(order[e]))
+                label[label == max(x, y)] = min(x, y)
+    return np.array(sorted(chosen), np.int64)
+
+
+def _runs(batches, keys: int, rows: int = 4000):
+    """Tables of the rows of one key after another; the keys are the first columns, and equal ones lie together."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for whole in batches:
+        for at in range(0, whole.num_rows, rows):
+            batch = whole.slice(at, rows)
+            key = np.stack([batch.column(k).to_numpy() for k in range(keys)], axis=1)
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            if held and (key[0] != last).any():
+                yield pa.Table.from_batches(held)
+                held = []
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(key)]):
+                if lo:
+                    yield pa.Table.from_batches(held)
                     held = []
-                held.append(batch.slice(cut))
-        if held:
-            yield links(pa.Table.from_batches(held))
+                held.append(batch.slice(lo, hi - lo))
+            last = key[-1]
+    if held:
+        yield pa.Table.from_batches(held)
 
-    return run
 
+def _compare_small(percent: int):
+    """Members of small nodes (node, id, n, signature), sorted by node: pairs to check, and whether that is all of them.
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), PLACES)
+    All candidates of a node if they are few, else a forest of them: the second look sees what that leaves apart.
+    """
+
+    def run(batches):
+        out: list[list] = [[], [], [], []]
+
+        def batch():
+            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], ["node", "a", "b", "more"])
+            for c in out:
+                c.clear()
+            return made
+
+        for table in _runs(batches, 1):
+            node, ids, sizes = table.column(0)[0].as_py(), table.column(1).to_numpy(), table.column(2).to_numpy()
+            sig = _matrix(table.column(3))
+            found = [(i[i < j], j[i < j], e[i < j]) for i, j, e in _alike(sig, sig, sizes, sizes, percent)]
+            i, j, est = (np.concatenate(x) for x in zip(*found))
+            more = len(i) > 2 * len(ids)
+            if more:
+                use = spanning(len(ids), i, j, est)
+                i, j = i[use], j[use]
+            for x, y in zip(ids[i].tolist(), ids[j].tolist()):
+                for c, v in zip(out, (node, min(x, y), max(x, y), more)):
+                    c.append(v)
+            if len(out[0]) > 20_000:
+                yield batch()
+        yield batch()
+
+    return run
 
 
 def _compare_leaders(batches):
@@ -225,7 +281,7 @@ def _compare_leaders(batches):
             near[rows], best[rows] = est[np.arange(len(rows)), at], ids[at]
             for i, k in zip(*(x.tolist() for x in np.nonzero(est >= FAR))):
                 around[rows[i]].append(int(ids[k]))
-            # the two nearest others that may link; recheck() takes those that this leaves apart
+            # the two nearest others that may link: most of a family is connected by them; the second look does the rest
             other = np.where(own[rows][:, None] == ids, -1, est)
             for k in np.argsort(-other, axis=1, kind="stable")[:, :2].T:
                 for i in np.flatnonzero(other[np.arange(len(rows)), k] >= CHECK):
@@ -237,36 +293,26 @@ def _compare_leaders(batches):
         )
 
 
-def _branch(branches: int):
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            path = batch.column(0).to_numpy().view(np.uint64)
-            made = children(path, _matrix(batch.column(3)).astype(np.uint64), branches)
-            ids = np.repeat(np.arange(len(path)), branches)
-            yield pa.RecordBatch.from_arrays([pa.array(K.signed(made.reshape(-1))), *[batch.column(k).take(pa.array(ids)) for k in (1, 2)]], ["node", "id", "n"])
-
-    return run
+def _branch(batches):
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path = batch.column(0).to_numpy().view(np.uint64)
+        made = children(path, _matrix(batch.column(3)).astype(np.uint64), BRANCHES)
+        ids = np.repeat(np.arange(len(path)), BRANCHES)
+        yield pa.RecordBatch.from_arrays([pa.array(K.signed(made.reshape(-1))), *[batch.column(k).take(pa.array(ids)) for k in (1, 2)]], ["node", "id", "n"])
 
 
-def _near(batches):
-    """Rows of two signatures: those whose estimate reaches CHECK."""
-    for batch in batches:
-        if batch.num_rows:
-            like = (_matrix(batch.column(2)) == _matrix(batch.column(3))).mean(axis=1) >= CHECK
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(like))
+def _sets(texts: pa.Array | pa.ChunkedArray, size: int) -> list[np.ndarray]:
+    out = []
+    for part in K.slices(texts):
+        _, hashes, sizes = shingle_sets(part, size)
+        out += np.split(hashes, np.cumsum(sizes)[:-1])
+    return out
 
 
 def _confirm(size: int, percent: int):
-    """Exact comparison of pairs of texts."""
-
-    def sets(texts: pa.Array) -> list[np.ndarray]:
-        out = []
-        for part in K.slices(texts):
-            _, hashes, sizes = shingle_sets(part, size)
-            out += np.split(hashes, np.cumsum(sizes)[:-1])
-        return out
+    """Exact comparison of pairs of texts (a, b, ta, tb)."""
 
     def run(batches):
         for batch in batches:
@@ -274,13 +320,56 @@ def _confirm(size: int, percent: int):
                 cut = batch.slice(lo, 64)
                 # texts that stand in several pairs are cut into shingles once
                 left, right = cut.column(2).dictionary_encode(), cut.column(3).dictionary_encode()
-                a, b = sets(left.dictionary), sets(right.dictionary)
-                ok = [_linked(a[i], b[j], percent) for i, j in zip(left.indices.to_pylist(), right.indices.to_pylist())]
+                a, b = _sets(left.dictionary, size), _sets(right.dictionary, size)
+                ok = []
+                for i, j in zip(left.indices.to_pylist(), right.indices.to_pylist()):
+                    both = _hits(a[i], b[j])
+                    ok.append(both > 0 and 100 * both >= percent * (len(a[i]) + len(b[j]) - both))
                 yield pa.RecordBatch.from_arrays([cut.column(0), cut.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
 
+def _meet_signatures(percent: int):
+    """Rows (gid, u, v, role, id, label, n, signature): those with a candidate of another label in the other role."""
+
+    def run(batches):
+        for table in _runs(batches, 3):
+            role, label, sizes = (table.column(k).to_numpy() for k in (3, 5, 6))
+            f, v = np.flatnonzero(role == FAMILY), np.flatnonzero(role == VISITOR)
+            if not len(f) or not len(v):
+                continue
+            sig, use = _matrix(table.column(7)), np.zeros(len(role), bool)
+            for i, j, _ in _alike(sig[f], sig[v], sizes[f], sizes[v], percent):
+                apart = label[f[i]] != label[v[j]]
+                use[f[i[apart]]] = use[v[j[apart]]] = True
+            out = table.filter(pa.array(use)).select([0, 3, 4]).combine_chunks()
+            yield from out.to_batches()
+
+    return run
+
+
+def _meet_sets(size: int, percent: int):
+    """Rows (gid, u, v, role, id, label, text): one link for each two labels that are linked across the roles."""
+
+    def run(batches):
+        for table in _runs(batches, 3):
+            role, ids, label = (table.column(k).to_numpy() for k in (3, 4, 5))
+            f, v = np.flatnonzero(role == FAMILY), np.flatnonzero(role == VISITOR)
+            if not len(f) or not len(v):
+                continue
+            sets = _sets(table.column(6), size)
+            n = np.array([len(x) for x in sets])
+            both = intersections([sets[k] for k in f], [sets[k] for k in v])
+            ok = (both > 0) & (100 * both >= percent * (n[f][:, None] + n[v] - both)) & (label[f][:, None] != label[v])
+            i, j = np.nonzero(ok)
+            _, first = np.unique(np.sort(np.stack([label[f[i]], label[v[j]]], axis=1), axis=1), axis=0, return_index=True)
+            a, b = ids[f[i[first]]], ids[v[j[first]]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return run
+
+
 def components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """(id, label): the smallest id reachable over the edges (a, b), for every id that has one.
 
@@ -303,34 +392,42 @@ def components(edges: DataFrame, ws: Workspace) -> DataFrame:
             return labels
 
 
-def small_node_links(members: DataFrame, small: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
-    """Links inside the small nodes; nodes with the same members are compared once."""
+def small_node_pairs(members: DataFrame, small: DataFrame, reps: DataFrame, percent: int, ws: Workspace) -> DataFrame:
+    """(node, a, b, more) of the small nodes; nodes with the same members are compared once."""
     once = small.groupBy("size", "who1", "who2").agg(F.min("node").alias("node")).select("node")
-    rows = ws.save(members.select("node", "id").join(once, "node").join(reps.select("id", "h1"), "id"), "small")
-    texts = docs.join(rows.select("id").distinct(), "id", "left_semi")
-    rows = rows.join(texts, "id").select("node", "id", "h1", "text")
+    rows = members.join(once, "node").join(reps.select("id", "signature"), "id").select("node", "id", "n", "signature")
     tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(tasks, "node").sortWithinPartitions("node")
-    return ws.save(rows.mapInArrow(_compare_small(size, percent), "a long, b long"), "links")
+    return ws.save(rows.mapInArrow(_compare_small(percent), "node long, a long, b long, more boolean"), "pairs")
 
 
-def node_links(reps: DataFrame, members: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> tuple[DataFrame, DataFrame | None]:
-    """Links (a, b) of all trees, and the members of large nodes: (node, id, n, signature, leader, near, check, around)."""
-    links, large = None, None
-    depth = 1
+@dataclass
+class Found:
+    """What the trees give: pairs (a, b) to check; groups (gid, id, n) of which all pairs may count; and large nodes."""
+
+    pairs: DataFrame
+    groups: DataFrame
+    large: DataFrame | None
+
+
+def walk_trees(reps: DataFrame, members: DataFrame, percent: int, ws: Workspace) -> Found:
+    """Branch until no large node is left, or DEEPEST levels; nodes that are large even then are groups."""
+    pairs, groups, large, depth = [], [], [], 1
     while True:
         sized = members.groupBy("node").agg(
-            F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.bit_xor(F.xxhash64("id")).alias("who1"),
-            F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("who2"),
+            F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("id")).alias("who1"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("who2"),
         )
         sized = ws.save(sized.filter("size > 1"), "sized")
-        fits = (F.col("size") <= SMALL) & (F.col("weight") <= SMALL_SHINGLES)
-        found = small_node_links(members, sized.filter(fits), reps, docs, size, percent, ws)
-        links = found if links is None else links.unionByName(found)
-        big = sized.filter(~fits).select("node", "size")
+        found = small_node_pairs(members, sized.filter(F.col("size") <= SMALL), reps, percent, ws)
+        pairs.append(found.select("a", "b"))
+        groups.append(members.join(found.filter("more").select("node").distinct(), "node").select(F.col("node").alias("gid"), "id", "n"))
+        big = sized.filter(F.col("size") > SMALL).select("node", "size")
         if not big.limit(1).count():
-            return links, large
-        signed = members.join(big, "node").join(reps.select("id", "signature").dropDuplicates(["id"]), "id")
+            break
+        if depth > DEEPEST:
+            groups.append(members.join(big, "node").select(F.col("node").alias("gid"), "id", "n"))
+            break
+        signed = members.join(big, "node").join(reps.select("id", "signature"), "id")
         signed = ws.save(signed.select("node", "id", "n", "signature", "size"), "signed")
         # LEADERS of a node on average, by hash: the list stays short, whatever the node's size
         chosen = signed.filter(F.pmod(F.xxhash64("node", "id"), F.col("size")) < LEADERS)
@@ -339,28 +436,80 @@ def node_links(reps: DataFrame, members: DataFrame, docs: DataFrame, size: int,
         kind = "node long, id long, n long, signature binary, leader long, near double, check array<long>, around array<long>"
         held = signed.join(chosen, "node").select("node", "id", "n", "signature", "leaders").mapInArrow(_compare_leaders, kind)
         held = ws.save(held, "large")
-        pairs = held.select("id", F.explode("check").alias("other")).filter("id <> other")
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        links = links.unionByName(confirmed(pairs, docs, size, percent, ws))
-        large = held if large is None else large.unionByName(held)
+        large.append(held.select("node", "id", "n", "leader", "near", "around"))
+        other = held.select("id", F.explode("check").alias("other")).filter("id <> other")
+        pairs.append(other.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
         # nodes without a leader, as chance has it, go on whole
         alone = signed.join(chosen.select("node"), "node", "left_anti").select("node", "id", "n", "signature")
         rest = held.filter(F.col("near") < SURE).select("node", "id", "n", "signature").unionByName(alone)
-        members = ws.save(rest.mapInArrow(_branch(BRANCHES if depth < 4 else 1), "node long, id long, n long"), "members")
+        members = ws.save(rest.mapInArrow(_branch, "node long, id long, n long"), "members")
         depth += 1
+    union = lambda tables: reduce(DataFrame.unionByName, tables) if tables else None
+    return Found(ws.save(union(pairs).distinct(), "candidates"), ws.save(union(groups), "groups"), union(large))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
     """The pairs whose texts' full sets reach the similarity."""
-    pairs = ws.save(pairs.distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = ws.save(docs.join(ids, "id", "left_semi"), "texts")
-    ws.collect_garbage()
-    rows = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-    rows = rows.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
+    rows = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")).hint("merge"), "a")
+    rows = rows.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")
     return ws.save(rows.select("a", "b", "ta", "tb").mapInArrow(_confirm(size, percent), "a long, b long"), "links")
 
 
+def _blocks(rows: DataFrame, kind: list[str]) -> DataFrame:
+    """Rows (gid, role, id, label, n) dealt into blocks (gid, u, v): each family block meets each visitor block once."""
+    per = rows.groupBy("gid", "role").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("b"))
+    sides = per.groupBy("gid").agg(F.max(F.when(F.col("role") == FAMILY, F.col("b"))).alias("bf"), F.max(F.when(F.col("role") == VISITOR, F.col("b"))).alias("bv"))
+    rows = rows.join(sides.filter("bf IS NOT NULL AND bv IS NOT NULL"), "gid")
+    mine = F.col("role") == FAMILY
+    block = F.pmod(F.xxhash64("id", F.lit(3)), F.when(mine, F.col("bf")).otherwise(F.col("bv")))
+    rows = rows.select("*", block.alias("_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.when(mine, F.col("bv")).otherwise(F.col("bf")) - 1)).alias("_other"))
+    u, v = F.when(mine, F.col("_block")).otherwise(F.col("_other")), F.when(mine, F.col("_other")).otherwise(F.col("_block"))
+    return rows.select("gid", u.alias("u"), v.alias("v"), *kind)
+
+
+def second_look(found: Found, links: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
+    """The links, and those between documents of a group or a large node that the links leave apart.
+
+    Groups: documents that don't have the group's commonest label meet all. Large nodes: a pair has an estimate of
+    CHECK or more only if that of its one document with the leader of the other, settled one reaches FAR (places that
+    differ obey the triangle inequality); so each such leader's family meets all documents within FAR. Blocks against
+    blocks: signatures first, then full sets of those with a candidate. No pair is a row.
+    """
+    if not found.groups.limit(1).count() and found.large is None:
+        return links
+    labels = components(links, ws)
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+    own = ws.save(labelled(found.groups), "labelled")
+    counts = own.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = counts.groupBy("gid").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    own = own.join(main.drop("labels"), "gid")
+    names = ["gid", "role", "id", "label", "n"]
+    rows = [own.withColumn("role", F.lit(VISITOR)).select(*names), own.filter("label <> main").withColumn("role", F.lit(FAMILY)).select(*names)]
+    if found.large is not None:
+        near = labelled(found.large.withColumn("_leader", F.explode("around")).withColumn("gid", F.xxhash64("node", "_leader")))
+        near = ws.save(near.withColumn("settled", (F.col("near") >= SURE) & (F.col("leader") == F.col("_leader"))).select("gid", "id", "label", "n", "settled"), "near")
+        family = near.filter("settled").groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+        visitor = near.join(family, "gid").filter("(NOT settled OR lo <> hi) AND NOT (lo = hi AND label = lo)")
+        rows += [visitor.withColumn("role", F.lit(VISITOR)).select(*names), near.filter("settled").withColumn("role", F.lit(FAMILY)).select(*names)]
+    rows = ws.save(reduce(DataFrame.unionByName, rows), "apart")
+    if not rows.limit(1).count():
+        return links
+    tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def meet(table: DataFrame) -> DataFrame:
+        return table.repartition(tasks, "gid", "u", "v").sortWithinPartitions("gid", "u", "v")
+
+    signed = _blocks(rows, ["role", "id", "label", "n"]).join(reps.select("id", "signature"), "id").select("gid", "u", "v", "role", "id", "label", "n", "signature")
+    hit = ws.save(meet(signed).mapInArrow(_meet_signatures(percent), "gid long, role int, id long").distinct(), "hit")
+    full = _blocks(rows.join(hit, ["gid", "role", "id"], "left_semi"), ["role", "id", "label"])
+    full = full.join(texts, "id").select("gid", "u", "v", "role", "id", "label", "text")
+    more = ws.save(meet(full).mapInArrow(_meet_sets(size, percent), "a long, b long"), "more")
+    return links.unionByName(more)
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80,
 ) -> DataFrame:
@@ -371,71 +520,43 @@ def near_duplicates(
     has a null component_id and is kept. Other columns are left out. An empty table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "near")
-    docs = only(docs, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    kind = "id long, n long, h1 long, h2 long, signature binary, paths array<long>"
+    keyed = with_row_key(only(docs, id_col, text_col), id_col, ws)
+    repeated = hasattr(keyed, "_workspace_path")
+    docs = keyed.select(F.col("_row").alias("id"), F.col(text_col).alias("text"), F.col(id_col).isNotNull().alias("named"))
+    kind = "id long, named boolean, n long, h1 long, h2 long, signature binary, paths array<long>"
     sketch = ws.save(docs.mapInArrow(_sketch(size), kind), "sketch")
-    linked = sketch.filter("id IS NOT NULL AND n > 0")
-    classes = linked.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep"))
-    classes = ws.save(classes, "classes")
-    mine = linked.select("id", "h1", "h2", "n").join(classes, ["h1", "h2", "n"]).select("id", "n", "rep").distinct()
-    mine = ws.save(mine, "mine")
-    # of rows that repeat a representative's id, the one whose set it stands for
-    reps = linked.join(classes.select("h1", "h2", "n", F.col("rep").alias("id")), ["h1", "h2", "n", "id"], "left_semi")
-    reps = ws.save(reps.dropDuplicates(["id", "h1", "h2", "n"]).select("id", "n", "h1", "signature", "paths"), "reps")
-    members = reps.select(F.explode("paths").alias("node"), "id", "n")
-    members = ws.save(members, "members")
-    ws.collect_garbage()
-    links, large = node_links(reps, members, docs, size, percent, ws)
-    ws.collect_garbage()
-    copies = mine.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    if large is not None:
-        links = recheck(large, links, reps, docs, size, percent, ws)
-    repeated = mine.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").limit(1).count()
-    if repeated:
-        labels = components(links.unionByName(copies), ws)
-        out = sketch.join(labels, "id", "left")
-        component = F.coalesce("label", "id")
-    else:
+    linked = sketch.filter("named AND n > 0")
+    classes = ws.save(linked.groupBy("h1", "h2", "n").agg(F.min("id").alias("rep")), "classes")
+    mine = ws.save(linked.select("id", "h1", "h2", "n").join(classes.hint("merge"), ["h1", "h2", "n"]).select("id", "rep"), "mine")
+    reps = linked.join(classes.select(F.col("rep").alias("id")).hint("merge"), "id", "left_semi")
+    reps = ws.save(reps.select("id", "n", "signature", "paths"), "reps")
+    members = ws.save(reps.select(F.explode("paths").alias("node"), "id", "n"), "members")
+    found = walk_trees(reps, members, percent, ws)
+    ids = [found.pairs.select(F.col(c).alias("id")) for c in ("a", "b")] + [found.groups.select("id")]
+    if found.large is not None:
+        ids.append(found.large.select("id"))
+    wanted = ws.save(reduce(DataFrame.unionByName, ids).distinct(), "wanted")
+    texts = ws.save(docs.select("id", "text").join(wanted.hint("merge"), "id", "left_semi"), "texts")
+    links = confirmed(found.pairs, texts, size, percent, ws)
+    links = second_look(found, links, reps, texts, size, percent, ws)
+    if not repeated:
         labels = components(links, ws).select(F.col("id").alias("rep"), "label")
-        full = mine.select("id", "rep").join(labels, "rep", "left").select("id", F.coalesce("label", "rep").alias("label"))
+        full = mine.join(labels, "rep", "left").select("id", F.coalesce("label", "rep").alias("label"))
         out = sketch.select("id", "n").join(full, "id", "left")
         component = F.coalesce("label", "id")
-    kept = F.coalesce(F.col("id") == component, F.lit(True))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
-
-
-def recheck(large: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
-    """The links, and those between documents of a large node and settled ones that its leaders left apart.
-
-    A pair has an estimate of CHECK or more only if that of its document with the leader of the settled one reaches FAR
-    (places that differ obey the triangle inequality). So every document of the node, settled or not, is compared with
-    all members of every such leader's family that are not in its component. Families lie in buckets; a document visits
-    one bucket, then GROWTH times as many in all, and so on to the last one, unless a round has connected it.
-    """
-    signs = reps.select("id", "signature").dropDuplicates(["id"])
-    held = ws.save(large.filter(F.col("near") >= SURE).select("node", "leader", F.col("id").alias("other")), "settled")
-    seen, share = 0, 1
-    while True:
-        labels = components(links, ws)
-        own = labels.select(F.col("id").alias("other"), F.col("label").alias("l"))
-        settled = held.join(own, "other", "left").withColumn("l", F.coalesce("l", "other"))
-        family = settled.groupBy("node", "leader", "l").agg(F.ceil(F.count(F.lit(1)) / BUCKET).alias("buckets"))
-        family = ws.save(family.filter(F.col("buckets") > seen), "families")
-        told = large.select("node", "id", "check", F.explode("around").alias("leader")).join(labels, "id", "left")
-        told = told.withColumn("label", F.coalesce("label", "id")).join(family, ["node", "leader"]).filter("label <> l")
-        left = ws.save(told.select("node", "leader", "l", "buckets", "id", "check"), "left")
-        if not left.limit(1).count():
-            return links
-        visit = F.explode(F.sequence(F.lit(seen), F.least(F.lit(share), "buckets") - 1)).alias("_k")
-        left = left.select("*", visit).withColumn("bucket", F.pmod(F.pmod(F.xxhash64("id"), "buckets") + F.col("_k"), "buckets"))
-        settled = settled.join(family, ["node", "leader", "l"]).withColumn("bucket", F.pmod(F.xxhash64("other", "leader"), "buckets"))
-        rows = left.join(settled.drop("buckets"), ["node", "leader", "l", "bucket"]).filter("NOT array_contains(check, other)")
-        rows = rows.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        rows = rows.join(signs.select(F.col("id").alias("a"), F.col("signature").alias("f")), "a")
-        rows = rows.join(signs.select(F.col("id").alias("b"), F.col("signature").alias("g")), "b")
-        rows = rows.select("a", "b", "f", "g").mapInArrow(_near, "a long, b long")
-        links = links.unionByName(confirmed(rows, docs, size, percent, ws))
-        seen, share = share, share * GROWTH
+        return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    # rows of one class and rows of one id are linked by their first one
+    copies = mine.filter("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    names = keyed.select(F.col("_row").alias("id"), F.col(id_col).alias("_name")).filter("_name IS NOT NULL")
+    first = names.groupBy("_name").agg(F.min("id").alias("a"))
+    same = names.join(first, "_name").filter("a <> id").select("a", F.col("id").alias("b"))
+    labels = components(links.unionByName(copies).unionByName(same), ws)
+    named = ws.save(names.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "named")
+    least = named.groupBy("label").agg(F.min("_name").alias("component_id"))
+    out = keyed.select(F.col("_row").alias("id"), F.col(id_col)).join(sketch.select("id", "n"), "id")
+    out = out.join(named.select("id", "label").join(least, "label").select("id", "component_id"), "id", "left")
+    kept = F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))
+    return out.select(id_col, F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
