@@ -314,6 +314,63 @@ def test_leaks(spark):
     assert normal(" A,\t--b_c\n") == "a b c"
 
 
+def edited(rng, text, k):
+    """k edits that can't undo each other, four characters apart."""
+    places = rng.sample(range(1, len(text) // 4), k)
+    t = list(text)
+    for p in sorted(places, reverse=True):
+        kind, at = rng.randrange(3), 4 * p
+        if kind == 0:
+            t[at] = "9"
+        elif kind == 1:
+            del t[at]
+        else:
+            t.insert(at, "8")
+    return "".join(t)
+
+
+def test_leaks_by_hand():
+    """Probes.search() finds what the edit distances of all probes say, at budgets met and missed by one."""
+    from tidemark.llm.decontamination import PROBE, Probes, edit_budget, found_by_hand
+
+    rng = random.Random(12)
+    say = lambda n, letters="abcdefgh": " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    items = [say(30)[:160].strip(), say(14)[:PROBE - 1], say(9)[:45].strip(), "short one, here", "No!", say(60), "the answer"]
+    texts = [None, "", "!!", "no", "x\nNO\n y", "no way", "bathe answered quietly", "so The  Answer", "a short one here b", "a short one herex"]
+    for item in items[:3] + items[5:6]:
+        k = edit_budget(min(len(item), PROBE))
+        for extra in (0, 1, 2):
+            part = normal(item)[:PROBE]
+            texts.append(f"{say(5, 'mnopq')} {edited(rng, part, k + extra)} {say(5, 'mnopq')}")
+        texts.append(f"{say(3, 'mnopq')} {item[10:]} ")
+        texts.append(item[: len(item) // 2])
+    rows = Probes(list(enumerate(items))).search(texts).T.tolist()
+    found = {(t, i) for t, i, *_ in rows}
+    want = {(t, i) for t, text in enumerate(texts) for i, item in enumerate(items) if found_by_hand(text, item)}
+    assert found == want and len(want) >= 12
+    for t, i, _, a, b in rows:
+        assert 0 <= a < b <= len(normal(texts[t]))
+
+
+def test_leaks_common_stem():
+    """Many items that begin alike, and a text that repeats the beginning: bounded work."""
+    import time
+    import tracemalloc
+
+    from tidemark.llm.decontamination import Probes
+
+    rng = random.Random(13)
+    stem = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(10))[:69]
+    items = [(k, stem + " " + " ".join("".join(rng.choice("ijklmnop") for _ in range(7)) for _ in range(9))) for k in range(3000)]
+    probes = Probes(items)
+    tracemalloc.start()
+    began = time.time()
+    found = probes.search([" ".join([stem] * 300), items[7][1]]).T.tolist()
+    assert time.time() - began < 30 and tracemalloc.get_traced_memory()[1] < 400e6
+    tracemalloc.stop()
+    assert {i for t, i, *_ in found if t == 1} >= {7}
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
