@@ -56,6 +56,26 @@ def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
 
 
+def twins(n=4096):
+    """Two words of n letters whose sums of powers modulo 2**64 are equal for any base and any values of the letters."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return ["".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)]
+
+
+def test_hashes_of_twins(spark):
+    import pyarrow as pa
+
+    a, b = twins()
+    w = K.words(next(K.slices(pa.array([f"{a} {b} {a.upper()}"]))), lower=True)
+    assert w.hash[0] != w.hash[1] and w.hash[0] == w.hash[2]
+    filler = " ".join(f"w{k}" for k in range(36))
+    texts = [f"{a} {filler}", f"{b} {filler}", f"{a}\n{b}\nx y z", f"{a} one two three", f"{b} one two three"]
+    out = by_id(remove_repeats(docs(spark, texts)))
+    assert [(out[k].n_words, out[k].n_removed) for k in range(5)] == [w[:2] for w in remove_repeats_by_hand(texts)]
+    assert by_id(judge(docs(spark, texts), spark.range(1).withColumnRenamed("id", "doc_id")))[2].n_dup_lines == 0
+    assert {r.doc_id: r.component_id for r in near_duplicates(docs(spark, texts), size=4).collect()}[4] == 4
+
+
 def test_shard_law(spark):
     texts = corpus()
     rows = shard(docs(spark, texts), shards=8).collect()
@@ -374,7 +394,7 @@ def test_leaks_common_stem():
 def test_packing(spark):
     from tokenizers import Tokenizer
 
-    texts = corpus() + ["It's 12345 §x ÀÉ×÷ß 'quoted's \x1c z\x85y", "日本語 Σας é", "word " * 9000]
+    texts = corpus() + ["It's 12345 §x ÀÉ×÷ß 'quoted's \x1c z\x85y", "plain <|endoftext|> words", *twins(), "日本語 Σας é", "word " * 9000]
     t = Tokenizer.from_file(default_vocabulary())
     want = {k: [*t.encode(x or "", add_special_tokens=False).ids, 1] for k, x in enumerate(texts)}
     rows = pack(docs(spark, texts), default_vocabulary(), group=50).collect()
@@ -409,6 +429,15 @@ def test_local_search_improves():
     assert len(set(bins.tolist())) <= len(set(first.tolist()))
 
 
+def test_word_tokens_of_other_rules():
+    import public_tokenizers
+    import pyarrow as pa
+
+    w = WordTokens(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in ("Some Plain words, 123", "more\n\nText  here"):
+        assert w.encode(next(K.slices(pa.array([text]))))[0].tolist() == w.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_word_tokens_forget():
     import pyarrow as pa
 

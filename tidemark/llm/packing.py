@@ -8,6 +8,7 @@ increases the sum of squared fills, until bins empty. Bins that stay underfull g
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -61,11 +62,27 @@ def plain_texts(part: K.Slice) -> np.ndarray:
     return total[part.offsets[1:]] == total[part.offsets[:-1]]
 
 
+#: Rules under which plain texts part into words on their own (fixed values, as tokenizer files state them).
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _parts_words(rules: dict) -> bool:
+    """Whether a tokenizer normalises and splits by exactly these rules, with a BPE model that ends words by </w>."""
+    split = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return (
+        (rules["normalizer"] or {}).get("normalizers") == _NORMALIZERS and len(split) == 2 and split[0].get("pattern") == {"Regex": _SPLIT}
+        and split[0].get("behavior") == "Removed" and split[0].get("invert") is True and split[1].get("type") == "ByteLevel"
+        and not split[1].get("add_prefix_space") and not split[1].get("use_regex") and rules["model"].get("end_of_word_suffix") == "</w>"
+        and not rules["model"].get("dropout")
+    )
+
+
 class WordTokens:
     """Tokens of texts, with the tokens of words kept from earlier texts.
 
-    Words of plain texts are looked up by hash; only new ones go through the tokenizer. All other texts go through it
-    whole.
+    Words of plain texts are looked up by a hash of 64 bits; only new ones go through the tokenizer. All other texts go
+    through it whole, as do those that hold an added token, and all texts where the tokenizer's rules are others.
     """
 
     def __init__(self, path: str, most: int = MOST_WORDS):
@@ -73,6 +90,8 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.by_words = _parts_words(json.loads(self.tokenizer.to_str()))
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -113,7 +132,13 @@ class WordTokens:
 
     def encode(self, part: K.Slice) -> list[np.ndarray]:
         """Token ids of each text of a slice."""
-        plain = plain_texts(part)
+        plain = plain_texts(part) & self.by_words
+        raw = part.data.tobytes()
+        for token in self.added:  # their strings are tokens of their own
+            at = raw.find(token)
+            while at >= 0:
+                plain[np.searchsorted(part.offsets, at, "right") - 1] = False
+                at = raw.find(token, at + 1)
         data = _SMALL[part.data]
         kind = _CLASS[part.data]
         edge = kind == _DIGIT
@@ -127,9 +152,9 @@ class WordTokens:
         if not known.all():
             place = np.zeros(len(unique), np.int64)
             place[inverse] = np.flatnonzero(use)
-            raw = data.tobytes()
+            small = data.tobytes()
             new = place[~known]
-            self._learn(unique[~known], [raw[a:b].decode() for a, b in zip(w.start[new].tolist(), w.end[new].tolist())])
+            self._learn(unique[~known], [small[a:b].decode() for a, b in zip(w.start[new].tolist(), w.end[new].tolist())])
             _, at = self._find(unique)
         number = self.number[at][inverse] if len(unique) else np.zeros(0, np.int64)
         lengths = self.lengths[number].astype(np.int64)
@@ -139,7 +164,6 @@ class WordTokens:
         out = np.split(flat, np.cumsum(sizes)[:-1])
         rest = np.flatnonzero(~plain)
         if len(rest):
-            raw = part.data.tobytes()
             texts = [raw[part.offsets[k] : part.offsets[k + 1]].decode() for k in rest]
             for k, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 out[k] = np.array(e.ids, np.uint32)
@@ -184,57 +208,61 @@ def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def local_search(sizes: np.ndarray, bins: np.ndarray, capacity: int, most_steps: int = 4000) -> np.ndarray:
-    """Improve bins: empty the emptiest underfull bin by moves and exchanges until none helps or the bound is reached.
+def local_search(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
+    """Improve bins: empty the emptiest underfull bin by moves and exchanges, until none helps or the bound is reached.
 
-    Every step takes tokens out of the emptiest bin into a fuller one, so the sum of squared fills grows.
+    Every step takes tokens out of that bin into one at least as full, so the sum of squared fills grows and the search
+    ends. All pieces of the bin and all pairs of them are considered.
     """
     bins = bins.copy()
     if not len(sizes):
         return bins
     fill = np.bincount(bins, sizes).astype(np.int64)
     bound, live = -(-int(sizes.sum()) // capacity), int((fill > 0).sum())
-    stuck: set[int] = set()
-    for _ in range(most_steps):
-        if live <= bound:
-            break
-        open_bins = [b for b in np.flatnonzero((fill > 0) & (fill < capacity)).tolist() if b not in stuck]
-        if len(open_bins) < 2:
+    stuck = np.zeros(len(fill), bool)
+    while live > bound:
+        open_bins = np.flatnonzero((fill > 0) & (fill < capacity) & ~stuck)
+        if not len(open_bins):
             break
-        low = min(open_bins, key=lambda b: (fill[b], b))
+        low = int(open_bins[np.argmin(fill[open_bins])])
         mine = np.flatnonzero(bins == low)
-        room = capacity - fill
+        room = np.where(fill >= fill[low], capacity - fill, -1)
         room[low] = -1
-        room[fill == 0] = -1
+        one, count = np.unique(sizes[mine], return_counts=True)
         done = False
-        # move
-        for i in mine[np.argsort(-sizes[mine], kind="stable")]:
-            fits = np.flatnonzero(room >= sizes[i])
-            if len(fits):
-                b = fits[np.argmin(room[fits])]
-                fill[b], fill[low], bins[i], done = fill[b] + sizes[i], fill[low] - sizes[i], b, True
-                break
+        # move: the largest piece that fits anywhere, into the fullest bin
+        fits = one[one <= room.max()]
+        if len(fits):
+            size = int(fits[-1])
+            b = int(np.argmin(np.where(room >= size, room, capacity + 1)))
+            bins[mine[sizes[mine] == size][0]] = b
+            fill[b], fill[low], done = fill[b] + size, fill[low] - size, True
+        else:
+            # one or two of mine for one piece of a bin with room, with the largest gain that fits
+            i, j = np.triu_indices(len(one))
+            ok = (i != j) | (count[i] > 1)
+            i, j = np.r_[np.arange(len(one)), i[ok]], np.r_[np.full(len(one), -1), j[ok]]
+            give = one[i] + np.where(j >= 0, one[j], 0)
+            order = np.argsort(give, kind="stable")
+            give = give[order]
+            others = np.flatnonzero(room[bins] > 0)
+            if len(others):
+                at = np.searchsorted(give, sizes[others] + room[bins[others]], "right") - 1
+                gain = np.where(at >= 0, give[at] - sizes[others], 0)
+                k = int(np.argmax(gain))
+                if gain[k] > 0:
+                    b, e = int(bins[others[k]]), int(order[at[k]])
+                    first = mine[sizes[mine] == one[i[e]]]
+                    taken = [first[0]]
+                    if j[e] >= 0:
+                        taken.append(first[1] if i[e] == j[e] else mine[sizes[mine] == one[j[e]]][0])
+                    bins[taken], bins[others[k]] = b, low
+                    fill[b], fill[low], done = fill[b] + gain[k], fill[low] - gain[k], True
         if not done:
-            # one or two of mine for one of a bin with room, with the largest gain that fits and keeps that bin the fuller
-            singles = [(int(sizes[i]), (i,)) for i in mine]
-            pairs = [(int(sizes[i] + sizes[j]), (i, j)) for x, i in enumerate(mine[:64]) for j in mine[x + 1 : 64]]
-            others = np.flatnonzero((bins != low) & (room[bins] > 0))
-            best = (0, None, None)
-            for size, taken in singles + pairs:
-                gain = size - sizes[others]
-                gain = np.where((gain > 0) & (gain <= room[bins[others]]), gain, 0)
-                if len(gain) and (k := int(np.argmax(gain))) >= 0 and gain[k] > best[0]:
-                    best = (int(gain[k]), taken, int(others[k]))
-            if best[1] is not None:
-                gain, taken, other = best
-                b = bins[other]
-                bins[list(taken)], bins[other] = b, low
-                fill[b], fill[low], done = fill[b] + gain, fill[low] - gain, True
-        if done and fill[low] == 0:
+            stuck[low] = True
+        elif fill[low] == 0:
             live -= 1
-            stuck.clear()
-        elif not done:
-            stuck.add(low)
+            stuck[:] = False
     return bins
 
 
