@@ -3,11 +3,10 @@
 Texts with equal shingle sets form a class, and one row stands for it. Every independent tree starts with all classes in
 its root; a node branches each of its documents by minwise tokens at signature places that the node's path selects, so
 two documents share a child with a chance of their similarity per branch. Nodes hold signatures, not texts. Small nodes
-are compared exhaustively; the candidates of all nodes are then checked once on full sets. In large nodes all documents
-are compared with a few leaders; those that are surely similar to one are settled and form its family, the others go on
-branching. A second look compares what the checked links leave apart: families with all documents near their leader, and
-the documents of dense nodes, in blocks of bounded size, so nothing hangs on the leaders or forests chosen. Components
-come from label propagation in tables.
+are compared exhaustively; the candidates of all nodes are then checked once on full sets. Large nodes of documents that
+are little alike branch on. In those of like documents, which branching wouldn't part, a few leaders connect most, and a
+second look compares exhaustively, in blocks of bounded size, what the checked links leave apart. Components come from
+label propagation in tables.
 """
 
 from __future__ import annotations
@@ -30,17 +29,16 @@ TREES = 4
 BRANCHES = 2
 #: A node of up to so many documents is small: one task compares their signatures.
 SMALL = 1024
-#: Levels after which a node that is still large is compared in blocks instead of branched.
-DEEPEST = 6
+#: Large nodes whose documents have at least this mean estimate with their leaders are compared in blocks: a level of
+#: branching would double the rows and leave most pairs together. So are nodes that are large after so many levels.
+DENSE, DEEPEST = 0.4, 12
 #: Leaders of a large node, on average.
 LEADERS = 8
-#: Estimated similarity from which a pair is checked exactly (six standard deviations below 0.8), and is sure.
-CHECK, SURE = 0.5, 0.95
-#: A document whose estimate with a leader is lower has none of CHECK or more with any document settled by that leader.
-FAR = CHECK + SURE - 1
+#: Estimated similarity from which a pair is checked exactly (six standard deviations below 0.8).
+CHECK = 0.5
 #: Documents and shingles on one side of a block, about.
 BLOCK, BLOCK_SHINGLES = 1024, 500_000
-#: Roles of documents in the blocks of the second look.
+#: Roles of documents in the blocks of the second look: those apart from the rest of their group, and all of it.
 FAMILY, VISITOR = 1, 2
 
 _SEEDS = K.stream(21, PLACES)
@@ -264,33 +262,28 @@ def _compare_small(percent: int):
 
 
 def _compare_leaders(batches):
-    """Members of large nodes (node, id, n, signature, leaders): the nearest leader, two others to check, all within FAR."""
+    """Members of large nodes (node, id, signature, leaders): mean estimate with the leaders, and the two nearest others.
+
+    The nearest are checked: they connect most of what is alike, and the second look does the rest.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig = _matrix(batch.column(3))
+        sig = _matrix(batch.column(2))
         node, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        near, best, to, around = np.zeros(len(node)), np.zeros(len(node), np.int64), [[] for _ in node], [[] for _ in node]
+        like, to = np.zeros(len(node)), [[] for _ in node]
         for x in np.unique(node):
             rows = np.flatnonzero(node == x)
-            leaders = batch.column(4)[int(rows[0])].as_py()
+            leaders = batch.column(3)[int(rows[0])].as_py()
             ids = np.array([k["id"] for k in leaders], np.int64)
             other = np.stack([np.frombuffer(k["signature"], np.uint32) for k in leaders])
             est = np.stack([(sig[rows] == g).mean(axis=1) for g in other], axis=1)
-            at = np.argmax(est, axis=1)
-            near[rows], best[rows] = est[np.arange(len(rows)), at], ids[at]
-            for i, k in zip(*(x.tolist() for x in np.nonzero(est >= FAR))):
-                around[rows[i]].append(int(ids[k]))
-            # the two nearest others that may link: most of a family is connected by them; the second look does the rest
-            other = np.where(own[rows][:, None] == ids, -1, est)
-            for k in np.argsort(-other, axis=1, kind="stable")[:, :2].T:
-                for i in np.flatnonzero(other[np.arange(len(rows)), k] >= CHECK):
+            like[rows] = est.mean(axis=1)
+            est = np.where(own[rows][:, None] == ids, -1, est)
+            for k in np.argsort(-est, axis=1, kind="stable")[:, :2].T:
+                for i in np.flatnonzero(est[np.arange(len(rows)), k] >= CHECK):
                     to[rows[i]].append(int(ids[k[i]]))
-        lists = [pa.array(x, pa.list_(pa.int64())) for x in (to, around)]
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(k) for k in range(4)], pa.array(best), pa.array(near), *lists],
-            ["node", "id", "n", "signature", "leader", "near", "check", "around"],
-        )
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(like), pa.array(to, pa.list_(pa.int64()))], ["node", "id", "like", "near"])
 
 
 def _branch(batches):
@@ -403,16 +396,15 @@ def small_node_pairs(members: DataFrame, small: DataFrame, reps: DataFrame, perc
 
 @dataclass
 class Found:
-    """What the trees give: pairs (a, b) to check; groups (gid, id, n) of which all pairs may count; and large nodes."""
+    """What the trees give: pairs (a, b) to check, and groups (gid, id, n) of which all pairs may count."""
 
     pairs: DataFrame
     groups: DataFrame
-    large: DataFrame | None
 
 
 def walk_trees(reps: DataFrame, members: DataFrame, percent: int, ws: Workspace) -> Found:
-    """Branch until no large node is left, or DEEPEST levels; nodes that are large even then are groups."""
-    pairs, groups, large, depth = [], [], [], 1
+    """Branch large nodes of documents that are little alike, until none is left; large nodes of others are groups."""
+    pairs, groups, depth = [], [], 1
     while True:
         sized = members.groupBy("node").agg(
             F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("id")).alias("who1"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("who2"),
@@ -421,31 +413,29 @@ def walk_trees(reps: DataFrame, members: DataFrame, percent: int, ws: Workspace)
         found = small_node_pairs(members, sized.filter(F.col("size") <= SMALL), reps, percent, ws)
         pairs.append(found.select("a", "b"))
         groups.append(members.join(found.filter("more").select("node").distinct(), "node").select(F.col("node").alias("gid"), "id", "n"))
-        big = sized.filter(F.col("size") > SMALL).select("node", "size")
+        once = sized.filter(F.col("size") > SMALL).groupBy("size", "who1", "who2").agg(F.min("node").alias("node"))
+        big = ws.save(once.select("node", "size"), "big")
         if not big.limit(1).count():
             break
         if depth > DEEPEST:
             groups.append(members.join(big, "node").select(F.col("node").alias("gid"), "id", "n"))
             break
-        signed = members.join(big, "node").join(reps.select("id", "signature"), "id")
-        signed = ws.save(signed.select("node", "id", "n", "signature", "size"), "signed")
-        # LEADERS of a node on average, by hash: the list stays short, whatever the node's size
-        chosen = signed.filter(F.pmod(F.xxhash64("node", "id"), F.col("size")) < LEADERS)
-        chosen = chosen.groupBy("node").agg(F.collect_list(F.struct("id", "signature")).alias("leaders"))
+        signed = ws.save(members.join(big, "node").join(reps.select("id", "signature"), "id").select("node", "id", "n", "signature", "size"), "signed")
+        # LEADERS of a node on average: the list stays short, whatever the node's size; like nodes have the same ones
+        part = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 40)) / float(1 << 40)
+        chosen = signed.filter(part * F.col("size") < LEADERS).groupBy("node").agg(F.collect_list(F.struct("id", "signature")).alias("leaders"))
         chosen = ws.save(chosen, "leaders")
-        kind = "node long, id long, n long, signature binary, leader long, near double, check array<long>, around array<long>"
-        held = signed.join(chosen, "node").select("node", "id", "n", "signature", "leaders").mapInArrow(_compare_leaders, kind)
+        held = signed.join(chosen, "node").select("node", "id", "signature", "leaders").mapInArrow(_compare_leaders, "node long, id long, like double, near array<long>")
         held = ws.save(held, "large")
-        large.append(held.select("node", "id", "n", "leader", "near", "around"))
-        other = held.select("id", F.explode("check").alias("other")).filter("id <> other")
+        dense = ws.save(held.groupBy("node").agg(F.avg("like").alias("like")).filter(F.col("like") >= DENSE).select("node"), "dense")
+        other = held.join(dense, "node").select("id", F.explode("near").alias("other"))
         pairs.append(other.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
-        # nodes without a leader, as chance has it, go on whole
-        alone = signed.join(chosen.select("node"), "node", "left_anti").select("node", "id", "n", "signature")
-        rest = held.filter(F.col("near") < SURE).select("node", "id", "n", "signature").unionByName(alone)
+        groups.append(signed.join(dense, "node").select(F.col("node").alias("gid"), "id", "n"))
+        # the others branch, also those without a leader, as chance has it
+        rest = signed.join(dense, "node", "left_anti").select("node", "id", "n", "signature")
         members = ws.save(rest.mapInArrow(_branch, "node long, id long, n long"), "members")
         depth += 1
-    union = lambda tables: reduce(DataFrame.unionByName, tables) if tables else None
-    return Found(ws.save(union(pairs).distinct(), "candidates"), ws.save(union(groups), "groups"), union(large))
+    return Found(ws.save(reduce(DataFrame.unionByName, pairs).distinct(), "candidates"), ws.save(reduce(DataFrame.unionByName, groups), "groups"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
@@ -468,33 +458,21 @@ def _blocks(rows: DataFrame, kind: list[str]) -> DataFrame:
 
 
 def second_look(found: Found, links: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
-    """The links, and those between documents of a group or a large node that the links leave apart.
+    """The links, and those between documents of a group that the links leave apart.
 
-    Groups: documents that don't have the group's commonest label meet all. Large nodes: a pair has an estimate of
-    CHECK or more only if that of its one document with the leader of the other, settled one reaches FAR (places that
-    differ obey the triangle inequality); so each such leader's family meets all documents within FAR. Blocks against
-    blocks: signatures first, then full sets of those with a candidate. No pair is a row.
+    Documents that don't have their group's commonest label meet all of the group, blocks against blocks: signatures
+    first, then full sets of those with a candidate. No pair is a row.
     """
-    if not found.groups.limit(1).count() and found.large is None:
+    if not found.groups.limit(1).count():
         return links
     labels = components(links, ws)
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-
-    own = ws.save(labelled(found.groups), "labelled")
+    own = ws.save(found.groups.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled")
     counts = own.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("k"))
     main = counts.groupBy("gid").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    own = own.join(main.drop("labels"), "gid")
+    own = own.join(main.select("gid", "main"), "gid")
     names = ["gid", "role", "id", "label", "n"]
-    rows = [own.withColumn("role", F.lit(VISITOR)).select(*names), own.filter("label <> main").withColumn("role", F.lit(FAMILY)).select(*names)]
-    if found.large is not None:
-        near = labelled(found.large.withColumn("_leader", F.explode("around")).withColumn("gid", F.xxhash64("node", "_leader")))
-        near = ws.save(near.withColumn("settled", (F.col("near") >= SURE) & (F.col("leader") == F.col("_leader"))).select("gid", "id", "label", "n", "settled"), "near")
-        family = near.filter("settled").groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        visitor = near.join(family, "gid").filter("(NOT settled OR lo <> hi) AND NOT (lo = hi AND label = lo)")
-        rows += [visitor.withColumn("role", F.lit(VISITOR)).select(*names), near.filter("settled").withColumn("role", F.lit(FAMILY)).select(*names)]
-    rows = ws.save(reduce(DataFrame.unionByName, rows), "apart")
+    rows = own.withColumn("role", F.lit(VISITOR)).select(*names).unionByName(own.filter("label <> main").withColumn("role", F.lit(FAMILY)).select(*names))
+    rows = ws.save(rows, "apart")
     if not rows.limit(1).count():
         return links
     tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -533,8 +511,6 @@ def near_duplicates(
     members = ws.save(reps.select(F.explode("paths").alias("node"), "id", "n"), "members")
     found = walk_trees(reps, members, percent, ws)
     ids = [found.pairs.select(F.col(c).alias("id")) for c in ("a", "b")] + [found.groups.select("id")]
-    if found.large is not None:
-        ids.append(found.large.select("id"))
     wanted = ws.save(reduce(DataFrame.unionByName, ids).distinct(), "wanted")
     texts = ws.save(docs.select("id", "text").join(wanted.hint("merge"), "id", "left_semi"), "texts")
     links = confirmed(found.pairs, texts, size, percent, ws)
