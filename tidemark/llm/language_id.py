@@ -18,8 +18,9 @@ SIZES = (1, 2, 3)
 CENTROIDS = 4
 #: Labelled rows a language gives to the fit at most (those with the smallest hashes of their ids), and all together.
 ROWS_PER_LANGUAGE, MOST_ROWS = 1000, 6000
-#: Languages with the most labelled rows that are learned at most.
-MOST_LANGUAGES = 300
+#: Languages (those with the most labelled rows) that are learned at most. A language's centroids take 64 KB of every
+#: worker's memory; more than these names the world's written languages, so the rest would be noise of the lang column.
+MOST_LANGUAGES = 1000
 #: A text further from its centroid than this share of the learned texts of that centroid is marked as rejected.
 RADIUS = 0.999
 UNKNOWN = "und"
@@ -137,25 +138,30 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Model:
-    """Fit on labelled rows that aren't held out: at most ROWS_PER_LANGUAGE of each language and MOST_ROWS of all."""
+def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most_languages: int = MOST_LANGUAGES) -> Model:
+    """Fit on labelled rows that aren't held out: at most ROWS_PER_LANGUAGE of each language and MOST_ROWS of all.
+
+    Rows of one id and text count once, so neither a repeated id nor a repeated text makes the sample larger.
+    """
     spark = docs.sparkSession
     ws = Workspace(spark, "langid")
     usable = docs.filter(~held_out(id_col) & docs[lang_col].isNotNull() & docs[id_col].isNotNull())
-    langs = usable.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang_col).limit(MOST_LANGUAGES).collect()
+    usable = usable.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"), F.xxhash64(id_col, lang_col, text_col).alias("_h"))
+    langs = usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(most_languages).collect()
     sizes = {r[0]: r[1] for r in langs}
     langs = sorted(sizes)
-    most_rows = min(ROWS_PER_LANGUAGE, MOST_ROWS // max(1, len(langs)))
+    most_rows = max(1, min(ROWS_PER_LANGUAGE, MOST_ROWS // max(1, len(langs))))
     # rows of large languages are thinned by hash before they are ranked: half as many again as are wanted go on
-    part = F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / float(1 << 30)
+    part = F.pmod(F.xxhash64("_h"), F.lit(1 << 30)) / float(1 << 30)
     most = F.create_map(*[F.lit(x) for k in langs for x in (k, 1.5 * most_rows / sizes[k])]) if langs else None
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    ids = usable.filter(F.col(lang_col).isin(langs) & (part < most[F.col(lang_col)]) if langs else F.lit(False)).select(id_col, lang_col).withColumn("_rank", F.row_number().over(order))
-    ids = ws.save(ids.filter(F.col("_rank") <= most_rows).select(id_col).distinct(), "sample")
-    # at most MOST_ROWS narrow rows, whatever the input
-    rows = usable.join(F.broadcast(ids), id_col).select(lang_col, text_col)
+    rows = usable.filter(F.col("_lang").isin(langs) & (part < most[F.col("_lang")]) if langs else F.lit(False))
+    rows = rows.groupBy("_lang", "_h").agg(F.min("_id").alias("_id"))
+    order = Window.partitionBy("_lang").orderBy("_h")
+    chosen = ws.save(rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most_rows).select("_h"), "sample")
+    # at most MOST_ROWS narrow rows (and one of each language), whatever the input
+    rows = usable.join(F.broadcast(chosen), "_h").groupBy("_h").agg(F.min_by(F.struct("_lang", "_text"), "_id").alias("s")).select("s._lang", "s._text")
     rows = rows.mapInArrow(_vectors, "lang string, at array<int>, n array<float>").toPandas()
-    rows = sorted(((r.lang, np.asarray(r.at, np.int64), np.asarray(r.n, np.float32)) for r in rows.itertuples() if r.lang in set(langs)), key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
+    rows = sorted(((r.lang, np.asarray(r.at, np.int64), np.asarray(r.n, np.float32)) for r in rows.itertuples()), key=lambda r: (r[0], len(r[1]), r[1].tobytes(), r[2].tobytes()))
     return Model([k for k in langs if any(r[0] == k for r in rows)], rows)
 
 
@@ -181,14 +187,16 @@ def _predictor(shared):
     return run
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def identify(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_languages: int = MOST_LANGUAGES,
+) -> DataFrame:
     """A row per document: id, held_out, lang_pred, score (cosine to the centroid), rejected (too far from it).
 
     Null text and text without a letter: und, score 0, rejected. Rows with a null id are never learned from, never
     held out, and predicted like others. Without learnable rows everything is und. Other columns are left out. Ties
     go to the language that sorts first.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(only(docs, id_col, text_col, lang_col), id_col, text_col, lang_col))
+    model = docs.sparkSession.sparkContext.broadcast(fit(only(docs, id_col, text_col, lang_col), id_col, text_col, lang_col, most_languages))
     docs = only(docs, id_col, text_col)
     schema = f"_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double, rejected boolean"
     out = docs.mapInArrow(_predictor(model), schema).withColumnRenamed("_id", id_col)

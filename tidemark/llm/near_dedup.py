@@ -34,8 +34,10 @@ SMALL = 1024
 DENSE, DEEPEST = 0.4, 12
 #: Leaders of a large node, on average.
 LEADERS = 8
-#: Estimated similarity from which a pair is checked exactly (six standard deviations below 0.8).
-CHECK = 0.5
+#: Documents of dense nodes are also checked with the first one that shares one of so many keys of so many places.
+STARS, STAR_PLACES = 6, 5
+#: Estimated similarity from which a pair is checked exactly: one at 0.8 falls below it with a chance of 4e-6.
+CHECK = 0.55
 #: Documents and shingles on one side of a block, about.
 BLOCK, BLOCK_SHINGLES = 1024, 500_000
 #: Roles of documents in the blocks of the second look: those apart from the rest of their group, and all of it.
@@ -286,6 +288,17 @@ def _compare_leaders(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(like), pa.array(to, pa.list_(pa.int64()))], ["node", "id", "like", "near"])
 
 
+def _keys(batches):
+    """Rows (id, signature) of dense nodes: STARS keys of STAR_PLACES places each. Who shares one is very likely linked."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sig = _matrix(batch.column(1)).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            keys = [K.mix(sum(K.mix(sig[:, r * STAR_PLACES + k] + np.uint64(k)) * _ODD[k] for k in range(STAR_PLACES)) + np.uint64(r)) for r in range(STARS)]
+        yield pa.RecordBatch.from_arrays([pa.array(K.signed(np.concatenate(keys))), pa.concat_arrays([batch.column(0)] * STARS)], ["key", "id"])
+
+
 def _branch(batches):
     for batch in batches:
         if not batch.num_rows:
@@ -430,7 +443,11 @@ def walk_trees(reps: DataFrame, members: DataFrame, percent: int, ws: Workspace)
         dense = ws.save(held.groupBy("node").agg(F.avg("like").alias("like")).filter(F.col("like") >= DENSE).select("node"), "dense")
         other = held.join(dense, "node").select("id", F.explode("near").alias("other"))
         pairs.append(other.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
-        groups.append(signed.join(dense, "node").select(F.col("node").alias("gid"), "id", "n"))
+        alike = signed.join(dense, "node")
+        groups.append(alike.select(F.col("node").alias("gid"), "id", "n"))
+        keys = ws.save(alike.select("id", "signature").dropDuplicates(["id"]).mapInArrow(_keys, "key long, id long"), "keys")
+        first = keys.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "a")
+        pairs.append(keys.join(first, "key").filter("a <> id").select("a", F.col("id").alias("b")))
         # the others branch, also those without a leader, as chance has it
         rest = signed.join(dense, "node", "left_anti").select("node", "id", "n", "signature")
         members = ws.save(rest.mapInArrow(_branch, "node long, id long, n long"), "members")

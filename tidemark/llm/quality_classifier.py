@@ -1,9 +1,11 @@
 """Quality classification by co-training of a text view and a metadata view.
 
 Two logistic models over log-odds weighted features see different things: the tokens of a text, and what describes the
-page (source, language, length, layout). Both are fitted on a bounded sample of labelled rows; over some rounds each gives its most confident
-judgements of a bounded pool of unlabelled rows to the other as labels. Then each view is calibrated on labelled rows
-that took no part in the fit, the calibrated log-odds are combined, and every document of the table is scored.
+page (source, language, length, layout). Both are fitted on a bounded sample of labelled rows. Over some rounds every
+document is judged by both views, and those that one is sure of count as examples of the other: their features enter the
+other's class counts, summed up by Spark over the whole table, and with them the log odds that its weights start from.
+Each view is calibrated on labelled rows that took no part in the fit, the calibrated log-odds are combined, and every
+document of the table is scored.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -20,13 +22,17 @@ from .workspace import Workspace, only
 
 BITS = 16
 META_BITS = 10
-#: Labelled rows used at most, and unlabelled rows in the pool (those with the smallest hashes of their ids).
-MOST_LABELLED, POOL = 10_000, 4_000
-ROUNDS = 3
-#: Rows of each class that a view gives to the other in a round, at this confidence at least.
-EXCHANGED, CONFIDENT = 300, 0.95
+#: Labelled rows used at most (those with the smallest hashes of their ids).
+MOST_LABELLED = 10_000
+#: Features of labelled rows that the driver holds at most, about 12 bytes each: with very long texts fewer rows are used.
+MOST_FEATURES = 6_000_000
+#: Rounds in which the views exchange what they are sure of; each is a pass over all documents.
+ROUNDS = 2
+#: A view gives the other all documents that it judges with this confidence at least; together they weigh this share of
+#: the labelled ones of their class.
+CONFIDENT, SHARE = 0.95, 0.3
 ACCEPT = 0.4
-_STEPS = 200
+_STEPS = 80
 
 
 _REPEATS = K.stream(31, 11)
@@ -85,33 +91,50 @@ class Rows:
         return np.bincount(self.row, weights.astype(np.float32)[self.at] * self.value, self.n) + weights[-1]
 
 
-#: Labelled rows that a feature must occur in to count.
+#: Rows that a feature must occur in to count.
 LEAST_ROWS = 3
 
 
-def fit(rows: Rows, y: np.ndarray, weight: np.ndarray, steps: int = _STEPS, penalty: float = 1e-4) -> np.ndarray:
-    """Weights of the features and, last, the bias, for rows of weight above 0 with labels y.
+class Counts:
+    """What one view has been given by the other: documents of each class (0, 1), and those that hold each feature."""
 
-    Each feature is first scaled by its smoothed log odds between the classes, which leaves little to features that
-    don't tell them apart; then logistic regression with balanced classes by adaptive gradient steps from zero.
+    def __init__(self, size: int):
+        self.rows, self.features = np.zeros(2), np.zeros((2, size))
+
+
+def fit(rows: Rows, y: np.ndarray, use: np.ndarray, given: Counts, steps: int = _STEPS, penalty: float = 1e-4) -> np.ndarray:
+    """Weights of the features and, last, the bias, for the rows in use with labels y and what the other view gave.
+
+    Each feature is scaled by its smoothed log odds between the classes, which leaves little to features that don't
+    tell them apart. One common factor for all is fitted first; from there logistic regression with balanced classes
+    goes on by adaptive gradient steps, so features that no labelled row holds keep the common factor.
     """
-    good, bad = weight * (y == 1), weight * (y == 0)
-    ones, zeros = (np.bincount(rows.at, c[rows.row], rows.size) for c in (good, bad))
-    odds = np.log((ones + 1) / (good.sum() + 2)) - np.log((zeros + 1) / (bad.sum() + 2))
-    odds[ones + zeros < LEAST_ROWS] = 0
-    used = (weight[rows.row] > 0) & (odds[rows.at] != 0)
-    at, row = rows.at[used], rows.row[used]
-    value = rows.value[used] * odds.astype(np.float32)[at]
-    del used
-    w = np.zeros(rows.size + 1)
+    rate, seen = [], np.zeros(rows.size)
+    for c in (0, 1):
+        mine = (use & (y == c)).astype(float)
+        share = SHARE * mine.sum() / given.rows[c] if given.rows[c] else 0.0
+        held = np.bincount(rows.at, mine[rows.row], rows.size)
+        seen += held + given.features[c]
+        rate.append((held + share * given.features[c] + 1) / (mine.sum() + share * given.rows[c] + 2))
+    odds = np.log(rate[1]) - np.log(rate[0])
+    odds[seen < LEAST_ROWS] = 0
+    kept = use[rows.row] & (odds[rows.at] != 0)
+    at, row = rows.at[kept], rows.row[kept]
+    value = rows.value[kept] * odds.astype(np.float32)[at]
+    del kept
+    total = np.bincount(row, value, rows.n)
+    factor, bias = calibrate(total[use], y[use])
+    factor = max(0.0, factor)
+    w = np.append(np.full(rows.size, factor), bias)
     moment, square = np.zeros_like(w), np.zeros_like(w)
-    share = 0.5 * good / max(1e-9, good.sum()) + 0.5 * bad / max(1e-9, bad.sum())
+    good, bad = (use & (y == 1)).astype(float), (use & (y == 0)).astype(float)
+    share = 0.5 * good / max(1.0, good.sum()) + 0.5 * bad / max(1.0, bad.sum())
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w.astype(np.float32)[at] * value, rows.n) + w[-1], -30, 30)))
         e = share * (p - y)
-        g = np.r_[np.bincount(at, e.astype(np.float32)[row] * value, rows.size) + penalty * w[:-1], e.sum()]
+        g = np.r_[np.bincount(at, e.astype(np.float32)[row] * value, rows.size) + penalty * (w[:-1] - factor), e.sum()]
         moment, square = 0.9 * moment + 0.1 * g, 0.999 * square + 0.001 * g * g
-        w -= 0.05 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
+        w -= 0.1 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
     w[:-1] *= odds
     return w
 
@@ -147,77 +170,98 @@ class Model:
     def __init__(self, text, meta, text_curve, meta_curve):
         self.text, self.meta, self.text_curve, self.meta_curve = text, meta, text_curve, meta_curve
 
-    def combine(self, zt: np.ndarray, zm: np.ndarray) -> np.ndarray:
-        """The text decides alone where it is sure; else both calibrated views count."""
-        t = self.text_curve[0] * zt + self.text_curve[1]
-        m = self.meta_curve[0] * zm + self.meta_curve[1]
-        return t + 0.25 * m
+    def views(self, part: K.Slice, source: list, lang: list) -> tuple[tuple, tuple]:
+        """Of each view: features (text, bucket) and calibrated log-odds."""
+        out = []
+        for (rows, at), w, curve in (
+            (text_features(part), self.text, self.text_curve), (meta_features(part, source, lang), self.meta, self.meta_curve)
+        ):
+            z = np.bincount(rows, w[at], len(part)) / np.sqrt(np.maximum(1, np.bincount(rows, minlength=len(part)))) + w[-1]
+            out.append((rows, at, curve[0] * z + curve[1]))
+        return tuple(out)
 
     def score(self, part: K.Slice, source: list, lang: list) -> np.ndarray:
-        n = len(part)
-        z = []
-        for (rows, at), w in ((text_features(part), self.text), (meta_features(part, source, lang), self.meta)):
-            z.append(np.bincount(rows, w[at], n) / np.sqrt(np.maximum(1, np.bincount(rows, minlength=n))) + w[-1])
-        return 1 / (1 + np.exp(-np.clip(self.combine(*z), -30, 30)))
-
-
-def co_train(text: Rows, meta: Rows, gold: np.ndarray, held: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """gold: labels, NaN where there is none; held: rows kept for calibration."""
-    known = ~np.isnan(gold)
-    views = [text, meta]
-    labels = [np.where(known & ~held, gold, np.nan) for _ in views]
-    models = [None, None]
-
-    def train(k):
-        y = labels[k]
-        use = ~np.isnan(y)
-        weight = np.where(known, 1.0, 0.3) * use
-        return fit(views[k], np.nan_to_num(y), weight)
+        """The text's log-odds and a quarter of the metadata's."""
+        (_, _, t), (_, _, m) = self.views(part, source, lang)
+        return 1 / (1 + np.exp(-np.clip(t + 0.25 * m, -30, 30)))
 
-    for r in range(rounds + 1):
-        models = [train(0), train(1)]
-        if r == rounds:
-            break
+
+def _exchange(shared):
+    """Rows (text, source, lang, labelled): counts (view, class, feature) of what each view is given; feature -1: rows."""
+
+    def run(batches):
+        model, sure = shared.value, np.log(CONFIDENT / (1 - CONFIDENT))
+        sizes = (1 << BITS, 1 << META_BITS)
+        held = [np.zeros((2, n + 1), np.int64) for n in sizes]
+        for batch in batches:
+            src, lang = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            known = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            for part in K.slices(batch.column(0)):
+                own = slice(part.first, part.first + len(part))
+                views = model.views(part, src[own], lang[own])
+                for k in (0, 1):
+                    rows, at, _ = views[k]
+                    z = views[1 - k][2]
+                    for c, picked in ((0, z <= -sure), (1, z >= sure)):
+                        picked = picked & ~known[own]
+                        held[k][c, -1] += picked.sum()
+                        held[k][c, :-1] += np.bincount(at[picked[rows]], minlength=sizes[k])
         for k in (0, 1):
-            z = views[k].dot(models[k])
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            # what this view is sure of, for the other view
-            free = np.isnan(labels[1 - k]) & ~known
-            for value, sure in ((1.0, p), (0.0, 1 - p)):
-                pick = np.flatnonzero(free & (sure >= CONFIDENT))
-                labels[1 - k][pick[np.argsort(-sure[pick], kind="stable")][:EXCHANGED]] = value
-    judge = held & known
-    curves = [calibrate(v.dot(m)[judge], gold[judge]) for v, m in zip(views, models)]
-    return Model(models[0], models[1], *curves)
-
-
-def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, most_labelled: int = MOST_LABELLED, pool: int = POOL) -> Model | None:
-    """Fit on at most most_labelled labelled rows and a pool of at most pool others; None without labelled rows.
-
-    Good rows are those of quality 1 that aren't toxic. An id with several labels counts by its lowest judgement.
+            for c in (0, 1):
+                used = np.flatnonzero(held[k][c])
+                names = np.where(used == sizes[k], -1, used)
+                cols = [np.full(len(used), k), np.full(len(used), c), names, held[k][c][used]]
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in cols], ["view", "y", "feature", "n"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str, most_labelled: int = MOST_LABELLED, rounds: int = ROUNDS) -> Model | None:
+    """Fit on at most most_labelled labelled documents and on what the views are sure of; None without labelled rows.
+
+    Good rows are those of quality 1 that aren't toxic. An id with several labels counts by its lowest judgement, one
+    with several rows by the row whose features have the smallest hash.
     """
     spark = docs.sparkSession
     ws = Workspace(spark, "quality")
     good = ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("double")
     judged = labels.select(labels[id_col].alias("_key"), labels["quality"], labels["toxic"]).filter("_key IS NOT NULL AND quality IS NOT NULL")
     judged = judged.groupBy("_key").agg(F.min(good).alias("y"))
-    some = judged.orderBy(F.xxhash64("_key"), "_key").limit(most_labelled)
-    # the pool: the smallest hashes among all ids, those with a label left out later
-    ids = docs.filter(docs[id_col].isNotNull()).select(F.col(id_col).alias("_key")).join(judged.select("_key"), "_key", "left_anti")
-    free = ids.distinct().orderBy(F.xxhash64("_key"), "_key").limit(pool).withColumn("y", F.lit(None).cast("double"))
-    # most_labelled + pool narrow rows at most, whatever the input
-    chosen = ws.save(some.unionByName(free), "sample")
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_key"]).select("_key", text_col, source_col, lang_col, "y")
+    # most_labelled narrow rows at most, whatever the input
+    chosen = ws.save(judged.orderBy(F.xxhash64("_key"), "_key").limit(most_labelled), "sample")
+    marked = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_key"], "left").select("_key", text_col, source_col, lang_col, "y")
     kind = "_key long, text array<int>, meta array<int>, y double"
-    table = rows.mapInArrow(_sampler, kind).toPandas()
-    if not table["y"].notna().any():
+    table = marked.filter("_key IS NOT NULL").mapInArrow(_sampler, kind).groupBy("_key")
+    table = table.agg(F.min_by(F.struct("text", "meta", "y"), F.xxhash64("text", "meta")).alias("s")).select("_key", "s.*")
+    table = ws.save(table.withColumn("_size", F.size("text")), "features")
+    upto = F.sum("_size").over(Window.orderBy(F.xxhash64("_key"), "_key"))
+    few = table.select("_key", "_size").withColumn("_upto", upto).filter(F.col("_upto") <= MOST_FEATURES).select("_key")
+    table = table.drop("_size").join(F.broadcast(few), "_key").toPandas()
+    if not len(table):
         return None
     table["_crc"] = [zlib.crc32(np.asarray(x, np.int32).tobytes()) for x in table["text"]]
     table = table.sort_values(["_key", "_crc"], kind="stable")
     # copies of a text go to one side
     held, gold = table["_crc"].to_numpy() % 4 == 0, table["y"].to_numpy(float)
-    text, meta = Rows(table.pop("text"), 1 << BITS), Rows(table.pop("meta"), 1 << META_BITS)
-    return co_train(text, meta, gold, held)
+    views = Rows(table.pop("text"), 1 << BITS), Rows(table.pop("meta"), 1 << META_BITS)
+    given = Counts(1 << BITS), Counts(1 << META_BITS)
+    for r in range(rounds + 1):
+        weights = [fit(v, gold, ~held, g) for v, g in zip(views, given)]
+        curves = [calibrate(v.dot(w)[held], gold[held]) for v, w in zip(views, weights)]
+        model = Model(*weights, *curves)
+        if r == rounds:
+            return model
+        shared = spark.sparkContext.broadcast(model)
+        rows = marked.select(text_col, source_col, lang_col, F.col("_key").isNotNull().alias("labelled"))
+        found = rows.mapInArrow(_exchange(shared), "view long, y long, feature long, n long").groupBy("view", "y", "feature").agg(F.sum("n").alias("n")).toPandas()
+        shared.destroy()
+        given = Counts(1 << BITS), Counts(1 << META_BITS)
+        for k in (0, 1):
+            for c in (0, 1):
+                mine = found[(found["view"] == k) & (found["y"] == c)]
+                given[k].rows[c] = mine.loc[mine["feature"] < 0, "n"].sum()
+                mine = mine[mine["feature"] >= 0]
+                given[k].features[c][mine["feature"].to_numpy()] = mine["n"]
 
 
 def _scorer(shared):
@@ -251,15 +295,18 @@ def _filter(shared, names: list[str]):
     return run
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+def classify(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+    most_labelled: int = MOST_LABELLED, rounds: int = ROUNDS,
+) -> DataFrame:
     """A row per input row: id, score (0 to 1) and accepted (score >= ACCEPT).
 
     Null or empty text has the score of its metadata and the text bias; null source or language is a value of its own.
-    Rows with a null id are scored but never learned from; repeated rows are scored one by one. Without labels every
-    score is 0.5 and all rows are accepted. Other columns are left out. An empty table gives no rows.
+    Rows with a null id are scored and exchanged but never count as labelled; repeated rows are scored one by one.
+    Without labels every score is 0.5 and all rows are accepted. Other columns are left out. An empty table gives no rows.
     """
     docs = only(docs, id_col, text_col, source_col, lang_col)
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, source_col, lang_col))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, source_col, lang_col, most_labelled, rounds))
     schema = f"_key {docs.schema[id_col].dataType.simpleString()}, score double"
     out = docs.mapInArrow(_scorer(model), schema).withColumnRenamed("_key", id_col)
     return out.withColumn("accepted", F.col("score") >= ACCEPT)

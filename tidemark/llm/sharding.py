@@ -2,8 +2,8 @@
 
 A row's global number is its place among all rows, ordered by hash bucket, then id, then content. The permutation
 sends it to a position; position modulo the number of shards is the shard and the quotient is the slot. Both are
-computable from the number, and the number from the position (the rounds run backwards), so a reader can say which
-row any slot holds. Counts of shards differ by one at most, slots have no gaps.
+computable from the number, and the number from the position (number_at() runs the rounds backwards), so a reader can
+say which row any slot holds. Counts of shards differ by one at most, slots have no gaps.
 """
 
 from __future__ import annotations
@@ -38,28 +38,36 @@ def walk_steps(n: int) -> int:
     return min(a * b - n + 1, MOST_STEPS)
 
 
-def permute(x: Column, n: int, seed: int) -> Column:
-    """The position in 0..n-1 of number x: rounds of a two-sided Feistel network, walked until inside."""
+def _pass(value: Column, n: int, seed: int, back: bool) -> Column:
+    """All rounds of a two-sided Feistel network over the square, or all of them backwards."""
     a, b = domain(n)
+    start = F.struct(F.pmod(value, F.lit(a)).alias("l"), F.floor(value / F.lit(a)).cast("long").alias("r"))
+    order = range(ROUNDS - 1, -1, -1) if back else range(ROUNDS)
+    keys = F.array(*[F.lit(seed * 1000 + k).cast("long") for k in order])
 
-    def rounds(value: Column) -> Column:
-        start = F.struct(F.pmod(value, F.lit(a)).alias("l"), F.floor(value / F.lit(a)).cast("long").alias("r"))
-        keys = F.array(*[F.lit(seed * 1000 + k).cast("long") for k in range(ROUNDS)])
+    def moved(x: Column, by: Column, side: int) -> Column:
+        by = F.pmod(by, F.lit(side))
+        return F.pmod(x - by if back else x + by, F.lit(side))
 
-        def one(s: Column, k: Column) -> Column:
-            left = F.pmod(s["l"] + F.pmod(F.xxhash64(s["r"], k), F.lit(a)), F.lit(a))
-            return F.struct(left.alias("l"), s["r"].alias("r"))
+    def one(s: Column, k: Column) -> Column:
+        return F.struct(moved(s["l"], F.xxhash64(s["r"], k), a).alias("l"), s["r"].alias("r"))
 
-        def two(s: Column, k: Column) -> Column:
-            right = F.pmod(s["r"] + F.pmod(F.xxhash64(s["l"], k, F.lit(1)), F.lit(b)), F.lit(b))
-            return F.struct(s["l"].alias("l"), right.alias("r"))
+    def two(s: Column, k: Column) -> Column:
+        return F.struct(s["l"].alias("l"), moved(s["r"], F.xxhash64(s["l"], k, F.lit(1)), b).alias("r"))
 
-        return F.aggregate(keys, start, lambda s, k: two(one(s, k), k), lambda s: s["r"] * F.lit(a) + s["l"])
+    step = (lambda s, k: one(two(s, k), k)) if back else (lambda s, k: two(one(s, k), k))
+    return F.aggregate(keys, start, step, lambda s: s["r"] * F.lit(a) + s["l"])
 
-    walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(walk_steps(n))), x, lambda v, i: F.when((v >= n) | (i == 1), rounds(v)).otherwise(v)
-    )
-    return walked
+
+def permute(x: Column, n: int, seed: int, back: bool = False) -> Column:
+    """The position in 0..n-1 of number x, or the number at position x: the network, walked until inside."""
+    steps = F.sequence(F.lit(1), F.lit(walk_steps(n)))
+    return F.aggregate(steps, x, lambda v, i: F.when((v >= n) | (i == 1), _pass(v, n, seed, back)).otherwise(v))
+
+
+def number_at(shard: Column, slot: Column, n: int, shards: int = 8, seed: int = 20) -> Column:
+    """The global row number that a slot of a shard holds, of n rows."""
+    return permute(slot * F.lit(shards) + shard, n, seed, back=True)
 
 
 def number_rows(spark: SparkSession, rows: DataFrame, order: list[str], ws: Workspace) -> tuple[DataFrame, int]:
@@ -84,7 +92,7 @@ def number_rows(spark: SparkSession, rows: DataFrame, order: list[str], ws: Work
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 8, seed: int = 20) -> DataFrame:
     """Put every row into one of the shards; counts of shards are at most one apart.
 
-    Returns id_col, size (UTF-8 bytes of the text, plus 1), text_crc32, position, shard and slot. Null text: size 1
+    Returns id_col, size (UTF-8 bytes of the text, plus 1), text_crc32, number, position, shard and slot. Null text: size 1
     and the checksum of nothing, 0. Null ids and repeated rows are numbered like any others, in one order: id (nulls
     first), size, checksum; equal rows get different slots. An empty table gives no rows. Other columns are dropped.
     """
@@ -94,7 +102,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     rows = only(docs, id_col, text_col).select(id_col, (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text).alias("text_crc32"))
     numbered, n = number_rows(spark, rows, [id_col, "size", "text_crc32"], ws)
     position = permute(F.col("_number"), n, seed)
-    out = numbered.select(id_col, "size", "text_crc32", position.alias("position"))
+    out = numbered.select(id_col, "size", "text_crc32", F.col("_number").alias("number"), position.alias("position"))
     inside = F.when(F.col("position") < n, F.col("position")).otherwise(F.raise_error(F.lit("cycle walking did not end")).cast("long"))
     out = out.withColumn("position", inside)
     return out.withColumns({"shard": F.pmod("position", F.lit(shards)).cast("int"), "slot": F.floor(F.col("position") / shards).cast("long")})

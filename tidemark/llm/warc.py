@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .workspace import Workspace, only
 
-#: Bytes of payload after which a task starts another archive.
+#: Bytes of payload, with 512 for a record's head, after which a task starts another archive.
 ARCHIVE_BYTES = 64_000_000
 _READ = 1 << 20
 
@@ -129,7 +129,8 @@ def _writer(folder: str):
                     out, zipper, held, records = _open(name, "w"), zlib.compressobj(6, zlib.DEFLATED, 31), 0, 0
                 payload = (html or "").encode()
                 out.write(zipper.compress(record(page_id, url, payload, refers_to)))
-                held, records = held + len(payload), records + 1
+                # empty payloads count too, so that every archive ends
+                held, records = held + len(payload) + 512, records + 1
                 if held >= ARCHIVE_BYTES:
                     yield close()
                     out = None
@@ -182,10 +183,10 @@ def _reader(batches):
 def choose_responses(pages: DataFrame, id_col: str, html_col: str, min_bytes: int = 0) -> DataFrame:
     """Add refers_to: of rows with equal payloads of at least min_bytes, the smallest id; null for that row itself.
 
-    Only digests are compared; one row per payload goes back to its copies, and large groups of copies are split.
+    Only SHA-256 digests are compared; one row per payload goes back to its copies, and large groups of copies are split.
     """
     payload = F.coalesce(F.col(html_col), F.lit(""))
-    sha = F.sha1(F.encode(payload, "UTF-8"))
+    sha = F.sha2(F.encode(payload, "UTF-8"), 256)
     first = pages.select(sha.alias("_sha"), F.col(id_col).alias("_id")).groupBy("_sha").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     first = first.filter((F.col("_n") > 1) & F.col("_first").isNotNull())
     out = pages.withColumn("_sha", sha).join(first, "_sha", "left")

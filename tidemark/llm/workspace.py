@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a new temporary one where none is named (tests only)."""
+    """The folder named by spark.checkpoint.dir. Where none is named: a new temporary one in local mode, else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -42,6 +44,11 @@ class Workspace:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(table._workspace_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def close(self) -> None:
+        """Delete all tables of the job, once its result is written."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def collect_garbage(self) -> None:
         """Let Spark's cleaner remove shuffle files of finished stages."""
         gc.collect()
