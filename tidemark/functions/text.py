@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -35,10 +36,26 @@ def word_count(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
-def sentences(text: Column) -> Column:
-    """Split after a closer and white space, and at line ends; stripped, without empty ones."""
-    parts = F.split(text, r"(?<=[.!?…])\s+(?=\S)|\n+")
-    return F.filter(F.transform(parts, strip), lambda s: s != "")
+#: Abbreviations after which a sentence goes on, by language; single capitals count as initials in all of them.
+ABBREVIATIONS = {
+    "es": ["art", "arts", "aprox", "av", "cap", "cía", "dr", "dra", "ej", "etc", "fig", "gral", "ing", "lic", "máx", "mín", "núm", "nro", "pág", "págs", "párr", "prof", "ref", "sr", "sra", "srta", "ud", "uds", "vol"],
+    "en": ["approx", "art", "ca", "capt", "cf", "col", "dept", "dr", "e.g", "etc", "fig", "gen", "i.e", "inc", "lt", "ltd", "mr", "mrs", "ms", "no", "nos", "pp", "prof", "rev", "sec", "sen", "sgt", "st", "vol", "vs"],
+    "pt": ["art", "arts", "aprox", "av", "cap", "cia", "dr", "dra", "eng", "etc", "ex", "fig", "máx", "mín", "núm", "pág", "págs", "prof", "ref", "sr", "sra", "srta", "vol"],
+}
+_JOINED = "\ue000"
+
+
+def sentences(text: Column, lang: Column | None = None) -> Column:
+    """Split after a closer and white space, and at line ends; stripped, without empty ones.
+
+    With a language (es, en, pt; others as en) a full stop after one of its abbreviations or an initial doesn't split.
+    """
+    if lang is not None:
+        known = lambda k: r"(?i:" + "|".join(re.escape(x) for x in ABBREVIATIONS[k]) + r")|\p{Lu}"
+        join = lambda k: F.regexp_replace(text, r"(?<![\p{L}\p{N}])((?:" + known(k) + r")\.)[ \t]+(?=\S)", "$1" + _JOINED)
+        text = F.when(lang == "es", join("es")).when(lang == "pt", join("pt")).otherwise(join("en"))
+    parts = F.transform(F.split(text, r"(?<=[.!?…])\s+(?=\S)|\n+"), lambda s: strip(s if lang is None else F.translate(s, _JOINED, " ")))
+    return F.filter(parts, lambda s: s != "")
 
 
 def truncate_words(text: Column, most: int) -> Column:

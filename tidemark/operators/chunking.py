@@ -1,20 +1,19 @@
-"""Cutting of texts into sentence-aligned chunks under a token budget, as folds over arrays."""
+"""Cutting of texts into sentence-aligned chunks under a token budget."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import config
 from tidemark.functions.text import closes_sentence, sentences, strip, word_count, words
 
 
-def split_long(sentence: Column, budget: int) -> Column:
-    """Parts of a sentence over the budget: cut after ; , or |, packed greedily, what is still too long by windows."""
-    parts = F.flatten(F.transform(F.split(sentence, r"(?<=[;,|])\s+"), lambda p: F.when(word_count(p) > budget, windows(p, budget)).otherwise(F.array(p))))
-    return F.transform(pack(parts, budget, 0.0, long_units=False), lambda c: c["texto"])
-
-
 def windows(text: Column, budget: int) -> Column:
     """Windows of budget - 2 tokens."""
     size = max(1, budget - 2)
@@ -22,43 +21,84 @@ def windows(text: Column, budget: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w), F.lit(1)), F.lit(size)), lambda i: F.array_join(F.slice(w, i, size), " "))
 
 
-def pack(units: Column, budget: int, overlap: float = config.CHUNK_OVERLAP, long_units: bool = True) -> Column:
+#: White space as the column functions take it.
+_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_PAUSE = re.compile(r"(?<=[;,|])[ \t-\r]+")
+
+
+def count_words(texts: list[str]) -> list[int]:
+    return [len([w for w in _SPACE.split(t) if w]) for t in texts]
+
+
+def _windows(text: str, budget: int, count) -> list[str]:
+    """Windows of budget - 2 words, halved while they hold more tokens than the budget."""
+    w = [x for x in _SPACE.split(text) if x]
+    size = max(1, budget - 2)
+    todo, out = [w[k : k + size] for k in range(0, max(1, len(w)), size)][::-1], []
+    while todo:
+        part = todo.pop()
+        if len(part) > 1 and count([" ".join(part)])[0] > budget:
+            todo += [part[len(part) // 2 :], part[: len(part) // 2]]
+        else:
+            out.append(" ".join(part))
+    return out
+
+
+def pack_units(units: list[str], budget: int, carry: int, long_units: bool, count) -> list[tuple[str, int]]:
+    """pack() of one list; count gives the tokens of each of some texts."""
+    out: list[tuple[str, int]] = []
+    held: list[tuple[str, int]] = []
+    n = 0
+
+    def close():
+        out.append((" ".join(u for u, _ in held), n))
+
+    for unit, size in zip(units, count(units)):
+        if long_units and size > budget:
+            if held:
+                close()
+            parts = _PAUSE.split(unit)
+            parts = [x for p, k in zip(parts, count(parts)) for x in (_windows(p, budget, count) if k > budget else [p])]
+            packed = [t for t, _ in pack_units(parts, budget, 0, False, count)]
+            out += zip(packed, count(packed))
+            held, n = [], 0
+            continue
+        if held and n + size > budget:
+            close()
+            back, n = [], 0
+            for u in reversed(held):
+                if n + u[1] > carry:
+                    break
+                back.append(u)
+                n += u[1]
+            held = back[::-1] if carry else []
+            n = n if carry else 0
+        held.append((unit, size))
+        n += size
+    if held:
+        close()
+    return out
+
+
+_CHUNKS = T.ArrayType(T.StructType([T.StructField("texto", T.StringType()), T.StructField("tokens", T.IntegerType())]))
+
+
+def pack(units: Column, budget: int, overlap: float = config.CHUNK_OVERLAP, long_units: bool = True, tokens=None) -> Column:
     """Array of structs (texto, tokens): units joined while their tokens fit; each chunk begins with the whole units at
     the end of the one before that hold at most budget * overlap tokens. A unit over the budget closes the chunk and
-    becomes chunks of its own, and the next one begins with nothing."""
+    becomes chunks of its own (cut after ; , or |, packed greedily, what is still too long by windows), and the next one
+    begins with nothing. tokens: a function without arguments that gives a function from texts to their numbers of
+    tokens, called once a task; words are counted where there is none. One pass over the units, in Arrow batches."""
     carry = int(budget * overlap)
-    item = "struct<s: string, n: int>"
-    kind = f"struct<cur: array<{item}>, n: int, out: array<struct<texto: string, tokens: int>>>"
-    start = F.struct(F.array().alias("cur"), F.lit(0).alias("n"), F.array().alias("out")).cast(kind)
-    total = lambda xs: F.aggregate(xs, F.lit(0), lambda s, x: s + x["n"])
-    closed = lambda st: F.array_append(st["out"], F.struct(F.array_join(F.transform(st["cur"], lambda x: x["s"]), " ").alias("texto"), st["n"].alias("tokens")))
-
-    def tail(xs):
-        """Trailing units of at most `carry` tokens together."""
-        none = F.struct(F.array().cast(f"array<{item}>").alias("kept"), F.lit(0).alias("n"), F.lit(False).alias("stop"))
-        add = lambda st, x: F.struct(
-            F.when(~st["stop"] & (st["n"] + x["n"] <= carry), F.array_prepend(st["kept"], x)).otherwise(st["kept"]).alias("kept"),
-            F.when(~st["stop"] & (st["n"] + x["n"] <= carry), st["n"] + x["n"]).otherwise(st["n"]).alias("n"),
-            (st["stop"] | (st["n"] + x["n"] > carry)).alias("stop"),
-        )
-        return F.aggregate(F.reverse(xs), none, add, lambda st: st["kept"])
-
-    def add(st: Column, u: Column) -> Column:
-        x = F.struct(u.alias("s"), word_count(u).cast("int").alias("n"))
-        over = (st["n"] + x["n"] > budget) & (F.size(st["cur"]) > 0)
-        base = F.when(over, tail(st["cur"]) if carry else F.array().cast(f"array<{item}>")).otherwise(st["cur"])
-        plain = F.struct(
-            F.array_append(base, x).alias("cur"), F.when(over, total(base) + x["n"]).otherwise(st["n"] + x["n"]).alias("n"),
-            F.when(over, closed(st)).otherwise(st["out"]).alias("out"),
-        ).cast(kind)
-        if not long_units:
-            return plain
-        own = F.transform(split_long(u, budget), lambda p: F.struct(p.alias("texto"), word_count(p).cast("int").alias("tokens")))
-        shut = F.when(F.size(st["cur"]) > 0, closed(st)).otherwise(st["out"])
-        alone = F.struct(F.array().cast(f"array<{item}>").alias("cur"), F.lit(0).alias("n"), F.concat(shut, own).alias("out")).cast(kind)
-        return F.when(x["n"] > budget, alone).otherwise(plain)
-
-    return F.aggregate(units, start, add, lambda st: F.when(F.size(st["cur"]) > 0, closed(st)).otherwise(st["out"]))
+
+    @F.pandas_udf(_CHUNKS)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        count = tokens() if tokens else count_words
+        for lists in batches:
+            made = [None if u is None else [{"texto": t, "tokens": k} for t, k in pack_units(list(u), budget, carry, long_units, count)] for u in lists]
+            yield pd.Series(made, dtype=object)
+
+    return run(units)
 
 
 def tabular_cut(text: Column, budget: int, chunks: int = config.TABULAR_CHUNKS) -> Column:
@@ -69,20 +109,22 @@ def tabular_cut(text: Column, budget: int, chunks: int = config.TABULAR_CHUNKS)
     return F.when(F.length(text) <= most, text).when(gap > 0, F.left(head, F.length(head) - gap - 1)).otherwise(head)
 
 
-def chunk(docs: DataFrame, budget: int = config.CHUNK_TOKENS, overlap: float = config.CHUNK_OVERLAP, least: int = config.MIN_CHUNK_TOKENS, tabular: int = config.TABULAR_CHUNKS) -> DataFrame:
+def chunk(docs: DataFrame, budget: int = config.CHUNK_TOKENS, overlap: float = config.CHUNK_OVERLAP, least: int = config.MIN_CHUNK_TOKENS, tabular: int = config.TABULAR_CHUNKS, tokens=None) -> DataFrame:
     """docs (doc_id, formato, texto, ...) to chunks: chunk_id, doc_id, posicion, num_tokens, texto.
 
     Sentences over the budget are split; chunks under `least` tokens are dropped; tables give at most `tabular` chunks;
-    positions count from 0 after that.
+    positions count from 0 after that. Where docs has a column idioma, its rules part the sentences. tokens: see pack().
     """
     table = F.col("formato").isin("csv", "xlsx")
     text = F.when(table, tabular_cut(F.col("texto"), budget, tabular)).otherwise(F.col("texto"))
     again = lambda c: F.transform(windows(c["texto"], budget), lambda p: F.struct(p.alias("texto"), word_count(p).cast("int").alias("tokens")))
     # what the overlap has carried over the budget is cut
-    fitting = F.flatten(F.transform(pack(sentences(text), budget, overlap), lambda c: F.when(c["tokens"] > budget, again(c)).otherwise(F.array(c))))
+    lang = F.col("idioma") if "idioma" in docs.columns else None
+    docs = docs.withColumn("_p", pack(sentences(text, lang), budget, overlap, tokens=tokens))
+    fitting = F.flatten(F.transform("_p", lambda c: F.when(c["tokens"] > budget, again(c)).otherwise(F.array(c))))
     rows = docs.withColumn("_c", F.filter(fitting, lambda c: c["tokens"] >= least))
     rows = rows.withColumn("_c", F.when(table, F.slice("_c", 1, tabular)).otherwise(F.col("_c")))
-    rest = [c for c in docs.columns if c not in ("texto", "doc_id")]
+    rest = [c for c in docs.columns if c not in ("texto", "doc_id", "_p")]
     rows = rows.select("doc_id", *rest, F.posexplode("_c").alias("posicion", "c"))
     return rows.select(
         F.format_string("%s-chunk-%04d", F.col("doc_id").cast("string"), "posicion").alias("chunk_id"), "doc_id", *rest, "posicion",

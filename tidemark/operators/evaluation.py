@@ -5,6 +5,8 @@ Judgments are two tables: fragments (query_id, chunk_id, grade) and documents (q
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,15 +38,30 @@ def f1(results: DataFrame, relevant: DataFrame, k: int = config.TOP_DOCUMENTS, k
     return rows.select("query_id", F.coalesce(F.try_divide(2 * p * r, F.nullif(p + r, F.lit(0.0))), F.lit(0.0)).alias("f1"))
 
 
-def evaluate(fragments: DataFrame, documents: DataFrame, qrels: DataFrame, relevant: DataFrame) -> DataFrame:
-    """(query_id, ndcg, f1) of judged queries, not rounded."""
-    return ndcg(fragments, qrels).join(f1(documents, relevant), "query_id")
+def evaluate(fragments: DataFrame, documents: DataFrame, qrels: DataFrame, relevant: DataFrame, answered: DataFrame | None = None) -> DataFrame:
+    """(query_id, ndcg, f1) of answered queries that are judged, not rounded; 0 where nothing was returned or is relevant.
+
+    answered: query_id of all queries with a result; by default those with a fragment or a document.
+    """
+    ids = lambda *tables: reduce(DataFrame.unionByName, [t.select("query_id") for t in tables]).distinct()
+    rows = ids(*([answered] if answered is not None else [fragments, documents])).join(ids(qrels, relevant), "query_id")
+    return rows.join(ndcg(fragments, qrels), "query_id", "left").join(f1(documents, relevant), "query_id", "left").na.fill(0.0, ["ndcg", "f1"])
 
 
 def summary(per_query: DataFrame) -> DataFrame:
     return per_query.agg(F.round(F.avg("ndcg"), 4).alias("ndcg"), F.round(F.avg("f1"), 4).alias("f1"), F.count(F.lit(1)).alias("queries"))
 
 
+def intervals(per_query: DataFrame) -> DataFrame:
+    """(metric, mean, low, high): means with their bootstrap intervals, queries in the order of their ids."""
+    from tidemark.functions.stats import bootstrap_interval
+
+    rows = per_query.select("query_id", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("x")) for m in ("ndcg", "f1")])).alias("r"))
+    lists = rows.groupBy("r.metric").agg(F.avg("r.x").alias("mean"), F.array_sort(F.collect_list(F.struct("query_id", "r.x"))).alias("v"))
+    out = lists.select("metric", F.round("mean", 4).alias("mean"), bootstrap_interval(F.col("v")["x"]).alias("i"))
+    return out.select("metric", "mean", F.round("i.low", 4).alias("low"), F.round("i.high", 4).alias("high"))
+
+
 def by_phenomenon(per_query: DataFrame) -> DataFrame:
     """Means and counts by phenomenon; queries without one are left out."""
     rows = per_query.filter(F.col("fenomeno").isNotNull()).groupBy("fenomeno")

@@ -121,12 +121,16 @@ def merge_similar(similar: DataFrame) -> DataFrame:
             return labels
 
 
-def similar_keys(vectors: DataFrame, threshold: float = 0.92, neighbours: int = 9) -> DataFrame:
-    """Pairs (a, b) among each key's nearest neighbours with at least this similarity; vectors: chunk_id, vector."""
-    from tidemark.operators.search import top_k
-
-    near = top_k(vectors, vectors.select(F.col("chunk_id").alias("query_id"), "vector"), neighbours)
-    return near.filter((F.col("sim") >= threshold) & (F.col("query_id") != F.col("chunk_id"))).select(F.col("query_id").alias("a"), F.col("chunk_id").alias("b"))
+def similar_keys(vectors: DataFrame, threshold: float = 0.92, neighbours: int | None = 9) -> DataFrame:
+    """Pairs (a, b) with at least this similarity, of each key's nearest neighbours (None: of all); vectors: chunk_id,
+    vector. A key counts as the nearest neighbour of itself."""
+    from tidemark.operators.search import all_similar
+
+    pairs = all_similar(vectors, threshold)
+    if neighbours is not None:
+        best = Window.partitionBy("a").orderBy(F.desc("sim"), "b")
+        pairs = pairs.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") < neighbours)
+    return pairs.select("a", "b")
 
 
 def admitted(entities: DataFrame, documents: int, least: int = config.GRAPH_MIN_DF, share: float = config.GRAPH_MAX_DF_SHARE) -> DataFrame:

@@ -74,10 +74,10 @@ def top_k(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     index has chunk_id and vector, queries query_id and vector; both hold arrays of double of one length.
     """
     out = None
-    held = queries.select("query_id", "vector").orderBy("query_id")
-    total = held.count()
-    for at in range(0, max(1, total), QUERY_BLOCK):
-        rows = held.offset(at).limit(QUERY_BLOCK).collect()
+    held = queries.select("query_id", "vector")
+    blocks = max(1, -(-held.count() // QUERY_BLOCK))
+    for at in range(blocks):
+        rows = held.filter(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == at).collect()
         ids, vectors = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64)
         found = index.select("chunk_id", "vector").mapInArrow(_searcher(ids, vectors, k), "query_id long, chunk_id long, sim double")
         out = found if out is None else out.unionByName(found)
@@ -85,6 +85,56 @@ def top_k(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
+#: Vectors of one block when all keys are compared with all.
+KEY_BLOCK = 2048
+
+
+def _similar(threshold: float):
+    """Rows (u, v, id, vector, own) of two blocks, sorted by (u, v): pairs across them that reach the threshold."""
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        ids, own = table.column(2).to_numpy(), table.column(4).to_numpy(zero_copy_only=False).astype(bool)
+        m = _matrix(table.column(3).combine_chunks())
+        a, b = np.flatnonzero(own), np.flatnonzero(~own)
+        sims = np.round(m[a] @ m[b].T, config.TAU_DIGITS) if len(a) and len(b) else np.zeros((len(a), len(b)))
+        i, j = np.nonzero((sims >= threshold) & (ids[a][:, None] != ids[b]))
+        return pa.RecordBatch.from_arrays([pa.array(ids[a[i]]), pa.array(ids[b[j]]), pa.array(sims[i, j])], ["a", "b", "sim"])
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.stack([batch.column(k).to_numpy() for k in (0, 1)], axis=1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(key)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if held and (key[lo] != last).any():
+                    yield pairs(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                last = key[lo]
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return run
+
+
+def all_similar(vectors: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, sim) of all pairs of different keys with at least this inner product, in both directions.
+
+    vectors: chunk_id, vector. Blocks against blocks on the executors; nothing goes through the driver.
+    """
+    spark = vectors.sparkSession
+    blocks = max(1, -(-vectors.count() // KEY_BLOCK))
+    block = F.pmod(F.xxhash64("chunk_id"), F.lit(blocks))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    rows = vectors.select(block.alias("u"), every.alias("v"), "chunk_id", "vector", F.lit(True).alias("own"))
+    rows = rows.unionByName(vectors.select(every.alias("u"), block.alias("v"), "chunk_id", "vector", F.lit(False).alias("own")))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks * blocks // 4)
+    return rows.repartition(tasks, "u", "v").sortWithinPartitions("u", "v").mapInArrow(_similar(threshold), "a long, b long, sim double")
+
+
 def search_all(indices: dict[str, DataFrame], queries: dict[str, DataFrame], k: int = config.CANDIDATES) -> DataFrame:
     """The rankings table over several indices: query_id, encoder, enc_ord, rank, chunk_id, sim."""
     out = None
@@ -152,7 +202,8 @@ def missing_blocks(done: DataFrame, total: int) -> DataFrame:
 
 def fingerprint(rows: DataFrame, *columns: str) -> DataFrame:
     """A number of the content that doesn't depend on the order of rows, and the count of rows."""
-    return rows.agg(F.bit_xor(F.xxhash64(*columns)).alias("print"), F.count(F.lit(1)).alias("rows"))
+    sums = [F.sum(F.pmod(F.xxhash64(*columns, F.lit(k)), F.lit(1 << 40))) for k in (0, 1)]
+    return rows.agg(F.xxhash64(*sums).alias("print"), F.count(F.lit(1)).alias("rows"))
 
 
 def encode(rows: DataFrame, id_col: str, text_col: str, load, prefix: str = "") -> DataFrame:

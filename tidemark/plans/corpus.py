@@ -71,18 +71,17 @@ def _(t: Tables):
 _FOLD = "trim(regexp_replace(regexp_replace(strip_accents(lower({0})), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
-@query("txt_09_match_key", f"SELECT doc_id, md5({_FOLD.format('text')}) AS clave FROM documents WHERE lang <> 'de'")
+@query("txt_09_match_key", f"SELECT doc_id, md5({_FOLD.format('text')}) AS clave FROM documents")
 def _(t: Tables):
-    rows = t.documents.filter("lang <> 'de'")
-    return rows.select("doc_id", F.md5(T.match_key(F.col("text"))).alias("clave"))
+    return t.documents.select("doc_id", F.md5(T.match_key(F.col("text"))).alias("clave"))
 
 
 _ARTICLES = "|".join(T.ARTICLES)
 
 
-@query("txt_10_name_key", f"WITH k AS (SELECT doc_id, {_FOLD.format('left(text, 40)')} AS k FROM documents WHERE lang <> 'de') SELECT doc_id, CASE WHEN contains(k, ' ') THEN regexp_replace(k, '^({_ARTICLES}) ', '') ELSE k END AS clave FROM k")
+@query("txt_10_name_key", f"WITH k AS (SELECT doc_id, {_FOLD.format('text')} AS k FROM documents) SELECT doc_id, md5(CASE WHEN contains(k, ' ') THEN regexp_replace(k, '^({_ARTICLES}) ', '') ELSE k END) AS clave FROM k")
 def _(t: Tables):
-    return t.documents.filter("lang <> 'de'").select("doc_id", T.name_key(F.left("text", F.lit(40))).alias("clave"))
+    return t.documents.select("doc_id", F.md5(T.name_key(F.col("text"))).alias("clave"))
 
 
 @query("txt_11_admissible", "SELECT conv_id, turn, length(trim(text)) >= 2 AND len(regexp_split_to_array(trim(text), '\\s+')) <= 8 AND regexp_matches(text, '\\p{L}') AS admisible FROM conversations")
@@ -112,10 +111,9 @@ def _(t: Tables):
     return rows.select("doc_id", "s.palabras", "s.palabras_pagina", "s.idioma", "s.diacriticos", F.array_join(T.ocr_suspicions(F.col("s")), ",").alias("avisos"))
 
 
-@query("txt_17_phenomenon", "SELECT o_orderkey, CASE WHEN o_orderkey BETWEEN 1 AND 16 THEN 1 WHEN o_orderkey BETWEEN 17 AND 32 THEN 2 WHEN o_orderkey BETWEEN 33 AND 50 THEN 3 END::BIGINT AS fenomeno FROM orders WHERE o_orderkey < 70")
+@query("txt_17_phenomenon", "SELECT o_orderkey, CASE WHEN o_orderkey BETWEEN 1 AND 16 THEN 1 WHEN o_orderkey BETWEEN 17 AND 32 THEN 2 WHEN o_orderkey BETWEEN 33 AND 50 THEN 3 END::BIGINT AS fenomeno FROM orders")
 def _(t: Tables):
-    rows = t.orders.filter("o_orderkey < 70")
-    return rows.select("o_orderkey", T.phenomenon_of(F.format_string("q%03d", "o_orderkey")).alias("fenomeno"))
+    return t.orders.select("o_orderkey", T.phenomenon_of(F.format_string("q%03d", "o_orderkey")).alias("fenomeno"))
 
 
 @query("txt_18_chunking_key", "SELECT p_partkey, printf('c%d-s%03d', p_size, (p_partkey % 30)::BIGINT) AS clave FROM part")
@@ -166,11 +164,10 @@ def _(t: Tables):
     return t.documents.select("doc_id", F.posexplode(chunking.windows(F.col("text"), 64)).alias("parte", "texto"))
 
 
-@query("chk_07_tabular_cut", "SELECT doc_id, CASE WHEN length(t) <= 1200 THEN t ELSE left(left(t, 1200), 1200 - instr(reverse(left(t, 1200)), chr(10) || chr(10)) - 1) END AS texto FROM (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents) WHERE length(t) <= 1200 OR instr(left(t, 1200), chr(10) || chr(10)) > 0")
+@query("chk_07_tabular_cut", "SELECT doc_id, CASE WHEN length(t) <= 1200 THEN t WHEN instr(left(t, 1200), chr(10) || chr(10)) = 0 THEN left(t, 1200) ELSE left(left(t, 1200), 1200 - instr(reverse(left(t, 1200)), chr(10) || chr(10)) - 1) END AS texto FROM (SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents)")
 def _(t: Tables):
     text = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n"))
-    rows = t.documents.withColumn("t", text).filter((F.length("t") <= 1200) | F.contains(F.left("t", F.lit(1200)), F.lit("\n\n")))
-    return rows.select("doc_id", chunking.tabular_cut(F.col("t"), 20, 10).alias("texto"))
+    return t.documents.withColumn("t", text).select("doc_id", chunking.tabular_cut(F.col("t"), 20, 10).alias("texto"))
 
 
 def _chunked(t: Tables):
@@ -268,7 +265,7 @@ def _(t: Tables):
 _BAGS = """
 WITH tok AS (SELECT 'd' AS k, doc_id AS id, list_filter(string_split({0}, ' '), lambda w: w <> '') AS t FROM documents UNION ALL SELECT 'b', item_id, list_filter(string_split({0}, ' '), lambda w: w <> '') FROM benchmark),
 g AS (SELECT k, id, CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 5 THEN [array_to_string(t, ' ')] ELSE list_distinct(list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' '))) END AS g FROM tok)
-""".format("trim(regexp_replace(regexp_replace(lower(text), '[^\\p{L}\\p{N}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))")
+""".format(_FOLD.format("text"))
 _OVERLAPS = _BAGS + """
 , x AS (SELECT id AS doc_id, len(g) AS n, unnest(g) AS gram FROM g WHERE k = 'd'), y AS (SELECT id AS item_id, len(g) AS m, unnest(g) AS gram FROM g WHERE k = 'b'),
 o AS (SELECT doc_id, item_id, round(greatest(count(*) / any_value(n)::DOUBLE, count(*) / any_value(m)::DOUBLE), 6) AS overlap FROM x JOIN y USING (gram) GROUP BY 1, 2)
@@ -277,12 +274,12 @@ o AS (SELECT doc_id, item_id, round(greatest(count(*) / any_value(n)::DOUBLE, co
 
 @query("mat_01_grams", _BAGS + "SELECT id AS doc_id, len(g)::BIGINT AS n FROM g WHERE k = 'd' AND len(g) > 0")
 def _(t: Tables):
-    bags = matching.bags(t.documents, "doc_id", "text", fold=False)
+    bags = matching.bags(t.documents, "doc_id", "text")
     return bags.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _overlaps(t: Tables):
-    a, b = matching.bags(t.documents, "doc_id", "text", fold=False), matching.bags(t.benchmark, "item_id", "text", fold=False)
+    a, b = matching.bags(t.documents, "doc_id", "text"), matching.bags(t.benchmark, "item_id", "text")
     return matching.overlaps(a, b, "doc_id", "item_id")
 
 
@@ -291,9 +288,9 @@ def _(t: Tables):
     return _overlaps(t).filter("overlap >= 0.1")
 
 
-@query("mat_03_grades", _OVERLAPS + "SELECT d.doc_id, coalesce(max(1 + o.item_id % 2), 0)::DOUBLE AS grade FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id AND o.overlap >= 0.55 WHERE d.lang <> 'de' GROUP BY 1")
+@query("mat_03_grades", _OVERLAPS + "SELECT d.doc_id, coalesce(max(1 + o.item_id % 2), 0)::DOUBLE AS grade FROM documents d LEFT JOIN o ON o.doc_id = d.doc_id AND o.overlap >= 0.55 GROUP BY 1")
 def _(t: Tables):
-    texts = t.documents.filter("lang <> 'de'").select(F.lit(1).alias("query_id"), "doc_id", F.col("text").alias("texto"))
+    texts = t.documents.select(F.lit(1).alias("query_id"), "doc_id", F.col("text").alias("texto"))
     judged = t.benchmark.select(F.lit(1).alias("query_id"), F.col("item_id").alias("judged_id"), (1.0 + F.col("item_id") % 2).alias("grade"), F.col("text").alias("texto"))
     return matching.grades(texts, judged, "doc_id").select("doc_id", "grade")
 
@@ -322,33 +319,39 @@ def _(t: Tables):
 
 
 def _mentions(t: Tables):
-    """Line items as mentions: an order is a chunk, four orders a document, a part a name in one of two spellings."""
-    name = F.concat(F.when(F.col("l_linenumber") % 3 == 0, "the Part ").otherwise("Part "), F.col("l_partkey") % 300)
-    rows = t.lineitem.filter("l_orderkey < 2000")
-    return rows.select(
+    """Line items as mentions: an order is a chunk, four orders a document, a part a name in one of two spellings. First
+    lines name ten parts that are found in too many documents."""
+    part = F.when(F.col("l_linenumber") == 1, F.col("l_partkey") % 10).otherwise(F.col("l_partkey"))
+    name = F.concat(F.when(F.col("l_linenumber") % 3 == 0, "the Part ").otherwise("Part "), part)
+    return t.lineitem.select(
         F.col("l_orderkey").alias("chunk_id"), F.floor(F.col("l_orderkey") / 4).alias("doc_id"), name.alias("texto"), F.lit("organizacion").alias("tipo"),
         (F.col("l_linenumber") * 20).alias("inicio"), (F.col("l_linenumber") * 20 + 8).alias("fin"), F.lit(1.0).alias("confianza"),
     )
 
 
 _MENTIONS = """
-WITH m AS (SELECT l_orderkey AS chunk_id, l_orderkey // 4 AS doc_id, CASE WHEN l_linenumber % 3 = 0 THEN 'the Part ' ELSE 'Part ' END || (l_partkey % 300) AS texto, 'part ' || (l_partkey % 300) AS id, l_linenumber FROM lineitem WHERE l_orderkey < 2000),
+WITH m AS (SELECT l_orderkey AS chunk_id, l_orderkey // 4 AS doc_id, CASE WHEN l_linenumber % 3 = 0 THEN 'the Part ' ELSE 'Part ' END || k AS texto, 'part ' || k AS id, l_linenumber FROM (
+  SELECT *, CASE WHEN l_linenumber = 1 THEN l_partkey % 10 ELSE l_partkey END AS k FROM lineitem)),
 form AS (SELECT id, texto, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, texto) AS r FROM m GROUP BY id, texto),
 ent AS (SELECT id, count(DISTINCT doc_id) AS df, string_agg(DISTINCT texto, '|' ORDER BY texto) AS alias FROM m GROUP BY 1),
-adm AS (SELECT id FROM ent WHERE df BETWEEN 2 AND greatest(2, floor(500 * 0.05))),
+adm AS (SELECT id FROM ent WHERE df BETWEEN 2 AND greatest(2, floor((SELECT count(DISTINCT doc_id) FROM m) * 0.05))),
 cnt AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY n DESC, id) AS r FROM (SELECT chunk_id, doc_id, id, count(*) AS n FROM m SEMI JOIN adm USING (id) GROUP BY 1, 2, 3)),
 top AS (SELECT * FROM cnt WHERE r <= 2),
-rel AS (SELECT DISTINCT 'part ' || (p_partkey % 300) AS s, 'part ' || (p_size * 7 % 300) AS o FROM part WHERE p_partkey <= 200 AND p_partkey % 300 <> p_size * 7 % 300),
+rel AS (SELECT DISTINCT 'part ' || p_partkey AS s, 'part ' || (p_size * 7 % 300) AS o FROM part WHERE p_partkey <> p_size * 7 % 300),
 rela AS (SELECT * FROM rel SEMI JOIN adm a ON a.id = rel.s SEMI JOIN adm b ON b.id = rel.o)
 """
 
 
+def _documents(t: Tables) -> int:
+    return _mentions(t).select("doc_id").distinct().count()
+
+
 def _graph(t: Tables):
     found = _mentions(t)
     entities, ids = graph.canonical(found)
-    good = graph.admitted(entities, 500)
-    pair = t.part.filter("p_partkey <= 200 AND p_partkey % 300 <> p_size * 7 % 300")
-    rel = pair.select(F.concat(F.lit("part "), F.col("p_partkey") % 300).alias("sujeto"), F.concat(F.lit("part "), F.col("p_size") * 7 % 300).alias("objeto")).distinct()
+    good = graph.admitted(entities, _documents(t))
+    pair = t.part.filter("p_partkey <> p_size * 7 % 300")
+    rel = pair.select(F.concat(F.lit("part "), F.col("p_partkey")).alias("sujeto"), F.concat(F.lit("part "), F.col("p_size") * 7 % 300).alias("objeto")).distinct()
     rel = rel.select(F.lit(1).alias("chunk_id"), "sujeto", F.lit("opera").alias("tipo"), "objeto")
     return good, *graph.build(found, good, ids, rel, per_chunk=2)
 
@@ -360,17 +363,16 @@ def _(t: Tables):
 
 
 @query("gra_10_merge_similar", """
-WITH RECURSIVE e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a, embeddings b WHERE a.vec_id < 200 AND b.vec_id < 200 AND a.vec_id <> b.vec_id AND list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.3),
+WITH RECURSIVE e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id AND list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.4),
 r AS (SELECT a AS x, a AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON e.a = r.y)
 SELECT x AS clave, min(y) AS id FROM r GROUP BY 1""")
 def _(t: Tables):
-    v = t.indices()["a"].filter("chunk_id < 200")
-    return graph.merge_similar(graph.similar_keys(v, 0.3, 200))
+    return graph.merge_similar(graph.similar_keys(t.indices()["a"], 0.4, None))
 
 
 @query("gra_11_admitted", _MENTIONS + "SELECT id FROM adm")
 def _(t: Tables):
-    return graph.admitted(graph.canonical(_mentions(t))[0], 500).select("id")
+    return graph.admitted(graph.canonical(_mentions(t))[0], _documents(t)).select("id")
 
 
 @query("gra_13_relation", "SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'regula' WHEN 1 THEN 'financia' WHEN 2 THEN 'miembro_de' END AS tipo, CASE c_custkey % 4 WHEN 0 THEN true WHEN 3 THEN NULL ELSE false END AS pasiva FROM customer")
@@ -409,7 +411,7 @@ def _(t: Tables):
     return graph.alias_index(graph.canonical(_mentions(t))[0])
 
 
-@query("gra_19_query_entities", "SELECT c_custkey % 50 AS query_id, 'part ' || (c_custkey % 300) AS id, min(c_custkey) AS ord FROM customer WHERE 'part ' || (c_custkey % 300) IN (SELECT 'part ' || (l_partkey % 300) FROM lineitem WHERE l_orderkey < 2000) GROUP BY 1, 2")
+@query("gra_19_query_entities", "SELECT c_custkey % 50 AS query_id, 'part ' || (c_custkey % 300) AS id, min(c_custkey) AS ord FROM customer WHERE 'part ' || (c_custkey % 300) IN (SELECT 'part ' || CASE WHEN l_linenumber = 1 THEN l_partkey % 10 ELSE l_partkey END FROM lineitem) GROUP BY 1, 2")
 def _(t: Tables):
     alias = graph.alias_index(graph.canonical(_mentions(t))[0])
     said = t.customer.select((F.col("c_custkey") % 50).alias("query_id"), F.col("c_custkey").alias("ord"), F.concat(F.lit("The PART "), F.col("c_custkey") % 300).alias("texto"))
@@ -437,19 +439,19 @@ def _(t: Tables):
 
 @query("smp_02_annotation_pool", BASE + """
 , p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, chunk_id ORDER BY enc_ord) AS n FROM rankings WHERE rank <= 20) WHERE n = 1),
-a AS (SELECT query_id, query_id % 3 AS anotador FROM queries UNION ALL SELECT query_id, (query_id + 1) % 3 FROM queries WHERE query_id < 4)
+a AS (SELECT query_id, query_id % 3 AS anotador FROM queries UNION ALL SELECT query_id, (query_id + 1) % 3 FROM queries WHERE query_id < floor((SELECT count(*) FROM queries) * 0.2))
 SELECT query_id, chunk_id, encoder, rank, anotador FROM p JOIN a USING (query_id)""")
 def _(t: Tables):
     return sampling.annotation_pool(t.rankings(), 3)
 
 
-_GRADES = "WITH g AS (SELECT l_orderkey % 40 AS query_id, l_partkey % 60 AS chunk_id, l_suppkey % 9 AS doc_id, CASE l_linenumber WHEN 1 THEN '0' WHEN 2 THEN '1' WHEN 3 THEN ' 2 ' WHEN 4 THEN '' ELSE 'x' END AS grade FROM lineitem WHERE l_orderkey < 900)"
+_GRADES = "WITH g AS (SELECT l_orderkey % 40 AS query_id, l_partkey % 60 AS chunk_id, l_suppkey % 9 AS doc_id, CASE l_linenumber WHEN 1 THEN '0' WHEN 2 THEN '1' WHEN 3 THEN ' 2 ' WHEN 4 THEN '' ELSE 'x' END AS grade FROM lineitem)"
 
 
 def _annotated(t: Tables):
     n = F.col("l_linenumber")
     grade = F.when(n == 1, "0").when(n == 2, "1").when(n == 3, " 2 ").when(n == 4, "").otherwise("x")
-    return t.lineitem.filter("l_orderkey < 900").select((F.col("l_orderkey") % 40).alias("query_id"), (F.col("l_partkey") % 60).alias("chunk_id"), (F.col("l_suppkey") % 9).alias("doc_id"), grade.alias("grade"))
+    return t.lineitem.select((F.col("l_orderkey") % 40).alias("query_id"), (F.col("l_partkey") % 60).alias("chunk_id"), (F.col("l_suppkey") % 9).alias("doc_id"), grade.alias("grade"))
 
 
 @query("smp_03_consolidate", _GRADES + " SELECT query_id, chunk_id, max(try_cast(trim(grade) AS DOUBLE)) AS grade FROM g WHERE try_cast(nullif(trim(grade), '') AS DOUBLE) IS NOT NULL GROUP BY 1, 2")
@@ -483,11 +485,12 @@ def _(t: Tables):
     return sampling.doc_stats(t.chunks())
 
 
-_JUDGED = "judged AS (SELECT DISTINCT doc_id, chunk_id FROM qrels WHERE grade = 2 AND query_id < 3)"
+_JUDGED = "judged AS (SELECT DISTINCT q.doc_id, q.chunk_id FROM qrels q JOIN rankings r USING (query_id, chunk_id) WHERE grade = 2 AND rank <= 5)"
 
 
 def _judged(t: Tables):
-    return t.qrels().filter("grade = 2 AND query_id < 3").select("doc_id", "chunk_id").distinct()
+    """Relevant ones among the five best of each query and index."""
+    return t.qrels().filter("grade = 2").join(t.rankings().filter("rank <= 5"), ["query_id", "chunk_id"]).select("doc_id", "chunk_id").distinct()
 
 
 @query("smp_07_mandatory", BASE + f", {_JUDGED} SELECT doc_id FROM judged UNION SELECT doc_id FROM chunks WHERE fuente = 's1'")
@@ -542,14 +545,14 @@ def _(t: Tables):
 
 @query("src_08_flatten_json", """
 SELECT event_id, array_to_string(list_transform(list_filter(json_keys(props), lambda k: coalesce(json_extract_string(props, '$.' || k), '') <> ''), lambda k: k || ': ' || json_extract_string(props, '$.' || k)), chr(10)) AS texto
-FROM events WHERE event_id < 2000""")
+FROM events""")
 def _(t: Tables):
-    return t.events.filter("event_id < 2000").select("event_id", readers.flatten_json("props").alias("texto"))
+    return t.events.select("event_id", readers.flatten_json("props").alias("texto"))
 
 
 @query("src_05_json_document")
 def _(t: Tables):
-    body = F.to_json(F.struct(F.col("url").alias("title"), F.array(F.left("html", F.lit(50)), F.lit("fin")).alias("content")))
+    body = F.to_json(F.struct(F.col("url").alias("title"), F.array(F.col("html"), F.lit("fin")).alias("content")))
     return t.pages.select("page_id", readers.json_document(body).alias("d")).select("page_id", "d.clase", "d.texto")
 
 
@@ -570,15 +573,15 @@ def _(t: Tables):
     return readers.pending_ocr(docs, docs.filter("doc_id % 3 = 0"))
 
 
-@query("src_19_apply_ocr", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ocr ' || doc_id ELSE left(text, 30) END AS texto, n_chars < 400 AND doc_id % 3 > 0 AS necesita_ocr FROM documents")
+@query("src_19_apply_ocr", "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'ocr ' || doc_id ELSE text END AS texto, n_chars < 400 AND doc_id % 3 > 0 AS necesita_ocr FROM documents")
 def _(t: Tables):
-    docs = t.documents.select("doc_id", F.left("text", F.lit(30)).alias("texto"), (F.col("n_chars") < 400).alias("necesita_ocr"))
+    docs = t.documents.select("doc_id", F.col("text").alias("texto"), (F.col("n_chars") < 400).alias("necesita_ocr"))
     return readers.apply_ocr(docs, docs.filter("doc_id % 3 = 0").select("doc_id", F.concat(F.lit("ocr "), "doc_id").alias("texto")))
 
 
-@query("src_20_queries_text", "SELECT printf('q%03d', conv_id) AS query_id, trim(regexp_replace(string_agg(text, ' ' ORDER BY turn), '\\s+', ' ', 'g')) AS texto FROM conversations WHERE turn < 3 AND text IS NOT NULL AND trim(text) <> '' GROUP BY conv_id")
+@query("src_20_queries_text", "SELECT printf('q%03d', conv_id) AS query_id, trim(regexp_replace(string_agg(text, ' ' ORDER BY turn), '\\s+', ' ', 'g')) AS texto FROM conversations WHERE text IS NOT NULL AND trim(text) <> '' GROUP BY conv_id")
 def _(t: Tables):
-    rows = t.conversations.filter("turn < 3 AND trim(text) <> ''")
+    rows = t.conversations.filter("trim(text) <> ''")
     head = rows.select("conv_id").distinct().select("conv_id", F.lit(-1).cast("long").alias("turn"), F.format_string("Q%03d", "conv_id").alias("linea"))
     lines = head.unionByName(rows.select("conv_id", "turn", F.concat(F.lit(" "), F.regexp_replace("text", r"(?U)\s+", " ")).alias("linea")))
     lines = lines.withColumn("n", F.col("conv_id") * 1000 + F.col("turn") + 1)

@@ -63,11 +63,13 @@ class Tables:
         }
 
     def query_vectors(self) -> dict[str, DataFrame]:
-        return {k: v.filter("chunk_id < 20").withColumnRenamed("chunk_id", "query_id") for k, v in self.indices().items()}
+        """The vectors whose id is divisible by 100 are queries, numbered in order."""
+        number = F.floor(F.col("chunk_id") / 100).cast("long").alias("query_id")
+        return {k: v.filter("chunk_id % 100 = 0").select(number, "vector") for k, v in self.indices().items()}
 
     def queries(self) -> DataFrame:
-        rows = self.embeddings.filter("vec_id < 20")
-        return rows.select(F.col("vec_id").alias("query_id"), (F.pmod("label", F.lit(3)) + 1).cast("long").alias("fenomeno"), F.col("label").cast("long").alias("label"))
+        rows = self.embeddings.filter("vec_id % 100 = 0")
+        return rows.select(F.floor(F.col("vec_id") / 100).cast("long").alias("query_id"), (F.pmod("label", F.lit(3)) + 1).cast("long").alias("fenomeno"), F.col("label").cast("long").alias("label"))
 
     def rankings(self) -> DataFrame:
         """The 50 best of both indices for each query; searched once per session and table."""
@@ -83,9 +85,9 @@ class Tables:
 
     def qrels(self) -> DataFrame:
         """Grade 2 for chunks of the query's label, 1 for those of a neighbouring label."""
-        gap = F.abs(F.col("label") - F.col("_l"))
-        rows = self.chunks().join(F.broadcast(self.queries().select("query_id", F.col("label").alias("_l"))), gap <= 1)
-        return rows.select("query_id", "chunk_id", "doc_id", "fuente", F.when(gap == 0, 2.0).otherwise(1.0).alias("grade"))
+        near = F.explode(F.array(*[F.struct((F.col("label") + d).alias("label"), F.lit(2.0 - abs(d)).alias("grade")) for d in (-1, 0, 1)]))
+        wanted = self.queries().select("query_id", near.alias("w")).select("query_id", "w.label", "w.grade")
+        return self.chunks().join(wanted, "label").select("query_id", "chunk_id", "doc_id", "fuente", "grade")
 
     def relevant(self) -> DataFrame:
         """Sources with at least three chunks of grade 2."""
@@ -96,7 +98,7 @@ class Tables:
         from tidemark.operators.fusion import fuse
 
         rows = fuse(self.rankings(), mode).join(self.chunks(), "chunk_id")
-        return rows.join(F.broadcast(self.queries().select("query_id", F.col("fenomeno").alias("query_fenomeno"))), "query_id")
+        return rows.join(self.queries().select("query_id", F.col("fenomeno").alias("query_fenomeno")), "query_id")
 
 
 #: The same retrieval tables in SQL.
@@ -105,14 +107,14 @@ WITH chunks AS (
   SELECT e.vec_id AS chunk_id, e.vec_id // 4 AS doc_id, 's' || ((e.vec_id // 4) % 40) AS fuente, (e.label % 3 + 1)::BIGINT AS fenomeno,
          e.label::BIGINT AS label, d.text AS texto, e.embedding::DOUBLE[] AS va, (e.embedding::DOUBLE[])[33:64] AS vb
   FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id
-), queries AS (SELECT chunk_id AS query_id, fenomeno, label FROM chunks WHERE chunk_id < 20),
+), queries AS (SELECT chunk_id // 100 AS query_id, fenomeno, label FROM chunks WHERE chunk_id % 100 = 0),
 sims AS (
-  SELECT q.chunk_id AS query_id, 'a' AS encoder, 1 AS enc_ord, c.chunk_id, round(list_dot_product(c.va, q.va), 9) AS sim
-  FROM chunks q, chunks c WHERE q.chunk_id < 20
+  SELECT q.chunk_id // 100 AS query_id, 'a' AS encoder, 1 AS enc_ord, c.chunk_id, round(list_dot_product(c.va, q.va), 9) AS sim
+  FROM chunks q, chunks c WHERE q.chunk_id % 100 = 0
   UNION ALL
-  SELECT q.chunk_id, 'b', 2, c.chunk_id,
+  SELECT q.chunk_id // 100, 'b', 2, c.chunk_id,
          round(list_dot_product(c.vb, q.vb) / (sqrt(list_dot_product(c.vb, c.vb)) * sqrt(list_dot_product(q.vb, q.vb))), 9)
-  FROM chunks q, chunks c WHERE q.chunk_id < 20
+  FROM chunks q, chunks c WHERE q.chunk_id % 100 = 0
 ), rankings AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, encoder ORDER BY sim DESC, chunk_id) AS rank FROM sims) WHERE rank <= 50
 ), qrels AS (

@@ -25,9 +25,9 @@ def _(t: Tables):
     return search.parity(a, a.withColumn("vector", search.unit(F.col("vector"))))
 
 
-@query("vec_07_fetch", "SELECT vec_id + 1 AS ord, vec_id AS chunk_id, round(list_sum(embedding::DOUBLE[]), 5) AS total FROM embeddings WHERE vec_id < 7")
+@query("vec_07_fetch", "SELECT vec_id + 1 AS ord, vec_id AS chunk_id, round(list_sum(embedding::DOUBLE[]), 5) AS total FROM embeddings")
 def _(t: Tables):
-    wanted = t.embeddings.filter("vec_id < 7").select((F.col("vec_id") + 1).alias("ord"), F.col("vec_id").alias("chunk_id"))
+    wanted = t.embeddings.select((F.col("vec_id") + 1).alias("ord"), F.col("vec_id").alias("chunk_id"))
     total = F.round(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x), 5)
     return search.fetch(t.indices()["a"], wanted).select("ord", "chunk_id", total.alias("total"))
 
@@ -36,7 +36,7 @@ def _(t: Tables):
 , near AS (SELECT r.query_id, c.va FROM rankings r JOIN chunks c USING (chunk_id) WHERE r.encoder = 'a' AND r.rank <= 5),
 dims AS (SELECT query_id, unnest(va) AS x, generate_subscripts(va, 1) AS i FROM near),
 means AS (SELECT query_id, i, avg(x) AS m FROM dims GROUP BY 1, 2),
-qdims AS (SELECT chunk_id AS query_id, unnest(va) AS x, generate_subscripts(va, 1) AS i FROM chunks WHERE chunk_id < 20),
+qdims AS (SELECT chunk_id // 100 AS query_id, unnest(va) AS x, generate_subscripts(va, 1) AS i FROM chunks WHERE chunk_id % 100 = 0),
 moved AS (SELECT query_id, list(x + 0.3 * m ORDER BY i) AS v FROM qdims JOIN means USING (query_id, i) GROUP BY 1),
 again AS (SELECT m.query_id, c.chunk_id, round(list_dot_product(c.va, m.v) / sqrt(list_dot_product(m.v, m.v)), 7) AS sim FROM moved m, chunks c)
 SELECT query_id, rank, chunk_id, sim FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, chunk_id) AS rank FROM again) WHERE rank <= 10""")
@@ -245,7 +245,7 @@ hits AS (SELECT query_id, count(DISTINCT fuente) AS h FROM documents3 JOIN relev
 sizes AS (SELECT query_id, count(DISTINCT fuente) AS r FROM relevant GROUP BY 1),
 f1 AS (SELECT query_id, coalesce(2 * p * c / nullif(p + c, 0), 0) AS f1 FROM (
   SELECT s.query_id, coalesce(h, 0) / 3.0 AS p, coalesce(h, 0) / least(r, 3)::DOUBLE AS c FROM sizes s LEFT JOIN hits USING (query_id))),
-scored AS (SELECT query_id, ndcg::DOUBLE AS ndcg, f1::DOUBLE AS f1 FROM ndcg JOIN f1 USING (query_id))
+scored AS (SELECT query_id, coalesce(ndcg, 0)::DOUBLE AS ndcg, coalesce(f1, 0)::DOUBLE AS f1 FROM ndcg FULL JOIN f1 USING (query_id))
 """
 
 
@@ -271,19 +271,22 @@ def _(t: Tables):
     return evaluation.summary(_scored(t))
 
 
+@query("evl_04_intervals")
+def _(t: Tables):
+    return evaluation.intervals(_scored(t))
+
+
 @query("evl_07_by_phenomenon", _METRICS + "SELECT fenomeno, round(avg(ndcg), 6) AS ndcg, round(avg(f1), 6) AS f1, count(*) AS n FROM scored JOIN queries USING (query_id) GROUP BY 1")
 def _(t: Tables):
     return evaluation.by_phenomenon(_scored(t).join(t.queries(), "query_id"))
 
 
-_RUNS = "runs AS (SELECT c_custkey AS idx, round(abs(c_acctbal) / 10000, 3) AS ndcg, round((c_custkey * 37 % 101) / 101.0, 3)::DOUBLE AS f1 FROM customer WHERE c_custkey BETWEEN 1 AND 40)"
+_RUNS = "runs AS (SELECT s_suppkey AS idx, round(abs(s_acctbal) / 10000, 3) AS ndcg, round((s_suppkey * 37 % 101) / 101.0, 3)::DOUBLE AS f1 FROM supplier)"
 
 
 def _runs(t: Tables):
-    rows = t.customer.filter("c_custkey BETWEEN 1 AND 40")
-    return rows.select(
-        F.col("c_custkey").alias("idx"), F.round(F.abs("c_acctbal") / 10000, 3).alias("ndcg"), F.round((F.col("c_custkey") * 37 % 101) / 101.0, 3).alias("f1"),
-    )
+    k = F.col("s_suppkey")
+    return t.supplier.select(k.alias("idx"), F.round(F.abs("s_acctbal") / 10000, 3).alias("ndcg"), F.round((k * 37 % 101) / 101.0, 3).alias("f1"))
 
 
 @query("evl_08_borda", f"WITH {_RUNS} SELECT idx, count(*) OVER () * 2 - row_number() OVER (ORDER BY ndcg DESC, idx) - row_number() OVER (ORDER BY f1 DESC, idx) AS puntos FROM runs")
@@ -364,7 +367,7 @@ def _(t: Tables):
 
 @query("evl_20_against_base", f"""WITH {_RUNS}, b AS (SELECT ndcg AS n, f1 AS f FROM runs WHERE idx = 1)
 SELECT idx, round(ndcg - n, 6) AS d_ndcg, round(f1 - f, 6) AS d_f1, CASE WHEN least(ndcg - n, f1 - f) > 0 THEN 'gana' WHEN greatest(ndcg - n, f1 - f) < 0 THEN 'pierde' ELSE 'mixto' END AS veredicto,
-       round(0.05 / (2 * (40 - 1)), 6)::DOUBLE AS umbral FROM runs, b WHERE idx <> 1""")
+       round(0.05 / (2 * ((SELECT count(*) FROM runs) - 1)), 6)::DOUBLE AS umbral FROM runs, b WHERE idx <> 1""")
 def _(t: Tables):
     return evaluation.against_base(_runs(t), 1)
 
@@ -423,10 +426,10 @@ def _(t: Tables):
     return experiments.run_many(t.rankings(), t.chunks(), t.queries(), t.qrels(), t.relevant(), [{}, {"fusion": "convex"}])
 
 
-@query("exp_18_differences", "SELECT 'a' AS lado, vec_id FROM embeddings WHERE vec_id < 5 UNION ALL SELECT 'b', vec_id FROM embeddings WHERE vec_id BETWEEN 100 AND 104")
+@query("exp_18_differences", "SELECT 'a' AS lado, vec_id FROM embeddings WHERE label % 2 = 0 AND label % 3 > 0 UNION ALL SELECT 'b', vec_id FROM embeddings WHERE label % 2 > 0 AND label % 3 = 0")
 def _(t: Tables):
-    ids = t.embeddings.select("vec_id")
-    return experiments.differences(ids.filter("vec_id < 100"), ids.filter("vec_id BETWEEN 5 AND 104")).select("lado", "vec_id")
+    a, b = (t.embeddings.filter(F.col("label") % k == 0).select("vec_id") for k in (2, 3))
+    return experiments.differences(a, b).select("lado", "vec_id")
 
 
 @query("evl_21_best_of", f"WITH {_RUNS} SELECT idx % 5 AS experimento, max(ndcg) AS ndcg, max(f1) AS f1, count(*) AS corridas FROM runs GROUP BY 1")
@@ -458,7 +461,7 @@ def _(t: Tables):
 @query("evl_05_by_text")
 def _(t: Tables):
     frags, docs = fusion.reorder(t.rankings(), t.chunks(), t.queries())
-    judged = t.qrels().filter("query_id < 5").join(t.chunks().select("chunk_id", "texto"), "chunk_id").withColumnRenamed("chunk_id", "judged_id")
+    judged = t.qrels().join(t.chunks().select("chunk_id", "texto"), "chunk_id").withColumnRenamed("chunk_id", "judged_id")
     return evaluation.evaluate_by_text(output.emit_fragments(frags), docs, judged.select("query_id", "judged_id", "grade", "texto"), t.relevant())
 
 
