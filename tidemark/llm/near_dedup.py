@@ -557,6 +557,24 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=4)
 
 
+#: All pairs of documents that share a shingle, and what is reachable over those that are linked.
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM words
+), rows AS (SELECT doc_id, len(s) AS n, md5(unnest(s)) AS h FROM sets),
+pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM rows a JOIN rows b ON a.h = b.h AND a.doc_id < b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))
+), edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, e.b FROM reach r JOIN edges e ON e.a = r.y),
+least AS (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+"""
+
+
 def near_duplicates_by_hand(rows: list[tuple[int | None, str | None]], size: int = 4, percent: int = 80) -> dict:
     """The same for a few rows with distinct ids, over all pairs: id -> (n_shingles, component_id, kept)."""
     import re

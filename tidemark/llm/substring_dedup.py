@@ -264,6 +264,20 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+OP4_SQL = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)
+), twice AS (SELECT h FROM starts GROUP BY 1 HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS k FROM starts SEMI JOIN twice USING (h)),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1),
+every AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM words),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM every ANTI JOIN gone USING (doc_id, k) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def remove_repeats_by_hand(texts: list[str | None], window: int = WINDOW) -> list[tuple[int, int, str]]:
     """The same for a few texts, by counting all windows: n_words, n_removed and the digest of what stays."""
     import re

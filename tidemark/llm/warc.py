@@ -239,3 +239,13 @@ def round_trip(pages: DataFrame, min_bytes: int = 0, **columns) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The query: all pages through the archives."""
     return round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+#: Base32 of a digest: its 160 bits, five at a time.
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT *, strlen(html)::BIGINT AS bytes, from_hex(sha1(html))::BIT::VARCHAR AS bits, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, bytes AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::INT * (16 >> j::INT)))::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d
+"""
