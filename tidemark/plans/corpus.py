@@ -49,16 +49,32 @@ def _has(words: list[str]) -> str:
     return "len(list_filter(w, lambda x: x IN (" + ", ".join(f"'{x}'" for x in words) + ")))"
 
 
-@query("txt_05_language", f"""
-WITH x AS (SELECT doc_id, regexp_extract_all(lower(substr(text, 1, 20000)), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents),
+def _language_sql(source: str, text: str) -> str:
+    """CTEs that end in idioma (doc_id, idioma)."""
+    return f"""x AS (SELECT doc_id, regexp_extract_all(lower(substr({text}, 1, 20000)), '[\\p{{L}}\\p{{N}}_]+') AS w FROM {source}),
 c AS (SELECT doc_id, len(w) AS n, {_has(T.FUNCTION_WORDS['es'])} AS es, {_has(T.FUNCTION_WORDS['en'])} AS en, {_has(T.FUNCTION_WORDS['pt'])} AS pt,
-  CASE WHEN {_has(T.PORTUGUESE_ONLY)} > {_has(T.SPANISH_ONLY)} THEN 'pt' ELSE 'es' END AS ib FROM x)
-SELECT doc_id, CASE WHEN n < 20 OR greatest(es, en, pt) = 0 THEN 'xx' WHEN es = greatest(es, en, pt) THEN ib WHEN en = greatest(es, en, pt) THEN 'en' ELSE ib END AS idioma FROM c""")
+  CASE WHEN {_has(T.PORTUGUESE_ONLY)} > {_has(T.SPANISH_ONLY)} THEN 'pt' ELSE 'es' END AS ib FROM x),
+idioma AS (SELECT doc_id, CASE WHEN n < 20 OR greatest(es, en, pt) = 0 THEN 'xx' WHEN es = greatest(es, en, pt) THEN ib WHEN en = greatest(es, en, pt) THEN 'en' ELSE ib END AS idioma FROM c)"""
+
+
+@query("txt_05_language", "WITH " + _language_sql("documents", "text") + " SELECT doc_id, idioma FROM idioma")
 def _(t: Tables):
     return _docs(t).select("doc_id", T.language(F.col("texto")).alias("idioma"))
 
 
-@query("txt_06_clean")
+_NORMAL = r"""a AS (SELECT doc_id, regexp_replace(regexp_replace(nfc_normalize(text), '\r\n?', chr(10), 'g'), '[ \t\x{00A0}\x{2000}-\x{200A}]+', ' ', 'g') AS t FROM documents),
+l AS (SELECT doc_id, list_transform(string_split(t, chr(10)), lambda x: trim(x)) AS ls FROM a),
+normal AS (SELECT doc_id, trim(regexp_replace(array_to_string(ls, chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) AS text FROM l)"""
+_TIDY = "trim(regexp_replace(coalesce({0}, ''), '\\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9))"
+
+
+@query("txt_06_clean", f"""WITH {_NORMAL}, {_BAD.replace("FROM documents", "FROM normal")},
+first AS (SELECT l.doc_id, string_agg(l.raw, chr(10) ORDER BY l.i) AS t FROM lines l ANTI JOIN bad b ON b.doc_id = l.doc_id AND b.line = trim(l.raw) GROUP BY 1),
+tidy AS (SELECT doc_id, {_TIDY.format('t')} AS t FROM normal LEFT JOIN first USING (doc_id)),
+rows AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS raw, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM tidy),
+second AS (SELECT doc_id, string_agg(raw, chr(10) ORDER BY i) AS t FROM rows WHERE NOT regexp_full_match(raw, '[^\\p{{L}}_]{{0,12}}') OR trim(raw) = '' GROUP BY 1),
+done AS (SELECT doc_id, {_TIDY.format('s.t')} AS texto FROM tidy LEFT JOIN second s USING (doc_id)), {_language_sql('done', 'texto')}
+SELECT doc_id, texto, idioma FROM done JOIN idioma USING (doc_id)""")
 def _(t: Tables):
     return T.clean(_docs(t), "doc_id", "texto")
 
@@ -104,7 +120,13 @@ def _(t: Tables):
     return t.documents.filter(F.length("text") > 0).select("doc_id", F.round(T.unprintable(F.col("text")), 6).alias("ratio"))
 
 
-@query("txt_16_ocr_suspicions")
+@query("txt_16_ocr_suspicions", "WITH " + _language_sql("documents", "text") + r"""
+, s AS (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))::BIGINT AS palabras, greatest(1, n_chars // 1800) AS paginas,
+  round(coalesce(len(regexp_extract_all(lower(text), '[áéíóúñü]')) / nullif(len(regexp_extract_all(text, '\p{L}')), 0)::DOUBLE, 0), 4) AS diacriticos,
+  round(coalesce(len(regexp_extract_all(text, '[\x00-\x08\x0B-\x1F\x7F-\x{9F}]')) / nullif(length(text), 0)::DOUBLE, 0), 5) AS raros FROM documents),
+r AS (SELECT *, round(palabras / paginas::DOUBLE, 1) AS palabras_pagina FROM s JOIN idioma USING (doc_id))
+SELECT doc_id, palabras, palabras_pagina, idioma, diacriticos, array_to_string(list_filter([CASE WHEN idioma = 'es' AND diacriticos < 0.005 THEN 'sin diacriticos' END,
+  CASE WHEN raros > 0.01 THEN 'no imprimible' END, CASE WHEN palabras_pagina < 20 THEN 'pocas palabras' END], lambda x: x IS NOT NULL), ',') AS avisos FROM r""")
 def _(t: Tables):
     s = T.ocr_signals(F.col("text"), F.greatest(F.lit(1), F.floor(F.col("n_chars") / 1800)), F.lit(1.0))
     rows = t.documents.select("doc_id", s.alias("s"))
@@ -682,7 +704,11 @@ def _(t: Tables):
     return readers.recover(docs, docs.filter("doc_id < 60"), docs.withColumn("fuente", F.lit("crudo")))
 
 
-@query("txt_07_clean_section")
+@query("txt_07_clean_section", f"""WITH {_NORMAL}, {_BAD},
+rows AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM normal),
+left_over AS (SELECT r.doc_id, string_agg(r.raw, chr(10) ORDER BY r.i) AS t FROM rows r ANTI JOIN bad b ON b.doc_id = r.doc_id AND b.line = trim(r.raw)
+  WHERE NOT regexp_full_match(r.raw, '[^\\p{{L}}_]{{0,12}}') OR trim(r.raw) = '' GROUP BY 1)
+SELECT doc_id, {_TIDY.format('t')} AS texto FROM normal LEFT JOIN left_over USING (doc_id)""")
 def _(t: Tables):
     docs = _docs(t)
     bad = T.boilerplate(docs, "doc_id", "texto").groupBy("doc_id").agg(F.collect_set("line").alias("bad"))
