@@ -93,6 +93,21 @@ def test_shard_law(spark):
     assert {(r.doc_id, r.position) for r in rows} == {(r.doc_id, r.position) for r in again}
 
 
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 999])
+def test_shard_backwards(spark, n):
+    from tidemark.llm.sharding import number_at, permute
+
+    rows = spark.range(n).select("id", permute(F.col("id"), n, 20).alias("p")).select("id", "p", number_at(F.col("p") % 8, F.floor(F.col("p") / 8), n).alias("back"))
+    rows = rows.collect()
+    assert sorted(r.p for r in rows) == list(range(n)) and all(r.back == r.id for r in rows)
+
+
+def test_shard_empty_and_clashing(spark):
+    df = docs(spark, ["a", None, ""]).withColumns({"shard": F.lit("x"), "slot": F.lit(1), "position": F.lit(2), "number": F.lit(3), "size": F.lit(4)})
+    assert sorted(r["size"] for r in shard(df).collect()) == [1, 1, 2]
+    assert shard(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 1000])
 def test_shard_repeated_rows_and_nulls(spark, n):
     df = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same").alias("text"))
@@ -129,6 +144,25 @@ def test_line_dedup_awkward_ids(spark):
     assert dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_runs_opened_again(spark):
+    """Batches through one store, and through one that is opened anew before each batch: the same runs."""
+    from tidemark.llm.line_dedup import LineRuns, line_keys
+    from tidemark.llm.workspace import Workspace
+
+    rng = random.Random(6)
+    texts = ["\n".join(f"a line that is long enough, {rng.randrange(15)}" for _ in range(4)) for _ in range(40)]
+    keys = line_keys(docs(spark, texts), "doc_id", "text").cache()
+    one, state = LineRuns(Workspace(spark, "one")), []
+    for low in (30, 20, 10, 0):
+        batch = keys.filter(f"doc_id >= {low} AND doc_id < {low + 10}")
+        one.add(batch, "doc_id")
+        again = LineRuns.open(Workspace(spark, "again"), state)
+        again.add(batch, "doc_id")
+        state = again.state()
+    assert [level for level, _ in state] == [level for level, _ in one.state()]
+    assert sorted(one.merged().collect()) == sorted(again.merged().collect())
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_substring_dedup(spark, seed):
     texts = corpus(seed)
@@ -477,6 +511,29 @@ def test_quality_classifier(spark):
     assert {r.score for r in classify(df, labels.limit(0)).collect()} == {0.5}
 
 
+def test_one_id_on_many_rows(spark):
+    """A labelled id that many rows repeat counts once; ties of scores and copies get equal verdicts."""
+    df, labels = labelled(spark, 100)
+    many = spark.range(10_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("same words "), F.col("id") % 50).alias("text"), F.lit("en").alias("lang"), F.lit("s1").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    out = classify(df.unionByName(many), labels)
+    assert out.count() == df.count() + 10_000
+    found = identify(df.unionByName(many))
+    assert found.count() == df.count() + 10_000 and {r.lang_pred for r in found.filter("doc_id < 100").collect()} == {"en"}
+    copies = classify(df.filter("doc_id = 7").unionByName(df.filter("doc_id = 7").withColumn("doc_id", F.lit(5000).cast("long"))), labels).collect()
+    assert len({(r.score, r.accepted) for r in copies}) == 1
+    assert classify(df.limit(0), labels).count() == 0
+    named = df.withColumns({"accepted": F.lit(1), "y": F.lit(2), "_key": F.lit(3), "_row": F.lit(4), "labelled": F.lit(5)})
+    assert classify(named, labels.withColumn("score", F.lit(1))).count() == df.count()
+
+
+def test_quality_rules_edges(spark):
+    df = docs(spark, ["a b c d e f g h i j k l"] * 2 + [None, ""]).withColumns({"kept": F.lit(1), "_target": F.lit(2), "_held": F.lit(3), "margin": F.lit(4)})
+    rows = judge(df, spark.range(0, 2).withColumnRenamed("id", "doc_id")).collect()
+    assert len(rows) == 4 and len({(r.kept, r.margin) for r in rows if r.doc_id < 2}) == 1
+    assert judge(df.limit(0), spark.range(0, 2).withColumnRenamed("id", "doc_id")).count() == 0
+    assert [r.kept for r in judge(df, spark.range(0).withColumnRenamed("id", "doc_id")).orderBy("doc_id").collect()] == [True, True, False, False]
+
+
 def test_quality_rules(spark):
     texts = corpus() + ["same line here\nsame line here\n \n \nother # * $ % & | < >", "x " * 30]
     trusted = spark.range(0, 40).select(F.col("id").alias("doc_id"))
@@ -530,4 +587,6 @@ def test_warc(spark):
         seen = first.setdefault(raw, k + 1)
         assert (r.record_type, r.refers_to) == (("response", None) if seen == k + 1 else ("revisit", seen))
     assert out[None].record_type == "response"
+    named = df.withColumns({"refers_to": F.lit(1), "_sha": F.lit(2), "record_type": F.lit(3), "file": F.lit(4)})
+    assert round_trip(named).count() == len(rows)
     assert round_trip(df.limit(0)).count() == 0

@@ -3,8 +3,9 @@
 Lines are known by a 128-bit hash of their key. Documents are taken in batches by descending id. Every batch adds up
 its keys (documents, largest holder), merge-anti-joins them with the runs written so far - a key that no run holds is
 new and its holder in this batch is the line's keeper - and writes a sorted run of its own. When a level has FANOUT
-runs they are merged into one run of the next level. The runs outlive the job: a store that is opened again goes on
-with what it holds.
+runs they are merged into one run of the next level. The runs are tables that outlive the job: LineRuns.open() takes up
+what state() told, and goes on. Spark's merge joins order the runs once more, as it doesn't know that files are sorted;
+a run holds each key once, so that costs less than the batch itself.
 """
 
 from __future__ import annotations
@@ -50,6 +51,20 @@ class LineRuns:
         self.ws, self.fanout = ws, fanout
         self.levels: list[list[DataFrame]] = []
 
+    def state(self) -> list[tuple[int, str]]:
+        """(level, folder) of every run, oldest first."""
+        return [(level, run._workspace_path) for level, runs in enumerate(self.levels) for run in runs]
+
+    @classmethod
+    def open(cls, ws: Workspace, state: list[tuple[int, str]], fanout: int = FANOUT) -> LineRuns:
+        """A store that holds the runs of an earlier one; new runs go to ws."""
+        store = cls(ws, fanout)
+        for level, path in state:
+            while len(store.levels) <= level:
+                store.levels.append([])
+            store.levels[level].append(ws.read(path))
+        return store
+
     def runs(self) -> DataFrame | None:
         """All runs as one table; a key has a row in each run that holds it."""
         out = None
@@ -106,7 +121,8 @@ def dedup_lines(
 
     A key of at least min_chars code points that at least min_docs rows hold loses all its lines but those of the row
     with the largest id. Null or empty text: one empty line, kept as empty text. Rows that repeat an id count one by
-    one as holders, and all rows of the largest id keep the line. Rows with a null id never hold or lose a line. Other
+    one as holders, and all rows of the largest id keep the line. Ids are numbers. Rows with a null id never hold or
+    lose a line. Other
     columns stay as they are; those named n_lines, n_dropped or kept_text are replaced. An empty table gives no rows.
     """
     ws = Workspace(docs.sparkSession, "lines")

@@ -38,6 +38,12 @@ class Workspace:
         out._workspace_path = path
         return out
 
+    def read(self, path: str) -> DataFrame:
+        """A table that was saved before."""
+        out = self.spark.read.parquet(path)
+        out._workspace_path = path
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete saved tables that nothing will read again."""
         for table in tables:
