@@ -237,10 +237,11 @@ def test_near_duplicates(spark, seed):
 
 
 def test_near_duplicates_large_nodes(spark, monkeypatch):
-    """With tiny limits every node is large: leaders, settling and the second look give the same components."""
+    """With tiny limits every node is large: leaders, branching and the second look give the same components."""
     import tidemark.llm.near_dedup as N
 
     monkeypatch.setattr(N, "SMALL", 6)
+    monkeypatch.setattr(N, "PAIRS", 0)
     rng = random.Random(5)
     texts = []
     for g in range(3):
@@ -312,6 +313,7 @@ def test_near_duplicates_one_link_between_clusters(spark, monkeypatch, small):
 
     monkeypatch.setattr(N, "SMALL", small)
     monkeypatch.setattr(N, "BLOCK", 16)
+    monkeypatch.setattr(N, "PAIRS", 0 if small == 8 else N.PAIRS)
     rng = random.Random(7)
     base = [f"w{k}" for k in range(400)]
     far = list(base)

@@ -28,10 +28,13 @@ TREES = 4
 #: Children of a document in a node, at every level. At 0.8 a shared path dies out in one tree with a chance of 1/16.
 BRANCHES = 2
 #: A node of up to so many documents is small: one task compares their signatures.
-SMALL = 1024
+SMALL = 2048
 #: Large nodes whose documents have at least this mean estimate with their leaders are compared in blocks: a level of
 #: branching would double the rows and leave most pairs together. So are nodes that are large after so many levels.
 DENSE, DEEPEST = 0.4, 12
+#: While all large nodes together have at most so many pairs for each document, they are all compared in blocks: that
+#: costs less than another level. The result is the same.
+PAIRS = 4000
 #: Leaders of a large node, on average.
 LEADERS = 8
 #: Documents of dense nodes are also checked with the first one that shares one of so many keys of so many places.
@@ -178,14 +181,15 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
     return out
 
 
-def _alike(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, percent: int):
-    """Blocks of rows of a against all of b: row and column numbers of candidates, and their estimates."""
+def _alike(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, percent: int, later: bool = False):
+    """Blocks of rows of a against all of b (or those from the block on): numbers of candidates, and their estimates."""
     for lo in range(0, len(a), 32):
-        est = (a[lo : lo + 32, None, :] == b[None, :, :]).mean(axis=2, dtype=np.float32)
-        s = sizes_a[lo : lo + 32, None]
-        ok = (est >= CHECK) & (100 * np.minimum(s, sizes_b) >= percent * np.maximum(s, sizes_b))
+        first = lo if later else 0
+        est = (a[lo : lo + 32, None, :] == b[None, first:, :]).mean(axis=2, dtype=np.float32)
+        s, t = sizes_a[lo : lo + 32, None], sizes_b[first:]
+        ok = (est >= CHECK) & (100 * np.minimum(s, t) >= percent * np.maximum(s, t))
         i, j = np.nonzero(ok)
-        yield i + lo, j, est[i, j]
+        yield i + lo, j + first, est[i, j]
 
 
 def spanning(n: int, a: np.ndarray, b: np.ndarray, worth: np.ndarray) -> np.ndarray:
@@ -247,7 +251,7 @@ def _compare_small(percent: int):
         for table in _runs(batches, 1):
             node, ids, sizes = table.column(0)[0].as_py(), table.column(1).to_numpy(), table.column(2).to_numpy()
             sig = _matrix(table.column(3))
-            found = [(i[i < j], j[i < j], e[i < j]) for i, j, e in _alike(sig, sig, sizes, sizes, percent)]
+            found = [(i[i < j], j[i < j], e[i < j]) for i, j, e in _alike(sig, sig, sizes, sizes, percent, later=True)]
             i, j, est = (np.concatenate(x) for x in zip(*found))
             more = len(i) > 2 * len(ids)
             if more:
@@ -379,25 +383,35 @@ def _meet_sets(size: int, percent: int):
 def components(edges: DataFrame, ws: Workspace) -> DataFrame:
     """(id, label): the smallest id reachable over the edges (a, b), for every id that has one.
 
-    Each round takes the smallest label among neighbours and then the label's own label; tables only, and as many
-    rounds as the logarithm of a component's width.
+    Each round takes the smallest label among neighbours and then that label's own label; tables only, one job a round,
+    and as many rounds as the logarithm of a component's width.
     """
     both = ws.save(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct(), "edges")
     labels = ws.save(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")).select(F.col("a").alias("id"), "label"), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("_near"))
-        met = ws.save(
-            labels.join(near, "id").select("id", F.col("label").alias("_was"), F.least("label", "_near").alias("label")), "met"
-        )
-        jump = met.select(F.col("id").alias("label"), F.col("label").alias("_far"))
+        met = labels.join(near, "id").select("id", F.col("label").alias("_was"), F.least("label", "_near").alias("label"))
+        jump = labels.select(F.col("id").alias("label"), F.col("label").alias("_far"))
         nxt = ws.save(met.join(jump, "label", "left").select("id", "_was", F.least("label", F.coalesce("_far", "label")).alias("label")), "labels")
-        ws.drop(met)
         changed = nxt.filter(F.col("label") < F.col("_was")).limit(1).count()
         labels = nxt.select("id", "label")
         if not changed:
             return labels
 
 
+def with_more(labels: DataFrame, more: DataFrame, ws: Workspace) -> DataFrame:
+    """The labels after more edges, by the components of the labels that these connect."""
+    if not more.limit(1).count():
+        return labels
+    for c in ("a", "b"):
+        more = more.join(labels.select(F.col("id").alias(c), F.col("label").alias("_l")), c, "left").withColumn(c, F.coalesce("_l", c)).drop("_l")
+    merged = components(more.select("a", "b"), ws).select(F.col("id").alias("label"), F.col("label").alias("_to"))
+    known = labels.join(merged, "label", "left").select("id", F.coalesce("_to", "label").alias("label"))
+    # ids that the first links left alone stand for themselves among the merged ones
+    alone = merged.select(F.col("label").alias("id"), F.col("_to").alias("label")).join(labels.select("id"), "id", "left_anti")
+    return ws.save(known.unionByName(alone), "labels")
+
+
 def small_node_pairs(members: DataFrame, small: DataFrame, reps: DataFrame, percent: int, ws: Workspace) -> DataFrame:
     """(node, a, b, more) of the small nodes; nodes with the same members are compared once."""
     once = small.groupBy("size", "who1", "who2").agg(F.min("node").alias("node")).select("node")
@@ -417,7 +431,7 @@ class Found:
 
 def walk_trees(reps: DataFrame, members: DataFrame, percent: int, ws: Workspace) -> Found:
     """Branch large nodes of documents that are little alike, until none is left; large nodes of others are groups."""
-    pairs, groups, depth = [], [], 1
+    pairs, groups, depth, documents = [], [], 1, reps.count()
     while True:
         sized = members.groupBy("node").agg(
             F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("id")).alias("who1"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("who2"),
@@ -426,28 +440,27 @@ def walk_trees(reps: DataFrame, members: DataFrame, percent: int, ws: Workspace)
         found = small_node_pairs(members, sized.filter(F.col("size") <= SMALL), reps, percent, ws)
         pairs.append(found.select("a", "b"))
         groups.append(members.join(found.filter("more").select("node").distinct(), "node").select(F.col("node").alias("gid"), "id", "n"))
-        once = sized.filter(F.col("size") > SMALL).groupBy("size", "who1", "who2").agg(F.min("node").alias("node"))
-        big = ws.save(once.select("node", "size"), "big")
-        if not big.limit(1).count():
-            break
-        if depth > DEEPEST:
-            groups.append(members.join(big, "node").select(F.col("node").alias("gid"), "id", "n"))
+        big = sized.filter(F.col("size") > SMALL).groupBy("size", "who1", "who2").agg(F.min("node").alias("node")).select("node", "size")
+        work = sized.filter(F.col("size") > SMALL).agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0]
+        if not work:
             break
+        last = depth > DEEPEST or work <= PAIRS * documents
         signed = ws.save(members.join(big, "node").join(reps.select("id", "signature"), "id").select("node", "id", "n", "signature", "size"), "signed")
         # LEADERS of a node on average: the list stays short, whatever the node's size; like nodes have the same ones
         part = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(1 << 40)) / float(1 << 40)
         chosen = signed.filter(part * F.col("size") < LEADERS).groupBy("node").agg(F.collect_list(F.struct("id", "signature")).alias("leaders"))
-        chosen = ws.save(chosen, "leaders")
         held = signed.join(chosen, "node").select("node", "id", "signature", "leaders").mapInArrow(_compare_leaders, "node long, id long, like double, near array<long>")
         held = ws.save(held, "large")
-        dense = ws.save(held.groupBy("node").agg(F.avg("like").alias("like")).filter(F.col("like") >= DENSE).select("node"), "dense")
-        other = held.join(dense, "node").select("id", F.explode("near").alias("other"))
+        dense = held.groupBy("node").agg(F.avg("like").alias("like")).filter(F.col("like") >= DENSE).select("node")
+        other = (held if last else held.join(dense, "node")).select("id", F.explode("near").alias("other"))
         pairs.append(other.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")))
-        alike = signed.join(dense, "node")
+        alike = signed if last else signed.join(dense, "node")
         groups.append(alike.select(F.col("node").alias("gid"), "id", "n"))
         keys = ws.save(alike.select("id", "signature").dropDuplicates(["id"]).mapInArrow(_keys, "key long, id long"), "keys")
         first = keys.groupBy("key").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("key", "a")
         pairs.append(keys.join(first, "key").filter("a <> id").select("a", F.col("id").alias("b")))
+        if last:
+            break
         # the others branch, also those without a leader, as chance has it
         rest = signed.join(dense, "node", "left_anti").select("node", "id", "n", "signature")
         members = ws.save(rest.mapInArrow(_branch, "node long, id long, n long"), "members")
@@ -474,24 +487,22 @@ def _blocks(rows: DataFrame, kind: list[str]) -> DataFrame:
     return rows.select("gid", u.alias("u"), v.alias("v"), *kind)
 
 
-def second_look(found: Found, links: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame:
-    """The links, and those between documents of a group that the links leave apart.
+def second_look(found: Found, labels: DataFrame, reps: DataFrame, texts: DataFrame, size: int, percent: int, ws: Workspace) -> DataFrame | None:
+    """Links (a, b) between documents of a group that the labels leave apart; None if there is no such group.
 
     Documents that don't have their group's commonest label meet all of the group, blocks against blocks: signatures
     first, then full sets of those with a candidate. No pair is a row.
     """
-    if not found.groups.limit(1).count():
-        return links
-    labels = components(links, ws)
     own = ws.save(found.groups.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled")
+    if not own.limit(1).count():
+        return None
     counts = own.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("k"))
     main = counts.groupBy("gid").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
     own = own.join(main.select("gid", "main"), "gid")
-    names = ["gid", "role", "id", "label", "n"]
-    rows = own.withColumn("role", F.lit(VISITOR)).select(*names).unionByName(own.filter("label <> main").withColumn("role", F.lit(FAMILY)).select(*names))
-    rows = ws.save(rows, "apart")
+    roles = F.explode(F.when(F.col("label") == F.col("main"), F.array(F.lit(VISITOR))).otherwise(F.array(F.lit(VISITOR), F.lit(FAMILY))))
+    rows = ws.save(own.select("gid", roles.alias("role"), "id", "label", "n"), "apart")
     if not rows.limit(1).count():
-        return links
+        return None
     tasks = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(table: DataFrame) -> DataFrame:
@@ -501,8 +512,7 @@ def second_look(found: Found, links: DataFrame, reps: DataFrame, texts: DataFram
     hit = ws.save(meet(signed).mapInArrow(_meet_signatures(percent), "gid long, role int, id long").distinct(), "hit")
     full = _blocks(rows.join(hit, ["gid", "role", "id"], "left_semi"), ["role", "id", "label"])
     full = full.join(texts, "id").select("gid", "u", "v", "role", "id", "label", "text")
-    more = ws.save(meet(full).mapInArrow(_meet_sets(size, percent), "a long, b long"), "more")
-    return links.unionByName(more)
+    return ws.save(meet(full).mapInArrow(_meet_sets(size, percent), "a long, b long"), "more")
 
 
 def near_duplicates(
@@ -531,9 +541,10 @@ def near_duplicates(
     wanted = ws.save(reduce(DataFrame.unionByName, ids).distinct(), "wanted")
     texts = ws.save(docs.select("id", "text").join(wanted.hint("merge"), "id", "left_semi"), "texts")
     links = confirmed(found.pairs, texts, size, percent, ws)
-    links = second_look(found, links, reps, texts, size, percent, ws)
+    labels = components(links, ws)
+    more = second_look(found, labels, reps, texts, size, percent, ws)
     if not repeated:
-        labels = components(links, ws).select(F.col("id").alias("rep"), "label")
+        labels = (labels if more is None else with_more(labels, more, ws)).select(F.col("id").alias("rep"), "label")
         full = mine.join(labels, "rep", "left").select("id", F.coalesce("label", "rep").alias("label"))
         out = sketch.select("id", "n").join(full, "id", "left")
         component = F.coalesce("label", "id")
@@ -543,7 +554,8 @@ def near_duplicates(
     names = keyed.select(F.col("_row").alias("id"), F.col(id_col).alias("_name")).filter("_name IS NOT NULL")
     first = names.groupBy("_name").agg(F.min("id").alias("a"))
     same = names.join(first, "_name").filter("a <> id").select("a", F.col("id").alias("b"))
-    labels = components(links.unionByName(copies).unionByName(same), ws)
+    every = [links, copies, same] + ([] if more is None else [more])
+    labels = components(reduce(DataFrame.unionByName, every), ws)
     named = ws.save(names.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id")), "named")
     least = named.groupBy("label").agg(F.min("_name").alias("component_id"))
     out = keyed.select(F.col("_row").alias("id"), F.col(id_col)).join(sketch.select("id", "n"), "id")
