@@ -372,3 +372,105 @@ def test_entry_has_names_and_sql():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_csv_with_quotes_and_encodings(spark, tmp_path):
+    from tidemark.sources import readers
+
+    (tmp_path / "u.csv").write_bytes("\ufeffa,b\n1,\"x\ny\"\n,\n2, ñ \n".encode())
+    (tmp_path / "l.csv").write_bytes("a,b\n1,año\n".encode("latin-1"))
+    assert sorted(r.texto for r in readers.csv_blocks(spark, str(tmp_path / "u.csv")).collect()) == ["a: 1 | b: x\ny", "a: 2 | b: ñ"]
+    raw = spark.createDataFrame([(p.name, p.read_bytes()) for p in tmp_path.iterdir()], "fuente string, content binary")
+    got = {r.fuente: r.texto for r in readers.dispatch(raw).collect()}
+    assert got == {"u.csv": "a: 1 | b: x\ny\n\na: 2 | b: ñ", "l.csv": "a: 1 | b: año"}
+
+
+def test_preflights():
+    from tidemark.operators import experiments
+    from tidemark.sources import readers
+
+    assert readers.ocr_available(["spa"], "no-such-command") == (False, "no-such-command isn't installed")
+    assert experiments.pick_backend({"cuda": False, "directml": True})[0] == "directml" and experiments.pick_backend({})[0] == "cpu"
+
+
+def test_export_graphml(spark, tmp_path):
+    import xml.etree.ElementTree as ET
+
+    from tidemark.operators import graph
+
+    nodes = spark.createDataFrame([("E:a", "entidad", "A & B"), ("C:1", "fragmento", None)], "id string, kind string, nombre string")
+    edges = spark.createDataFrame([("C:1", "E:a", "MENCIONA", None, 2)], "src string, dst string, kind string, tipo string, n int")
+    root = ET.parse(graph.export_graphml(nodes, edges, str(tmp_path / "g.graphml"))).getroot()
+    assert [n.get("nombre") for n in root.iter("node")] == ["A & B", ""] and len(list(root.iter("edge"))) == 1
+    with pytest.raises(ValueError):
+        graph.export_graphml(nodes.withColumn("x", F.array()), edges, str(tmp_path / "h.graphml"))
+
+
+def test_sentences_by_language(spark):
+    from tidemark.functions import text as X
+
+    said = [("es", "El Dr. Paz vio el art. 5 de la ley. Luego salió.", 2), ("en", "Mr. J. Smith paid 3.5 M. It was e.g. fine. Done!", 2), ("pt", "A Sra. Lima veio. Fim.", 2), ("xx", "One. Two.", 2)]
+    df = spark.createDataFrame(said, "lang string, t string, n int")
+    for r in df.select("n", X.sentences(F.col("t"), F.col("lang")).alias("s"), "t").collect():
+        assert len(r.s) == r.n and " ".join(r.s) == r.t
+
+
+def test_pack_with_tokens(spark):
+    from tidemark.operators import chunking
+
+    letters = lambda: lambda texts: [len(t.replace(" ", "")) for t in texts]
+    df = spark.createDataFrame([(["aa bb", "cccc", "dddddd; eeeeee", "f"],), (None,), ([],)], "u array<string>")
+    got = [None if r.c is None else [(x.texto, x.tokens) for x in r.c] for r in df.select(chunking.pack(F.col("u"), 8, 0.0, tokens=letters).alias("c")).collect()]
+    assert got == [[("aa bb cccc", 8), ("dddddd;", 7), ("eeeeee", 6), ("f", 1)], None, []]
+    long = spark.createDataFrame([([" ".join(["word"] * 20_000)] * 3,)], "u array<string>")
+    assert long.select(F.size(chunking.pack(F.col("u"), 500))).first()[0] == 3 * 41
+
+
+def test_intervals_and_unanswered_queries(spark):
+    from tidemark.functions import stats
+    from tidemark.operators import evaluation
+
+    frags = spark.createDataFrame([(1, 10, 1), (2, 30, 1)], "query_id int, chunk_id int, rank int")
+    docs = spark.createDataFrame([(1, "a", 1), (3, "b", 1)], "query_id int, fuente string, rank int")
+    qrels = spark.createDataFrame([(1, 10, 2.0), (2, 20, 1.0), (3, 40, 1.0)], "query_id int, chunk_id int, grade double")
+    rel = spark.createDataFrame([(1, "a"), (3, "b")], "query_id int, fuente string")
+    got = {r.query_id: (r.ndcg, round(r.f1, 4)) for r in evaluation.evaluate(frags, docs, qrels, rel).collect()}
+    assert got == {1: (1.0, 0.5), 2: (0.0, 0.0), 3: (0.0, 0.5)}
+    rows = {r.metric: r for r in evaluation.intervals(evaluation.evaluate(frags, docs, qrels, rel)).collect()}
+    low, high = stats.bootstrap([1.0, 0.0, 0.0])
+    assert (rows["ndcg"].low, rows["ndcg"].high) == (round(low, 4), round(high, 4))
+
+
+def test_permutation_stream():
+    """The stated generator and order of draws."""
+    import random
+
+    from tidemark.functions import stats
+
+    a, b = [0.5, 0.7, 0.2, 0.9], [0.4, 0.8, 0.1, 0.3]
+    d = [x - y for x, y in zip(a, b)]
+    rng, reached = random.Random(7), 0
+    for _ in range(300):
+        total = 0.0
+        for x in d:
+            total += x if rng.random() < 0.5 else -x
+        reached += abs(total / 4) >= abs(sum(d) / 4) - 1e-12
+    assert stats.permutation(a, b, 300, 7)[1] == (reached + 1) / 301
+    assert stats.rank_sum_counts(4) == [1, 1, 1, 2, 2, 2, 2, 2, 1, 1, 1]
+
+
+def test_similar_keys_in_blocks(spark, monkeypatch):
+    import numpy as np
+
+    from tidemark.operators import graph, search
+
+    monkeypatch.setattr(search, "KEY_BLOCK", 7)
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(40, 5))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "chunk_id long, vector array<double>")
+    sims = v @ v.T
+    want = {(i, j) for i in range(40) for j in range(40) if i != j and sims[i, j] >= 0.6}
+    assert {(r.a, r.b) for r in graph.similar_keys(df, 0.6, None).collect()} == want
+    few = {(i, j) for i, j in want if j in [k for k in np.argsort(-sims[i]) if k != i][:2]}
+    assert {(r.a, r.b) for r in graph.similar_keys(df, 0.6, 3).collect()} == few

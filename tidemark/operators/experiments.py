@@ -193,3 +193,15 @@ def to_build(pairs: DataFrame, built: DataFrame) -> DataFrame:
 def preflight(have: dict[str, bool]) -> list[str]:
     """What is missing among the named parts of an environment, in order."""
     return [f"missing: {name}" for name, there in have.items() if not there]
+
+
+#: Backends for encoders, best first.
+BACKENDS = ("cuda", "directml", "cpu")
+
+
+def pick_backend(have: dict[str, bool]) -> tuple[str, str]:
+    """The best backend that is there, and why; cpu always is."""
+    for name in BACKENDS[:-1]:
+        if have.get(name):
+            return name, f"{name} is there"
+    return "cpu", "no " + " and no ".join(BACKENDS[:-1])

@@ -242,6 +242,15 @@ def graphml(nodes: DataFrame, edges: DataFrame) -> Iterator[str]:
     yield "</graph></graphml>"
 
 
+def export_graphml(nodes: DataFrame, edges: DataFrame, path: str) -> str:
+    """Write the graph as a GraphML file on the driver, row by row; columns that aren't scalar are an error."""
+    if bad := not_scalar(nodes) + not_scalar(edges):
+        raise ValueError("GraphML can't hold " + "; ".join(bad))
+    with open(path, "w", encoding="utf-8") as out:
+        out.writelines(line + "\n" for line in graphml(nodes, edges))
+    return path
+
+
 def not_scalar(df: DataFrame) -> list[str]:
     """Columns whose type GraphML can't hold."""
     return [f"{name}: {kind}" for name, kind in df.dtypes if kind.startswith(("array", "map", "struct", "binary", "variant"))]

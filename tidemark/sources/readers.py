@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
+import shutil
+import subprocess
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -79,10 +83,28 @@ def json_document(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(t) if t is not None else (None, None) for t in text], columns=["clase", "texto"])
 
 
-def csv_blocks(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """(texto): a block per row of a CSV file with a header."""
-    df = spark.read.csv(path, header=True, encoding=encoding)
-    return df.select(row_text(df.columns).alias("texto"))
+def csv_rows(text: str) -> list[str]:
+    """A block per row of CSV text with a header, like row_text(); quoted cells may hold line ends."""
+    rows = list(csv.reader(io.StringIO(text)))
+    blocks = (" | ".join(f"{name}: {cell.strip()}" for name, cell in zip(rows[0], row) if cell.strip()) for row in rows[1:])
+    return [b for b in blocks if b]
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def csv_texts(text: pd.Series) -> pd.Series:
+    return text.map(csv_rows, na_action="ignore")
+
+
+def csv_blocks(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """(texto): a block per row of CSV files with a header.
+
+    Files are read whole, as UTF-8 or else Latin-1. With an encoding given, Spark splits large files among tasks.
+    """
+    if encoding:
+        df = spark.read.csv(path, header=True, encoding=encoding, multiLine=False)
+        return df.select(row_text(df.columns).alias("texto"))
+    raw = spark.read.format("binaryFile").load(path)
+    return raw.select(F.explode(csv_texts(decoded(F.col("content")))).alias("texto"))
 
 
 def plain_text(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +133,8 @@ def dispatch(files: DataFrame) -> DataFrame:
     fmt = F.lower(F.regexp_extract("fuente", r"\.([^.]+)$", 1))
     rows = files.withColumns({"formato": fmt, "_t": decoded(F.col("content"))})
     text = (
-        F.when(F.col("formato").isin("txt", "csv"), F.col("_t"))
+        F.when(F.col("formato") == "txt", F.col("_t"))
+        .when(F.col("formato") == "csv", F.array_join(csv_texts(F.when(F.col("formato") == "csv", F.col("_t"))), "\n\n"))
         .when((F.col("formato") == "json") & F.try_parse_json("_t").isNotNull(), json_document(F.when((F.col("formato") == "json") & F.try_parse_json("_t").isNotNull(), F.col("_t")))["texto"])
         .when(F.col("formato").isin("png", "jpg", "jpeg", "tif", "tiff"), "")
     )
@@ -129,6 +152,19 @@ def binary_reader(kind: str):
     raise NotHere(f"{kind} needs a library that isn't installed; give extract_with() a function of your own")
 
 
+def ocr_available(languages: list[str], command: str = "tesseract") -> tuple[bool, str]:
+    """Whether an OCR command is installed with these languages, and what is wrong if not."""
+    where = shutil.which(command)
+    if not where:
+        return False, f"{command} isn't installed"
+    try:
+        told = subprocess.run([where, "--list-langs"], capture_output=True, text=True, timeout=30, check=True).stdout
+    except (OSError, subprocess.SubprocessError) as e:
+        return False, f"{command} doesn't run: {e}"
+    missing = sorted(set(languages) - set(told.split()))
+    return not missing, f"languages missing: {', '.join(missing)}" if missing else where
+
+
 def extract_with(files: DataFrame, extract) -> DataFrame:
     """(fuente, texto, error) by a function from bytes to text; what it raises becomes the error."""
 
