@@ -120,17 +120,28 @@ def _(t: Tables):
     return t.documents.filter(F.length("text") > 0).select("doc_id", F.round(T.unprintable(F.col("text")), 6).alias("ratio"))
 
 
-@query("txt_16_ocr_suspicions", "WITH " + _language_sql("documents", "text") + r"""
+_SIGNALS = "WITH " + _language_sql("documents", "text") + r"""
 , s AS (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))::BIGINT AS palabras, greatest(1, n_chars // 1800) AS paginas,
   round(coalesce(len(regexp_extract_all(lower(text), '[áéíóúñü]')) / nullif(len(regexp_extract_all(text, '\p{L}')), 0)::DOUBLE, 0), 4) AS diacriticos,
   round(coalesce(len(regexp_extract_all(text, '[\x00-\x08\x0B-\x1F\x7F-\x{9F}]')) / nullif(length(text), 0)::DOUBLE, 0), 5) AS raros FROM documents),
 r AS (SELECT *, round(palabras / paginas::DOUBLE, 1) AS palabras_pagina FROM s JOIN idioma USING (doc_id))
-SELECT doc_id, palabras, palabras_pagina, idioma, diacriticos, array_to_string(list_filter([CASE WHEN idioma = 'es' AND diacriticos < 0.005 THEN 'sin diacriticos' END,
+"""
+
+
+def _signals(t: Tables):
+    s = T.ocr_signals(F.col("text"), F.greatest(F.lit(1), F.floor(F.col("n_chars") / 1800)), F.lit(1.0))
+    return t.documents.select("doc_id", s.alias("s"))
+
+
+@query("txt_15_ocr_signals", _SIGNALS + "SELECT doc_id, paginas, palabras, palabras_pagina, idioma, diacriticos, raros FROM r")
+def _(t: Tables):
+    return _signals(t).select("doc_id", "s.paginas", "s.palabras", "s.palabras_pagina", "s.idioma", "s.diacriticos", F.col("s.no_imprimible").alias("raros"))
+
+
+@query("txt_16_ocr_suspicions", _SIGNALS + """SELECT doc_id, palabras, palabras_pagina, idioma, diacriticos, array_to_string(list_filter([CASE WHEN idioma = 'es' AND diacriticos < 0.005 THEN 'sin diacriticos' END,
   CASE WHEN raros > 0.01 THEN 'no imprimible' END, CASE WHEN palabras_pagina < 20 THEN 'pocas palabras' END], lambda x: x IS NOT NULL), ',') AS avisos FROM r""")
 def _(t: Tables):
-    s = T.ocr_signals(F.col("text"), F.greatest(F.lit(1), F.floor(F.col("n_chars") / 1800)), F.lit(1.0))
-    rows = t.documents.select("doc_id", s.alias("s"))
-    return rows.select("doc_id", "s.palabras", "s.palabras_pagina", "s.idioma", "s.diacriticos", F.array_join(T.ocr_suspicions(F.col("s")), ",").alias("avisos"))
+    return _signals(t).select("doc_id", "s.palabras", "s.palabras_pagina", "s.idioma", "s.diacriticos", F.array_join(T.ocr_suspicions(F.col("s")), ",").alias("avisos"))
 
 
 @query("txt_17_phenomenon", "SELECT o_orderkey, CASE WHEN o_orderkey BETWEEN 1 AND 16 THEN 1 WHEN o_orderkey BETWEEN 17 AND 32 THEN 2 WHEN o_orderkey BETWEEN 33 AND 50 THEN 3 END::BIGINT AS fenomeno FROM orders")
@@ -151,6 +162,15 @@ def _(t: Tables):
 # chunking
 
 
+@query("chk_01_sentences", r"""
+WITH p AS (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '([.!?…])[ \t\n\x0B\f\r]+(\S)', '\1' || chr(10) || '\2', 'g'), '\n+') AS ps FROM documents),
+s AS (SELECT doc_id, list_filter(list_transform(ps, lambda x: trim(x)), lambda x: x <> '') AS s FROM p)
+SELECT doc_id, len(s)::BIGINT AS n, md5(array_to_string(s, chr(10))) AS oraciones FROM s""")
+def _(t: Tables):
+    rows = t.documents.select("doc_id", T.sentences(F.col("text")).alias("s"))
+    return rows.select("doc_id", F.size("s").alias("n"), F.md5(F.array_join("s", "\n")).alias("oraciones"))
+
+
 @query("chk_03_pack", """
 WITH RECURSIVE u AS (
   SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k, s, len(list_filter(regexp_split_to_array(s, '\\s+'), lambda w: w <> ''))::BIGINT AS n FROM (

@@ -31,10 +31,9 @@ def query(name: str, sql: str | None = None):
 class Tables:
     """The test tables, and the retrieval tables that are made of them."""
 
-    _stored: dict = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._ranked: DataFrame | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -72,13 +71,12 @@ class Tables:
         return rows.select(F.floor(F.col("vec_id") / 100).cast("long").alias("query_id"), (F.pmod("label", F.lit(3)) + 1).cast("long").alias("fenomeno"), F.col("label").cast("long").alias("label"))
 
     def rankings(self) -> DataFrame:
-        """The 50 best of both indices for each query; searched once per session and table."""
+        """The 50 best of both indices for each query; searched once for each query that is run."""
         from tidemark.operators.search import search_all
 
-        key = (self.spark.sparkContext.applicationId, self.dir)
-        if key not in Tables._stored:
-            Tables._stored[key] = search_all(self.indices(), self.query_vectors(), 50).persist()
-        return Tables._stored[key]
+        if self._ranked is None:
+            self._ranked = search_all(self.indices(), self.query_vectors(), 50).persist()
+        return self._ranked
 
     def named(self) -> DataFrame:
         return self.rankings().join(self.chunks(), "chunk_id")

@@ -25,6 +25,11 @@ def _(t: Tables):
     return search.parity(a, a.withColumn("vector", search.unit(F.col("vector"))))
 
 
+@query("vec_10_search_all", BASE + "SELECT query_id, encoder, enc_ord, rank, chunk_id, round(sim, 6) AS sim FROM rankings WHERE rank <= 20")
+def _(t: Tables):
+    return search.search_all(t.indices(), t.query_vectors(), 20).withColumn("sim", F.round("sim", 6))
+
+
 @query("vec_07_fetch", "SELECT vec_id + 1 AS ord, vec_id AS chunk_id, round(list_sum(embedding::DOUBLE[]), 5) AS total FROM embeddings")
 def _(t: Tables):
     wanted = t.embeddings.select((F.col("vec_id") + 1).alias("ord"), F.col("vec_id").alias("chunk_id"))
@@ -254,6 +259,12 @@ def _scored(t: Tables, **options):
     return evaluation.evaluate(frags.withColumnRenamed("pos", "rank"), docs, t.qrels(), t.relevant())
 
 
+@query("evl_01_dcg", BASE + "SELECT query_id, encoder, round(sum(coalesce(grade, 0) / log2(rank + 1)), 6)::DOUBLE AS dcg FROM rankings LEFT JOIN qrels USING (query_id, chunk_id) WHERE rank <= 10 GROUP BY 1, 2")
+def _(t: Tables):
+    rows = t.rankings().filter("rank <= 10").join(t.qrels().select("query_id", "chunk_id", "grade"), ["query_id", "chunk_id"], "left")
+    return rows.groupBy("query_id", "encoder").agg(F.round(evaluation.dcg(F.coalesce("grade", F.lit(0.0)), F.col("rank")), 6).alias("dcg"))
+
+
 @query("evl_02_ndcg", _METRICS + "SELECT query_id, round(ndcg, 6) AS ndcg FROM ndcg")
 def _(t: Tables):
     frags, _ = fusion.reorder(t.rankings(), t.chunks(), t.queries())
