@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tidemark.llm.decontamination import found_by_hand
 from tidemark.llm.near_dedup import near_duplicates_by_hand
 from tidemark.llm.packing import default_vocabulary
 
@@ -83,7 +84,12 @@ def test_near_stage(spark, folder):
 def test_decontamination_stage(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     left = {r.doc_id for r in corpus_pipeline.decontaminated(spark, docs, folder).collect()}
-    assert {r.doc_id for r in docs.collect()} - left == {51, 93}
+    rows = docs.collect()
+    assert {r.doc_id for r in rows} - left == {51, 93}
+    items = [r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    for r in rows[::3] + [r for r in rows if r.doc_id in (51, 93)]:
+        if len(r.text or "") < 2000:
+            assert any(found_by_hand(r.text, i) for i in items) == (r.doc_id in (51, 93))
 
 
 def test_run(spark, folder):
@@ -91,6 +97,12 @@ def test_run(spark, folder):
 
     rows = corpus_pipeline.run(spark, folder).collect()
     assert rows and all(r.length <= 4096 for r in rows)
+    spans = {}
+    for r in rows:
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in spans.values():
+        pieces.sort()
+        assert [o for o, _ in pieces] == [sum(n for _, n in pieces[:k]) for k in range(len(pieces))] and sum(n for _, n in pieces) <= 4096
     assert not {51, 93, 161, 165} & {r.doc_id for r in rows}
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     n = len(Tokenizer.from_file(default_vocabulary()).encode(text[169], add_special_tokens=False).ids) + 1

@@ -508,10 +508,10 @@ def second_look(found: Found, labels: DataFrame, reps: DataFrame, texts: DataFra
     def meet(table: DataFrame) -> DataFrame:
         return table.repartition(tasks, "gid", "u", "v").sortWithinPartitions("gid", "u", "v")
 
-    signed = _blocks(rows, ["role", "id", "label", "n"]).join(reps.select("id", "signature"), "id").select("gid", "u", "v", "role", "id", "label", "n", "signature")
+    signed = _blocks(rows, ["role", "id", "label", "n"]).join(reps.select("id", "signature").hint("merge"), "id").select("gid", "u", "v", "role", "id", "label", "n", "signature")
     hit = ws.save(meet(signed).mapInArrow(_meet_signatures(percent), "gid long, role int, id long").distinct(), "hit")
     full = _blocks(rows.join(hit, ["gid", "role", "id"], "left_semi"), ["role", "id", "label"])
-    full = full.join(texts, "id").select("gid", "u", "v", "role", "id", "label", "text")
+    full = full.join(texts.hint("merge"), "id").select("gid", "u", "v", "role", "id", "label", "text")
     return ws.save(meet(full).mapInArrow(_meet_sets(size, percent), "a long, b long"), "more")
 
 
