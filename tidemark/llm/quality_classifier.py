@@ -3,7 +3,8 @@
 Two logistic models over log-odds weighted features see different things: the tokens of a text, and what describes the
 page (source, language, length, layout). Both are fitted on a bounded sample of labelled rows. Over some rounds every
 document is judged by both views, and those that one is sure of count as examples of the other: their features enter the
-other's class counts, summed up by Spark over the whole table, and with them the log odds that its weights start from.
+other's class counts, summed up by Spark over the whole table, and tell the log odds of features that few or no labelled
+rows hold.
 Each view is calibrated on labelled rows that took no part in the fit, the calibrated log-odds are combined, and every
 document of the table is scored.
 """
@@ -32,7 +33,7 @@ ROUNDS = 2
 #: the labelled ones of their class.
 CONFIDENT, SHARE = 0.95, 0.3
 ACCEPT = 0.4
-_STEPS = 80
+_STEPS = 200
 
 
 _REPEATS = K.stream(31, 11)
@@ -91,8 +92,8 @@ class Rows:
         return np.bincount(self.row, weights.astype(np.float32)[self.at] * self.value, self.n) + weights[-1]
 
 
-#: Rows that a feature must occur in to count.
-LEAST_ROWS = 3
+#: Rows that a feature must occur in to count, and labelled rows from which on these alone tell its odds.
+LEAST_ROWS, ENOUGH_ROWS = 3, 10
 
 
 class Counts:
@@ -102,41 +103,41 @@ class Counts:
         self.rows, self.features = np.zeros(2), np.zeros((2, size))
 
 
-def fit(rows: Rows, y: np.ndarray, use: np.ndarray, given: Counts, steps: int = _STEPS, penalty: float = 1e-4) -> np.ndarray:
-    """Weights of the features and, last, the bias, for the rows in use with labels y and what the other view gave.
+def fit(rows: Rows, y: np.ndarray, use: np.ndarray, given: Counts, start: np.ndarray | None = None, steps: int = _STEPS, penalty: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the features and, last, the bias, for the rows in use with labels y and what the other view gave; and
+    the same before scaling, as a start for the next fit.
 
     Each feature is scaled by its smoothed log odds between the classes, which leaves little to features that don't
-    tell them apart. One common factor for all is fitted first; from there logistic regression with balanced classes
-    goes on by adaptive gradient steps, so features that no labelled row holds keep the common factor.
+    tell them apart; those that few labelled rows hold take them from the given documents too. Then logistic regression
+    with balanced classes by adaptive gradient steps. Features that no labelled row holds get the mean weight.
     """
-    rate, seen = [], np.zeros(rows.size)
+    held = [np.bincount(rows.at, (use & (y == c)).astype(float)[rows.row], rows.size) for c in (0, 1)]
+    seen = held[0] + held[1]
+    taught = seen < ENOUGH_ROWS
+    rate = []
     for c in (0, 1):
-        mine = (use & (y == c)).astype(float)
-        share = SHARE * mine.sum() / given.rows[c] if given.rows[c] else 0.0
-        held = np.bincount(rows.at, mine[rows.row], rows.size)
-        seen += held + given.features[c]
-        rate.append((held + share * given.features[c] + 1) / (mine.sum() + share * given.rows[c] + 2))
+        mine = (use & (y == c)).sum()
+        share = np.where(taught, SHARE * mine / max(1.0, given.rows[c]), 0.0)
+        rate.append((held[c] + share * given.features[c] + 1) / (mine + share * given.rows[c] + 2))
     odds = np.log(rate[1]) - np.log(rate[0])
-    odds[seen < LEAST_ROWS] = 0
+    odds[seen + np.where(taught, given.features.sum(axis=0), 0) < LEAST_ROWS] = 0
     kept = use[rows.row] & (odds[rows.at] != 0)
     at, row = rows.at[kept], rows.row[kept]
     value = rows.value[kept] * odds.astype(np.float32)[at]
     del kept
-    total = np.bincount(row, value, rows.n)
-    factor, bias = calibrate(total[use], y[use])
-    factor = max(0.0, factor)
-    w = np.append(np.full(rows.size, factor), bias)
+    w = np.zeros(rows.size + 1) if start is None else start.copy()
     moment, square = np.zeros_like(w), np.zeros_like(w)
     good, bad = (use & (y == 1)).astype(float), (use & (y == 0)).astype(float)
     share = 0.5 * good / max(1.0, good.sum()) + 0.5 * bad / max(1.0, bad.sum())
-    for t in range(1, steps + 1):
+    for t in range(1, (steps if start is None else steps // 4) + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w.astype(np.float32)[at] * value, rows.n) + w[-1], -30, 30)))
         e = share * (p - y)
-        g = np.r_[np.bincount(at, e.astype(np.float32)[row] * value, rows.size) + penalty * (w[:-1] - factor), e.sum()]
+        g = np.r_[np.bincount(at, e.astype(np.float32)[row] * value, rows.size) + penalty * w[:-1], e.sum()]
         moment, square = 0.9 * moment + 0.1 * g, 0.999 * square + 0.001 * g * g
-        w -= 0.1 * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
-    w[:-1] *= odds
-    return w
+        w -= (0.05 if start is None else 0.02) * (moment / (1 - 0.9**t)) / (np.sqrt(square / (1 - 0.999**t)) + 1e-8)
+    size = np.bincount(at, np.abs(value), rows.size)
+    w[:-1][seen == 0] = np.sum(w[:-1] * size) / max(1e-9, size.sum())
+    return np.append(w[:-1] * odds, w[-1]), w
 
 
 def calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -244,9 +245,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, source
     # copies of a text go to one side
     held, gold = table["_crc"].to_numpy() % 4 == 0, table["y"].to_numpy(float)
     views = Rows(table.pop("text"), 1 << BITS), Rows(table.pop("meta"), 1 << META_BITS)
-    given = Counts(1 << BITS), Counts(1 << META_BITS)
+    given, start = (Counts(1 << BITS), Counts(1 << META_BITS)), (None, None)
     for r in range(rounds + 1):
-        weights = [fit(v, gold, ~held, g) for v, g in zip(views, given)]
+        weights, start = zip(*(fit(v, gold, ~held, g, s) for v, g, s in zip(views, given, start)))
         curves = [calibrate(v.dot(w)[held], gold[held]) for v, w in zip(views, weights)]
         model = Model(*weights, *curves)
         if r == rounds:
