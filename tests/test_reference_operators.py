@@ -474,3 +474,18 @@ def test_similar_keys_in_blocks(spark, monkeypatch):
     assert {(r.a, r.b) for r in graph.similar_keys(df, 0.6, None).collect()} == want
     few = {(i, j) for i, j in want if j in [k for k in np.argsort(-sims[i]) if k != i][:2]}
     assert {(r.a, r.b) for r in graph.similar_keys(df, 0.6, 3).collect()} == few
+
+
+def test_overlaps_by_rare_grams(spark):
+    """The same pairs as by all n-grams, with one n-gram that all bags hold."""
+    from tidemark.operators import matching
+
+    rng = random.Random(4)
+    said = lambda: "a common line of words " + " ".join(f"w{rng.randrange(12)}" for _ in range(rng.randrange(0, 25)))
+    a = spark.createDataFrame([(k, said()) for k in range(60)] + [(60, ""), (61, "one two")], "x long, t string")
+    b = spark.createDataFrame([(k, said()) for k in range(30)] + [(30, "one two"), (31, "a common line of words")], "y long, t string")
+    a, b = matching.bags(a, "x", "t", n=3), matching.bags(b, "y", "t", n=3)
+    every = {(r.x, r.y): r.overlap for r in matching.overlaps(a, b, "x", "y").collect()}
+    for least in (0.2, 0.55, 1.0):
+        got = {(r.x, r.y): r.overlap for r in matching.overlaps(a, b, "x", "y", least).collect()}
+        assert got == {k: v for k, v in every.items() if v >= least}

@@ -666,9 +666,7 @@ def _(t: Tables):
 
 @query("src_35_first_encoder", BASE + "SELECT DISTINCT chunk_id, doc_id, fuente FROM rankings JOIN chunks USING (chunk_id) WHERE encoder = 'a'")
 def _(t: Tables):
-    rows = t.named()
-    first = rows.agg(F.min("encoder").alias("encoder"))
-    return rows.join(F.broadcast(first), "encoder").select("chunk_id", "doc_id", "fuente").distinct()
+    return readers.first_encoder(t.named(), "doc_id", "fuente")
 
 
 @query("src_37_count", "SELECT count(*) AS n FROM documents")

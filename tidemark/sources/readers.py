@@ -231,6 +231,12 @@ def encoders_of(rankings: DataFrame) -> DataFrame:
     return rankings.select("encoder").distinct().orderBy("encoder")
 
 
+def first_encoder(rows: DataFrame, *columns: str) -> DataFrame:
+    """The columns of chunks as the index that sorts first has them: rows has encoder and chunk_id."""
+    first = rows.agg(F.min("encoder").alias("encoder"))  # one row
+    return rows.join(F.broadcast(first), "encoder").select("chunk_id", *columns).distinct()
+
+
 def source_of_documents(chunks: DataFrame, last: bool = False) -> DataFrame:
     """(doc_id, fuente): the source of a document's first chunk (or last)."""
     pick = F.max_by if last else F.min_by
