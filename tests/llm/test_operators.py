@@ -76,6 +76,29 @@ def test_hashes_of_twins(spark):
     assert {r.doc_id: r.component_id for r in near_duplicates(docs(spark, texts), size=4).collect()}[4] == 4
 
 
+def test_text_longer_than_a_slice(spark):
+    """A text of over a megabyte is taken whole by every operator that works in slices."""
+    rng = random.Random(14)
+    long = words(rng, 220_000, 50_000)
+    item = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(16))
+    texts = [" ".join(long), " ".join(long[:110_000] + ["changed"] + long[110_000:]), item, " ".join([*long[-40:], "tail"])]
+    texts[0] += " " + item.upper()
+    assert len(texts[0]) > K.SLICE_BYTES
+    df = docs(spark, texts)
+    near = by_id(near_duplicates(df, size=4))
+    for k, want in near_duplicates_by_hand(list(enumerate(texts)), 4).items():
+        assert (near[k].n_shingles, near[k].component_id, near[k].kept) == want
+    kept = {r.doc_id: r for r in remove_repeats(df).withColumn("sha", F.sha2("kept_text", 256)).collect()}
+    for k, want in enumerate(remove_repeats_by_hand(texts)):
+        assert (kept[k].n_words, kept[k].n_removed, kept[k].sha) == want
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    assert {r.doc_id: (r.start, r.stop) for r in leaks(df, bench).collect()}[0] == (len(texts[0]) - len(item), len(texts[0]))
+    judged = by_id(judge(df, spark.range(2).withColumnRenamed("id", "doc_id")))
+    assert [judged[k].n_words for k in range(4)] == [len(t.split()) for t in texts]
+    assert len({r.lang_pred for r in identify(df).collect()} - {"en", "fr"}) == 0
+    assert sum(r.length for r in pack(df, default_vocabulary()).collect() if r.doc_id == 0) == 1 + len(WordTokens(default_vocabulary()).tokenizer.encode(texts[0], add_special_tokens=False).ids)
+
+
 def test_shard_law(spark):
     texts = corpus()
     rows = shard(docs(spark, texts), shards=8).collect()
