@@ -1,4 +1,4 @@
 """Named plans over the test tables."""
 
-from tidemark.plans import corpus, retrieval  # noqa: F401
+from tidemark.plans import corpus, more, retrieval  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES  # noqa: F401
