@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
 from tidemark.operators import chunking, graph, matching, sampling
-from tidemark.plans.registry import BASE, Tables, query
+from tidemark.plans.registry import BASE, Tables, query, sentence_list
 from tidemark.sources import readers, sinks
 
 # text
@@ -162,10 +162,7 @@ def _(t: Tables):
 # chunking
 
 
-@query("chk_01_sentences", r"""
-WITH p AS (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '([.!?…])[ \t\n\x0B\f\r]+(\S)', '\1' || chr(10) || '\2', 'g'), '\n+') AS ps FROM documents),
-s AS (SELECT doc_id, list_filter(list_transform(ps, lambda x: trim(x)), lambda x: x <> '') AS s FROM p)
-SELECT doc_id, len(s)::BIGINT AS n, md5(array_to_string(s, chr(10))) AS oraciones FROM s""")
+@query("chk_01_sentences", f"SELECT doc_id, len(s)::BIGINT AS n, md5(array_to_string(s, chr(10))) AS oraciones FROM (SELECT doc_id, {sentence_list('text')} AS s FROM documents)")
 def _(t: Tables):
     rows = t.documents.select("doc_id", T.sentences(F.col("text")).alias("s"))
     return rows.select("doc_id", F.size("s").alias("n"), F.md5(F.array_join("s", "\n")).alias("oraciones"))
@@ -272,7 +269,16 @@ def _sections(t: Tables):
     return rows.select("conv_id", F.col("_s")["s"].alias("secciones"))
 
 
-@query("chk_10_align_sections")
+@query("chk_10_align_sections", f"""
+WITH RECURSIVE s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k, 't' || turn AS titulo, text FROM conversations),
+f AS (
+  SELECT conv_id, 0::BIGINT AS k, '' AS titulo, '' AS kept, '' AS carry FROM s WHERE k = 1
+  UNION ALL
+  SELECT conv_id, k, titulo, CASE WHEN o THEN array_to_string(ls[1:len(ls) - 1], ' ') ELSE t END, CASE WHEN o THEN ls[len(ls)] ELSE '' END
+  FROM (SELECT *, len(ls) > 0 AND NOT regexp_matches(t, '[.!?:…”"»)]\\s*$') AS o FROM (
+    SELECT conv_id, k, titulo, t, {sentence_list('t')} AS ls FROM (SELECT s.conv_id, s.k, s.titulo, trim(f.carry || ' ' || s.text) AS t FROM f JOIN s ON s.conv_id = f.conv_id AND s.k = f.k + 1)))
+), whole AS (SELECT conv_id, k, titulo, CASE WHEN carry <> '' AND k = max(k) OVER (PARTITION BY conv_id) THEN trim(kept || ' ' || carry) ELSE kept END AS texto FROM f WHERE k > 0)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY k) - 1 AS n, titulo, texto FROM whole WHERE texto <> ''""")
 def _(t: Tables):
     rows = _sections(t).select("conv_id", F.posexplode(chunking.align_sections(F.col("secciones"))).alias("n", "s"))
     return rows.select("conv_id", "n", "s.titulo", "s.texto")

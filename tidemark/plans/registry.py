@@ -172,3 +172,9 @@ documents3 AS (
 
 
 TOP2 = "list_sum(s[1:2]) / len(s[1:2])"
+
+
+def sentence_list(text: str) -> str:
+    """SQL of the sentences of a text."""
+    split = rf"regexp_split_to_array(regexp_replace({text}, '([.!?…])[ \t\n\x0B\f\r]+(\S)', '\1' || chr(10) || '\2', 'g'), '\n+')"
+    return f"list_filter(list_transform({split}, lambda x: trim(x)), lambda x: x <> '')"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import stats
 from tidemark.functions import text as T
 from tidemark.operators import evaluation, experiments, fusion, output, search
-from tidemark.plans.registry import BASE, CONVEX, DISTINCT_TEXT, RRF, TOP2, Tables, fused, pooled, query, spread
+from tidemark.plans.registry import BASE, CONVEX, DISTINCT_TEXT, RRF, TOP2, Tables, fused, pooled, query, spread, sentence_list
 
 # search
 
@@ -193,7 +193,13 @@ def _(t: Tables):
     return t.chunks().select("chunk_id", T.truncate_words(F.col("texto"), 250).alias("text"))
 
 
-@query("chk_19_pieces")
+@query("chk_19_pieces", BASE.replace("WITH", "WITH RECURSIVE", 1) + f""", l AS (SELECT chunk_id, {sentence_list('texto')} AS ls FROM chunks WHERE texto IS NOT NULL),
+s AS (SELECT chunk_id, unnest(ls) AS s, generate_subscripts(ls, 1) AS i FROM l), w AS (SELECT chunk_id, i, list_filter(regexp_split_to_array(s, '\\s+'), lambda w: w <> '') AS w FROM s),
+p AS (SELECT chunk_id, i, w, unnest(range(0, greatest((len(w) - 1) // 250, 0) + 1)) AS k FROM w),
+u AS (SELECT chunk_id, array_to_string(w[k * 250 + 1:k * 250 + 250], ' ') AS t, len(w[k * 250 + 1:k * 250 + 250]) AS n, row_number() OVER (PARTITION BY chunk_id ORDER BY i, k) AS r FROM p),
+f AS (SELECT chunk_id, r, n AS total, 0::BIGINT AS c FROM u WHERE r = 1
+  UNION ALL SELECT u.chunk_id, u.r, CASE WHEN f.total + u.n <= 250 THEN f.total + u.n ELSE u.n END, CASE WHEN f.total + u.n <= 250 THEN f.c ELSE f.c + 1 END FROM f JOIN u ON u.chunk_id = f.chunk_id AND u.r = f.r + 1)
+SELECT f.chunk_id, c AS piece, string_agg(t, ' ' ORDER BY f.r) AS text FROM f JOIN u USING (chunk_id, r) GROUP BY 1, 2""")
 def _(t: Tables):
     return t.chunks().select("chunk_id", F.posexplode(output.pieces(F.col("texto"))).alias("piece", "text"))
 
