@@ -193,22 +193,27 @@ def _(t: Tables):
     return t.chunks().select("chunk_id", T.truncate_words(F.col("texto"), 250).alias("text"))
 
 
-@query("chk_19_pieces", BASE.replace("WITH", "WITH RECURSIVE", 1) + f""", l AS (SELECT chunk_id, {sentence_list('texto')} AS ls FROM chunks WHERE texto IS NOT NULL),
+_PIECES = f""", l AS (SELECT chunk_id, {sentence_list('texto')} AS ls FROM chunks WHERE texto IS NOT NULL),
 s AS (SELECT chunk_id, unnest(ls) AS s, generate_subscripts(ls, 1) AS i FROM l), w AS (SELECT chunk_id, i, list_filter(regexp_split_to_array(s, '\\s+'), lambda w: w <> '') AS w FROM s),
 p AS (SELECT chunk_id, i, w, unnest(range(0, greatest((len(w) - 1) // 250, 0) + 1)) AS k FROM w),
 u AS (SELECT chunk_id, array_to_string(w[k * 250 + 1:k * 250 + 250], ' ') AS t, len(w[k * 250 + 1:k * 250 + 250]) AS n, row_number() OVER (PARTITION BY chunk_id ORDER BY i, k) AS r FROM p),
 f AS (SELECT chunk_id, r, n AS total, 0::BIGINT AS c FROM u WHERE r = 1
   UNION ALL SELECT u.chunk_id, u.r, CASE WHEN f.total + u.n <= 250 THEN f.total + u.n ELSE u.n END, CASE WHEN f.total + u.n <= 250 THEN f.c ELSE f.c + 1 END FROM f JOIN u ON u.chunk_id = f.chunk_id AND u.r = f.r + 1)
-SELECT f.chunk_id, c AS piece, string_agg(t, ' ' ORDER BY f.r) AS text FROM f JOIN u USING (chunk_id, r) GROUP BY 1, 2""")
+"""
+
+
+@query("chk_19_pieces", BASE.replace("WITH", "WITH RECURSIVE", 1) + _PIECES + "SELECT f.chunk_id, c AS piece, string_agg(t, ' ' ORDER BY f.r) AS text FROM f JOIN u USING (chunk_id, r) GROUP BY 1, 2")
 def _(t: Tables):
     return t.chunks().select("chunk_id", F.posexplode(output.pieces(F.col("texto"))).alias("piece", "text"))
 
 
-_EMITTED = BASE + RRF + DISTINCT_TEXT + spread(30) + _TRUNCATED + """
+_GIVEN = """
 , given AS (SELECT c.query_id, c.chunk_id, c.doc_id, c.pos, t.text, row_number() OVER (PARTITION BY c.query_id, c.doc_id ORDER BY c.pos) > 3 AS late2
   FROM chosen c JOIN truncated t USING (chunk_id)),
 emitted AS (SELECT query_id, rank, chunk_id, doc_id, text FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY late2, pos) AS rank FROM given) WHERE rank <= 10)
 """
+_EMITTED = BASE + RRF + DISTINCT_TEXT + spread(30) + _TRUNCATED + _GIVEN
+_FIRST = ", truncated AS (SELECT f.chunk_id, string_agg(t, ' ' ORDER BY f.r) AS text FROM f JOIN u USING (chunk_id, r) WHERE c = 0 GROUP BY 1)"
 
 
 @query("out_01_fragments", _EMITTED + "SELECT * FROM emitted")
@@ -470,7 +475,7 @@ def _(t: Tables):
     return fusion.retrieve(t.indices(), t.query_vectors(), t.chunks(), t.queries(), 50)[1].select("query_id", "rank", "doc_id", "fuente")
 
 
-@query("out_04_first_piece")
+@query("out_04_first_piece", (BASE + RRF + DISTINCT_TEXT + spread(30) + _PIECES + _FIRST + _GIVEN).replace("WITH", "WITH RECURSIVE", 1) + "SELECT * FROM emitted")
 def _(t: Tables):
     return output.emit_fragments(fusion.reorder(t.rankings(), t.chunks(), t.queries())[0], first_piece=True)
 
