@@ -480,11 +480,25 @@ def _(t: Tables):
     return output.emit_fragments(fusion.reorder(t.rankings(), t.chunks(), t.queries())[0], first_piece=True)
 
 
-@query("evl_05_by_text")
+_FOLDED = "list_filter(string_split(trim(regexp_replace(regexp_replace(strip_accents(lower({0})), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')), ' '), lambda w: w <> '')"
+
+
+@query("evl_05_by_text", _METRICS + _TRUNCATED + _GIVEN + f"""
+, judged AS (SELECT q.query_id, q.chunk_id AS id, q.grade, c.texto FROM qrels q JOIN chunks c USING (chunk_id) WHERE c.texto IS NOT NULL),
+tok AS (SELECT 'd' AS k, query_id, chunk_id AS id, {_FOLDED.format("any_value(text)")} AS t FROM emitted GROUP BY 2, 3 UNION ALL SELECT 'b', query_id, id, {_FOLDED.format("texto")} FROM judged),
+bag AS (SELECT k, query_id, id, CASE WHEN len(t) = 0 THEN [] WHEN len(t) < 5 THEN [array_to_string(t, ' ')] ELSE list_distinct(list_transform(range(1, len(t) - 3), lambda i: array_to_string(t[i:i + 4], ' '))) END AS g FROM tok),
+gram AS (SELECT k, query_id, id, len(g) AS n, md5(unnest(g)) AS h FROM bag),
+near AS (SELECT a.query_id, a.id AS chunk_id, b.id FROM gram a JOIN gram b ON a.k = 'd' AND b.k = 'b' AND a.query_id = b.query_id AND a.h = b.h
+  GROUP BY 1, 2, 3 HAVING round(greatest(count(*) / any_value(a.n)::DOUBLE, count(*) / any_value(b.n)::DOUBLE), 6) >= 0.55),
+graded AS (SELECT n.query_id, n.chunk_id, max(j.grade) AS grade FROM near n JOIN judged j ON j.query_id = n.query_id AND j.id = n.id GROUP BY 1, 2),
+got AS (SELECT e.query_id, sum(coalesce(g.grade, 0) / log2(e.rank + 1)) AS dcg FROM emitted e LEFT JOIN graded g ON g.query_id = e.query_id AND g.chunk_id = e.chunk_id WHERE e.rank <= 10 GROUP BY 1),
+best AS (SELECT query_id, sum(grade / log2(r + 1)) AS ideal FROM (SELECT query_id, grade, row_number() OVER (PARTITION BY query_id ORDER BY grade DESC) AS r FROM judged) WHERE r <= 10 GROUP BY 1)
+SELECT query_id, round(coalesce(dcg / nullif(best.ideal, 0), 0), 6)::DOUBLE AS ndcg, round(f1, 6)::DOUBLE AS f1 FROM got JOIN best USING (query_id) JOIN f1 USING (query_id)""")
 def _(t: Tables):
     frags, docs = fusion.reorder(t.rankings(), t.chunks(), t.queries())
     judged = t.qrels().join(t.chunks().select("chunk_id", "texto"), "chunk_id").withColumnRenamed("chunk_id", "judged_id")
-    return evaluation.evaluate_by_text(output.emit_fragments(frags), docs, judged.select("query_id", "judged_id", "grade", "texto"), t.relevant())
+    out = evaluation.evaluate_by_text(output.emit_fragments(frags), docs, judged.select("query_id", "judged_id", "grade", "texto"), t.relevant())
+    return out.select("query_id", F.round("ndcg", 6).alias("ndcg"), F.round("f1", 6).alias("f1"))
 
 
 @query("exp_04_recipe_plan", "SELECT unnest(['entrega', 'convexa', 'granular']) AS receta, unnest([504, 504, 256])::BIGINT AS chunk, unnest([0.15, 0.15, 0.0])::DOUBLE AS solape")
