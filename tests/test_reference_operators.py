@@ -379,10 +379,10 @@ def test_csv_with_quotes_and_encodings(spark, tmp_path):
 
     (tmp_path / "u.csv").write_bytes("\ufeffa,b\n1,\"x\ny\"\n,\n2, ñ \n".encode())
     (tmp_path / "l.csv").write_bytes("a,b\n1,año\n".encode("latin-1"))
-    assert sorted(r.texto for r in readers.csv_blocks(spark, str(tmp_path / "u.csv")).collect()) == ["a: 1 | b: x\ny", "a: 2 | b: ñ"]
+    assert sorted(r.texto for r in readers.csv_blocks(spark, str(tmp_path / "u.csv")).collect()) == ["a: 1 | b: x\ny", "a: 2 | b:  ñ "]
     raw = spark.createDataFrame([(p.name, p.read_bytes()) for p in tmp_path.iterdir()], "fuente string, content binary")
     got = {r.fuente: r.texto for r in readers.dispatch(raw).collect()}
-    assert got == {"u.csv": "a: 1 | b: x\ny\n\na: 2 | b: ñ", "l.csv": "a: 1 | b: año"}
+    assert got == {"u.csv": "a: 1 | b: x\ny\n\na: 2 | b:  ñ ", "l.csv": "a: 1 | b: año"}
 
 
 def test_preflights():
@@ -489,3 +489,60 @@ def test_overlaps_by_rare_grams(spark):
     for least in (0.2, 0.55, 1.0):
         got = {(r.x, r.y): r.overlap for r in matching.overlaps(a, b, "x", "y", least).collect()}
         assert got == {k: v for k, v in every.items() if v >= least}
+
+
+def workbook(sheets):
+    """A small xlsx file: sheets of rows of cells, written as XML."""
+    import io
+    import zipfile
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        names = "".join(f'<sheet name="{n}" sheetId="{k}" r:id="r{k}"/>' for k, n in enumerate(sheets, 1))
+        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>{names}</sheets></workbook>')
+        links = "".join(f'<Relationship Id="r{k}" Target="worksheets/s{k}.xml"/>' for k in range(1, len(sheets) + 1))
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{links}</Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>nombre</t></si><si><r><t>Ana </t></r><r><t>Ruiz</t></r></si></sst>")
+        z.writestr("xl/styles.xml", f'<styleSheet {main}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>')
+        for k, rows in enumerate(sheets.values(), 1):
+            z.writestr(f"xl/worksheets/s{k}.xml", f"<worksheet {main}><sheetData>{rows}</sheetData></worksheet>")
+    return out.getvalue()
+
+
+def test_spreadsheets(spark):
+    from tidemark.sources.binary import xlsx_text
+
+    one = (
+        '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="inlineStr"><is><t>edad</t></is></c><c r="D1" t="str"><v>alta</v></c></row>'
+        '<row r="3"><c r="A3" t="s"><v>1</v></c><c r="B3"><v>41</v></c><c r="C3"><v>2.5</v></c><c r="D3" s="1"><v>45000</v></c></row><row r="4"><c r="B4" t="b"><v>1</v></c></row>'
+    )
+    data = workbook({"Uno": one, "Vacia": "", "Dos": '<row><c t="str"><v>x</v></c></row><row><c><v>7</v></c></row>'})
+    text = "Hoja: Uno\n\nnombre: Ana Ruiz | edad: 41 | : 2.5 | alta: 2023-03-15 00:00:00\n\nedad: True\n\nHoja: Dos\n\nx: 7"
+    assert xlsx_text(data) == text
+    files = spark.createDataFrame([("a.XLSX", data), ("b.xlsx", b"broken"), ("c.pdf", b"%PDF")], "fuente string, content binary")
+    got = {r.fuente: r for r in readers.dispatch(files).collect()}
+    assert got["a.XLSX"].texto == text and got["a.XLSX"].error is None
+    assert got["b.xlsx"].error.startswith("unreadable xlsx") and got["c.pdf"].error == "no reader for pdf"
+
+
+def test_vector_tiles():
+    import struct
+
+    from tidemark.sources.binary import tile_text
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    field = lambda k, data: varint(k << 3 | 2) + varint(len(data)) + data
+    number = lambda k, n: varint(k << 3) + varint(n)
+    values = [field(1, "Río".encode()), number(4, (1 << 64) - 5), number(6, 5), number(7, 1), varint(3 << 3 | 1) + struct.pack("<d", 2.5), field(1, b"NULL"), field(1, b" "), number(5, 300)]
+    feature = lambda *tags: field(2, number(1, 9) + field(2, b"".join(map(varint, tags))) + number(3, 1) + field(4, b"\x09\x02\x02"))
+    layer = field(1, b"agua") + feature(0, 0, 1, 1, 2, 2) + feature(0, 5, 1, 6) + feature(0, 3, 1, 4, 2, 7) + feature(0, 0, 1, 1, 2, 2)
+    layer += b"".join(field(3, k) for k in (b"a", b"b", b"c")) + b"".join(field(4, v) for v in values) + number(5, 4096) + number(15, 2)
+    assert tile_text(field(3, layer)) == "agua | a: Río | b: -5 | c: -3\nagua | a: True | b: 2.5 | c: 300"
+    with pytest.raises((ValueError, IndexError)):
+        tile_text(field(3, layer)[:-3])

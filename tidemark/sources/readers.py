@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tidemark import config
 from tidemark.functions.text import row_text, strip
+from tidemark.sources.binary import row_line, tile_text, xlsx_text
 
 # Keys of an article's body, in order, and of its metadata.
 BODY_KEYS = ["body_paragraphs", "body_text", "sections", "content", "texto", "abstract"]
@@ -86,8 +87,7 @@ def json_document(text: pd.Series) -> pd.DataFrame:
 def csv_rows(text: str) -> list[str]:
     """A block per row of CSV text with a header, like row_text(); quoted cells may hold line ends."""
     rows = list(csv.reader(io.StringIO(text)))
-    blocks = (" | ".join(f"{name}: {cell.strip()}" for name, cell in zip(rows[0], row) if cell.strip()) for row in rows[1:])
-    return [b for b in blocks if b]
+    return [b for b in (row_line(rows[0], row) for row in rows[1:]) if b]
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -128,17 +128,34 @@ def image_document(df: DataFrame) -> DataFrame:
     return df.withColumns({"texto": F.lit(""), "necesita_ocr": F.lit(True)})
 
 
+@F.pandas_udf(T.StructType([T.StructField("texto", T.StringType()), T.StructField("error", T.StringType())]))
+def _binary_text(kind: pd.Series, content: pd.Series) -> pd.DataFrame:
+    readers = {"xlsx": xlsx_text, "pbf": tile_text}
+
+    def one(k, c):
+        if k not in readers or c is None:
+            return None, None
+        try:
+            return readers[k](bytes(c)), None
+        except Exception as e:  # whatever a broken file does is its error
+            return None, f"unreadable {k}: {e}"
+
+    return pd.DataFrame([one(k, c) for k, c in zip(kind, content)], columns=["texto", "error"])
+
+
 def dispatch(files: DataFrame) -> DataFrame:
     """files (fuente, content) to (fuente, formato, texto, necesita_ocr, error): by extension; errors are values."""
     fmt = F.lower(F.regexp_extract("fuente", r"\.([^.]+)$", 1))
-    rows = files.withColumns({"formato": fmt, "_t": decoded(F.col("content"))})
+    rows = files.withColumns({"formato": fmt, "_t": decoded(F.col("content"))}).withColumn("_b", _binary_text("formato", "content"))
     text = (
         F.when(F.col("formato") == "txt", F.col("_t"))
         .when(F.col("formato") == "csv", F.array_join(csv_texts(F.when(F.col("formato") == "csv", F.col("_t"))), "\n\n"))
         .when((F.col("formato") == "json") & F.try_parse_json("_t").isNotNull(), json_document(F.when((F.col("formato") == "json") & F.try_parse_json("_t").isNotNull(), F.col("_t")))["texto"])
+        .when(F.col("formato").isin("xlsx", "pbf"), F.col("_b.texto"))
         .when(F.col("formato").isin("png", "jpg", "jpeg", "tif", "tiff"), "")
     )
-    error = F.when((F.col("formato") == "json") & F.try_parse_json("_t").isNull(), "invalid json").when(text.isNull(), F.concat(F.lit("no reader for "), "formato"))
+    error = F.when((F.col("formato") == "json") & F.try_parse_json("_t").isNull(), "invalid json").when(F.col("_b.error").isNotNull(), F.col("_b.error"))
+    error = error.when(text.isNull(), F.concat(F.lit("no reader for "), "formato"))
     rows = rows.withColumns({"texto": text, "error": error})
     return rows.select("fuente", "formato", "texto", (F.col("error").isNull() & needs_ocr(F.col("texto"))).alias("necesita_ocr"), "error")
 
@@ -148,7 +165,7 @@ class NotHere(RuntimeError):
 
 
 def binary_reader(kind: str):
-    """Readers of pdf, xlsx, pbf and OCR engines: pass a function from bytes to text to extract_with() instead."""
+    """Readers of pdf and OCR engines: pass a function from bytes to text to extract_with() instead."""
     raise NotHere(f"{kind} needs a library that isn't installed; give extract_with() a function of your own")
 
 
