@@ -598,7 +598,7 @@ def _(t: Tables):
     return t.events.select("event_id", readers.flatten_json("props").alias("texto"))
 
 
-@query("src_05_json_document")
+@query("src_05_json_document", "SELECT page_id, 'articulo' AS clase, array_to_string(list_filter([url, CASE WHEN coalesce(html, '') = '' THEN 'fin' ELSE html || chr(10) || 'fin' END], lambda x: coalesce(x, '') <> ''), chr(10) || chr(10)) AS texto FROM pages")
 def _(t: Tables):
     body = F.to_json(F.struct(F.col("url").alias("title"), F.array(F.col("html"), F.lit("fin")).alias("content")))
     return t.pages.select("page_id", readers.json_document(body).alias("d")).select("page_id", "d.clase", "d.texto")

@@ -43,13 +43,13 @@ dims AS (SELECT query_id, unnest(va) AS x, generate_subscripts(va, 1) AS i FROM
 means AS (SELECT query_id, i, avg(x) AS m FROM dims GROUP BY 1, 2),
 qdims AS (SELECT chunk_id // 100 AS query_id, unnest(va) AS x, generate_subscripts(va, 1) AS i FROM chunks WHERE chunk_id % 100 = 0),
 moved AS (SELECT query_id, list(x + 0.3 * m ORDER BY i) AS v FROM qdims JOIN means USING (query_id, i) GROUP BY 1),
-again AS (SELECT m.query_id, c.chunk_id, round(list_dot_product(c.va, m.v) / sqrt(list_dot_product(m.v, m.v)), 7) AS sim FROM moved m, chunks c)
-SELECT query_id, rank, chunk_id, sim FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, chunk_id) AS rank FROM again) WHERE rank <= 10""")
+again AS (SELECT m.query_id, c.chunk_id, round(list_dot_product(c.va, m.v) / sqrt(list_dot_product(m.v, m.v)), 9) AS sim FROM moved m, chunks c)
+SELECT query_id, rank, chunk_id, round(sim, 5) AS sim FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, chunk_id) AS rank FROM again) WHERE rank <= 10""")
 def _(t: Tables):
     index, queries = t.indices()["a"], t.query_vectors()["a"]
     moved = search.feedback(queries, index, t.rankings().filter("encoder = 'a'"), 5)
     found = search.top_k(index, moved, 10)
-    return found.select("query_id", "rank", "chunk_id", F.round("sim", 7).alias("sim"))
+    return found.select("query_id", "rank", "chunk_id", F.round("sim", 5).alias("sim"))
 
 
 @query("vec_11_blocks", "SELECT vec_id // 64 AS block, count(*) AS n, min(vec_id) AS first FROM embeddings GROUP BY 1")
