@@ -125,6 +125,36 @@ def test_shard_backwards(spark, n):
     assert sorted(r.p for r in rows) == list(range(n)) and all(r.back == r.id for r in rows)
 
 
+def test_shard_by_hand(spark):
+    """The permutation against one written with another library's hash."""
+    import struct
+
+    import xxhash
+
+    from tidemark.llm.sharding import ROUNDS, permute
+
+    def hashed(*longs, last=None):
+        h = 42
+        for raw in [struct.pack("<q", x) for x in longs] + ([struct.pack("<i", last)] if last is not None else []):
+            h = xxhash.xxh64_intdigest(raw, seed=h)
+        return h - (1 << 64) if h >= 1 << 63 else h
+
+    def place(x, n, seed):
+        a, b = domain(n)
+        while True:
+            left, right = x % a, x // a
+            for k in range(ROUNDS):
+                left = (left + hashed(right, seed * 1000 + k) % a) % a
+                right = (right + hashed(left, seed * 1000 + k, last=1) % b) % b
+            x = right * a + left
+            if x < n:
+                return x
+
+    for n in (5, 90, 1001):
+        rows = spark.range(n).select("id", permute(F.col("id"), n, 20).alias("p")).collect()
+        assert {r.id: r.p for r in rows} == {x: place(x, n, 20) for x in range(n)}
+
+
 def test_shard_empty_and_clashing(spark):
     df = docs(spark, ["a", None, ""]).withColumns({"shard": F.lit("x"), "slot": F.lit(1), "position": F.lit(2), "number": F.lit(3), "size": F.lit(4)})
     assert sorted(r["size"] for r in shard(df).collect()) == [1, 1, 2]
@@ -551,6 +581,33 @@ def test_one_id_on_many_rows(spark):
     assert classify(named, labels.withColumn("score", F.lit(1))).count() == df.count()
 
 
+def test_quality_rules_by_hand(spark):
+    """The verdict from counts of the words themselves."""
+    import math
+
+    rng = random.Random(21)
+    texts = [" ".join(rng.choice([f"w{k}" for k in range(25)][(j % 3) * 5 :]) for _ in range(rng.randrange(8, 60))) for j in range(150)]
+    trusted = spark.range(0, 150, 3)
+    hashed = F.xxhash64(F.col("id"))
+    held = {r.id: r.h for r in trusted.select("id", (F.pmod(F.shiftright(hashed, 20), F.lit(2)) == 0).alias("h")).collect()}
+    grams = lambda t, n: [tuple(t.split()[i : i + n]) for i in range(len(t.split()) - n + 1)]
+    score = [{}, {}]
+    least = []
+    for n in (1, 2):
+        raw = collections.Counter(g for t in texts for g in grams(t, n))
+        target = collections.Counter(g for k, t in enumerate(texts) if held.get(k) is False for g in grams(t, n))
+        share = sum(target.values()) / sum(raw.values())
+        ratio = {g: math.log((target[g] + 3) / (raw[g] * share + 3)) for g in raw}
+        score[n - 1] = {k: sum(ratio[g] for g in grams(t, n)) / math.sqrt(max(1, len(grams(t, n)))) for k, t in enumerate(texts)}
+        least.append(min(score[n - 1][k] for k, h in held.items() if h))
+    out = by_id(judge(docs(spark, texts), trusted.withColumnRenamed("id", "doc_id"), bits=20))
+    clear = [k for k in out if min(abs(score[n][k] - least[n]) for n in (0, 1)) > 1e-4]
+    assert len(clear) > 120 and 20 < sum(out[k].kept for k in clear) < len(clear)
+    for k in clear:
+        assert out[k].kept == (not out[k].base_failed and all(score[n][k] >= least[n] for n in (0, 1)))
+        assert abs(out[k].margin - min(score[n][k] - least[n] for n in (0, 1))) < 1e-3
+
+
 def test_quality_rules_edges(spark):
     df = docs(spark, ["a b c d e f g h i j k l"] * 2 + [None, ""]).withColumns({"kept": F.lit(1), "_target": F.lit(2), "_held": F.lit(3), "margin": F.lit(4)})
     rows = judge(df, spark.range(0, 2).withColumnRenamed("id", "doc_id")).collect()
@@ -595,6 +652,13 @@ def test_language_id(spark):
     assert identify(df.limit(0)).count() == 0
 
 
+def test_language_ties(spark):
+    """Two languages with the same texts: the one that sorts first."""
+    rows = [(k, "one and the same text", "bb" if k % 2 else "aa") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in identify(df).collect()} == {"aa"}
+
+
 def test_warc(spark):
     import base64
     import hashlib
