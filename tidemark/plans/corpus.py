@@ -430,11 +430,38 @@ def _(t: Tables):
     return t.customer.select("c_custkey", graph.relation_of(gap).alias("r")).select("c_custkey", "r.tipo", "r.pasiva")
 
 
-@query("gra_14_triples")
-def _(t: Tables):
+def _said(t: Tables):
+    """Two sentences of each customer, the first with two names and what lies between them."""
     verbs = F.element_at(F.array(*[F.lit(v) for v in ("opera", "regulates", "funded by", "con")]), (F.col("c_custkey") % 4 + 1).cast("int"))
     text = F.concat(F.lit("Norte "), F.col("c_nationkey"), F.lit(" "), verbs, F.lit(" Sur. Otra Cosa "), F.col("c_custkey"), F.lit("."))
-    rows = t.customer.select(F.col("c_custkey").alias("chunk_id"), F.col("c_nationkey").cast("long").alias("doc_id"), text.alias("texto"))
+    return t.customer.select(F.col("c_custkey").alias("chunk_id"), F.col("c_nationkey").cast("long").alias("doc_id"), text.alias("texto"))
+
+
+_SAID = """
+WITH v AS (SELECT c_custkey AS chunk_id, c_nationkey::BIGINT AS doc_id, c_custkey % 4 AS k, 'Norte ' || c_nationkey || ' ' || ['opera', 'regulates', 'funded by', 'con'][1 + c_custkey % 4] || ' Sur.' AS uno,
+  'Otra Cosa ' || c_custkey || '.' AS dos FROM customer)
+"""
+
+
+@query("gra_05_names", _SAID + "SELECT chunk_id, n.texto, n.inicio::BIGINT AS inicio, n.fin::BIGINT AS fin FROM (SELECT chunk_id, unnest([{'texto': 'Norte', 'inicio': 0, 'fin': 5}, {'texto': 'Sur', 'inicio': length(uno) - 4, 'fin': length(uno) - 1}, {'texto': 'Otra Cosa', 'inicio': length(uno) + 1, 'fin': length(uno) + 10}]) AS n FROM v)")
+def _(t: Tables):
+    found = _said(t).select("chunk_id", F.explode(graph.recogniser("falso")(F.col("texto"))).alias("n"))
+    return found.select("chunk_id", "n.texto", "n.inicio", "n.fin")
+
+
+@query("gra_08_mentions", _SAID + "SELECT chunk_id, doc_id, count(*) AS n FROM (SELECT chunk_id, doc_id, unnest(['Norte', 'Sur', 'Otra Cosa']) FROM v) GROUP BY 1, 2")
+def _(t: Tables):
+    return graph.mentions(_said(t)).groupBy("chunk_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("gra_12_sentence_spans", _SAID + "SELECT chunk_id, 0 AS oracion, 0 AS desde, length(uno) AS hasta FROM v UNION ALL SELECT chunk_id, 1, length(uno) + 1, length(uno) + 1 + length(dos) FROM v")
+def _(t: Tables):
+    return graph.sentence_spans(_said(t))
+
+
+@query("gra_14_triples", _SAID + "SELECT chunk_id, doc_id, CASE k WHEN 2 THEN 'sur' ELSE 'norte' END AS sujeto, ['opera', 'regula', 'financia'][k + 1] AS tipo, CASE k WHEN 2 THEN 'norte' ELSE 'sur' END AS objeto, uno AS evidencia FROM v WHERE k < 3")
+def _(t: Tables):
+    rows = _said(t)
     found = graph.mentions(rows)
     return graph.triples(found, graph.sentence_spans(rows), rows, graph.canonical(found)[1])
 
