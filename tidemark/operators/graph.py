@@ -85,9 +85,14 @@ def mentions(chunks: DataFrame, recognise=capital_names) -> DataFrame:
     return rows.join(chunks.select("chunk_id", "doc_id"), "chunk_id").select("chunk_id", "doc_id", "texto", "tipo", "inicio", "fin", "confianza")
 
 
+def with_keys(found: DataFrame) -> DataFrame:
+    """Mentions with the key of their name; each distinct name is normalised once."""
+    return found.join(found.select("texto").distinct().withColumn("clave", name_key(F.col("texto"))), "texto")
+
+
 def canonical(found: DataFrame, equal: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Entities (id, nombre, tipo, alias, df) and the map from key to id. equal: (clave, id) pairs of keys that are one."""
-    rows = found.withColumn("clave", name_key(F.col("texto"))).filter("clave <> ''")
+    rows = with_keys(found).filter("clave <> ''")
     if equal is not None:
         rows = rows.join(equal.select("clave", F.col("id").alias("_id")), "clave", "left").withColumn("id", F.coalesce("_id", "clave")).drop("_id")
     else:
@@ -163,7 +168,7 @@ def sentence_spans(chunks: DataFrame) -> DataFrame:
 
 def triples(found: DataFrame, spans: DataFrame, chunks: DataFrame, ids: DataFrame) -> DataFrame:
     """(chunk_id, doc_id, sujeto, tipo, objeto, evidencia) of neighbouring mentions in a sentence with a relation between."""
-    rows = found.withColumn("clave", name_key(F.col("texto"))).join(ids, "clave").select("chunk_id", "doc_id", "id", "inicio", "fin")
+    rows = with_keys(found).join(ids, "clave").select("chunk_id", "doc_id", "id", "inicio", "fin")
     inside = rows.join(spans, "chunk_id").filter((F.col("inicio") >= F.col("desde")) & (F.col("fin") <= F.col("hasta")))
     order = Window.partitionBy("chunk_id", "oracion").orderBy("inicio", "fin")
     nxt = inside.withColumns({"_id": F.lead("id").over(order), "_at": F.lead("inicio").over(order)}).filter("_id IS NOT NULL")
@@ -179,7 +184,7 @@ def triples(found: DataFrame, spans: DataFrame, chunks: DataFrame, ids: DataFram
 
 def build(found: DataFrame, entities: DataFrame, ids: DataFrame, found_triples: DataFrame, per_chunk: int = config.GRAPH_PER_CHUNK) -> tuple[DataFrame, DataFrame]:
     """Nodes (id, kind, nombre) and edges (src, dst, kind, tipo, n) of admitted entities, their chunks and documents."""
-    rows = found.withColumn("clave", name_key(F.col("texto"))).join(ids, "clave").join(entities.select("id"), "id", "left_semi")
+    rows = with_keys(found).join(ids, "clave").join(entities.select("id"), "id", "left_semi")
     counts = rows.groupBy("chunk_id", "doc_id", "id").agg(F.count(F.lit(1)).alias("n"))
     best = Window.partitionBy("chunk_id").orderBy(F.desc("n"), "id")
     counts = counts.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= per_chunk)
