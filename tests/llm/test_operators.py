@@ -15,7 +15,7 @@ from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.near_dedup import intersections, near_duplicates, near_duplicates_by_hand, spanning
 from tidemark.llm.packing import WordTokens, best_fit, default_vocabulary, local_search, pack
 from tidemark.llm.quality_classifier import accepted_rows, classify
-from tidemark.llm.quality_rules import judge
+from tidemark.llm.quality_rules import judge, lower_quantile
 from tidemark.llm.sharding import domain, shard
 from tidemark.llm.substring_dedup import remove_repeats, remove_repeats_by_hand
 from tidemark.llm.warc import round_trip
@@ -608,6 +608,54 @@ def test_quality_rules_by_hand(spark):
         assert abs(out[k].margin - min(score[n][k] - least[n] for n in (0, 1))) < 1e-3
 
 
+def test_quality_rules_use_all_trusted(spark):
+    """52 000 trusted documents: words that only those with the largest hashes of their ids hold count like all others."""
+    import math
+
+    n, common = 52_000, "a b c d e f g h i j k l"
+    ids = [r.id for r in spark.range(n).orderBy(F.xxhash64("id"), "id").collect()]
+    kind = {k: f"early e{k % 5}" for k in ids[:50_000]} | {k: f"late l{k % 5}" for k in ids[50_000:]}
+    kind |= {k: f"other o{k % 5}" if k % 2 else f"late l{k % 5}" for k in range(n, n + 3000)}
+    texts = {k: f"{common} {v}" for k, v in kind.items()}
+    trusted = spark.range(n).withColumnRenamed("id", "doc_id")
+    hashed = trusted.select("doc_id", (F.pmod(F.shiftright(F.xxhash64("doc_id"), 20), F.lit(2)) == 0).alias("h"))
+    held = {r.doc_id: r.h for r in hashed.collect()}
+    grams = lambda t, size: list(zip(*[t.split()[i:] for i in range(size)]))
+    score, least = [], []
+    for size in (1, 2):
+        raw, target = collections.Counter(), collections.Counter()
+        for t, count in collections.Counter(texts.values()).items():
+            raw.update({g: count for g in grams(t, size)})
+        for t, count in collections.Counter(texts[k] for k, h in held.items() if not h).items():
+            target.update({g: count for g in grams(t, size)})
+        share = sum(target.values()) / sum(raw.values())
+        ratio = {g: math.log((target[g] + 3) / (raw[g] * share + 3)) for g in raw}
+        of = {t: sum(ratio[g] for g in grams(t, size)) / math.sqrt(len(grams(t, size))) for t in set(texts.values())}
+        score.append(of)
+        least.append(min(of[texts[k]] for k, h in held.items() if h))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    out = judge(df, trusted).collect()
+    assert len(out) == len(texts)
+    assert all(abs(r.margin - min(score[k][texts[r.doc_id]] - least[k] for k in (0, 1))) < 1e-3 for r in out)
+
+
+def test_quality_rules_blocks(spark):
+    """Trusted ids in many blocks, repeated, unknown and null ones among them: as in one block."""
+    df = docs(spark, corpus()).unionByName(docs(spark, ["no id at all"]).withColumn("doc_id", F.lit(None).cast("long")))
+    trusted = spark.createDataFrame([(k,) for k in [*range(40), 3, 3, 10**6, None]], "doc_id long")
+    one = sorted((r.doc_id or -1, r.kept, r.margin) for r in judge(df, trusted).collect())
+    assert one == sorted((r.doc_id or -1, r.kept, r.margin) for r in judge(df, trusted, trusted_block=7).collect())
+    assert len(one) == df.count()
+
+
+def test_threshold_is_exact(spark):
+    """Of many scores the value of its exact rank, not that of a sketch."""
+    values = spark.range(60_000).select(F.pmod(F.xxhash64("id"), F.lit(10**12)).cast("double").alias("s")).repartition(6)
+    known = sorted(r.s for r in values.collect())
+    assert [lower_quantile(values, "s", q) for q in (0.005, 0.0, 1.0)] == [known[299], known[0], known[-1]]
+    assert lower_quantile(values.limit(0), "s", 0.005) is None
+
+
 def test_quality_rules_edges(spark):
     df = docs(spark, ["a b c d e f g h i j k l"] * 2 + [None, ""]).withColumns({"kept": F.lit(1), "_target": F.lit(2), "_held": F.lit(3), "margin": F.lit(4)})
     rows = judge(df, spark.range(0, 2).withColumnRenamed("id", "doc_id")).collect()
