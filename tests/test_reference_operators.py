@@ -596,3 +596,30 @@ def test_folding_without_python(spark):
     assert [(r.f, r.n) for r in got if r.t is None] == [(None, None)]
     plain = df.filter("k between 0 and 500").select(F.count_if(F.col("t").rlike(T._folding()[0])).alias("n")).first().n
     assert 0 < plain < 30
+
+
+def against_sql(spark, folder, name, **tables):
+    """Rows of a query that only Spark or only SQL has, over these tables (pandas frames)."""
+    from collections import Counter
+
+    import duckdb
+
+    from tidemark.plans import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    for table, frame in tables.items():
+        frame.to_parquet(folder / f"{table}.parquet")
+        con.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
+    df = QUERIES[name](spark, str(folder))
+    got, want = Counter(map(tuple, df.collect())), Counter(con.execute(f"select {', '.join(df.columns)} from ({ORACLES[name]})").fetchall())
+    return got - want, want - got
+
+
+@pytest.mark.parametrize("name", ["evl_08_borda", "evl_10_borda_three", "evl_11_indistinguishable", "evl_20_against_base"])
+def test_runs_with_halves_and_touching_intervals(spark, tmp_path, name):
+    """Balances whose share of 10 000 has a 5 in its fourth place, and runs exactly 0.1 apart."""
+    import pandas as pd
+
+    rng = random.Random(3)
+    suppliers = pd.DataFrame({"s_suppkey": range(1, 801), "s_acctbal": [rng.randrange(-200, 2001) * 5.0 for _ in range(800)]})
+    assert against_sql(spark, tmp_path, name, supplier=suppliers) == ({}, {})
