@@ -623,3 +623,10 @@ def test_runs_with_halves_and_touching_intervals(spark, tmp_path, name):
     rng = random.Random(3)
     suppliers = pd.DataFrame({"s_suppkey": range(1, 801), "s_acctbal": [rng.randrange(-200, 2001) * 5.0 for _ in range(800)]})
     assert against_sql(spark, tmp_path, name, supplier=suppliers) == ({}, {})
+
+
+def test_windows_of_texts_without_words(spark, tmp_path):
+    import pandas as pd
+
+    docs = pd.DataFrame({"doc_id": range(5), "text": ["", " \n ", None, "one", "w " * 130]})
+    assert against_sql(spark, tmp_path, "chk_06_windows", documents=docs) == ({}, {})
