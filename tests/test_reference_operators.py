@@ -630,3 +630,23 @@ def test_windows_of_texts_without_words(spark, tmp_path):
 
     docs = pd.DataFrame({"doc_id": range(5), "text": ["", " \n ", None, "one", "w " * 130]})
     assert against_sql(spark, tmp_path, "chk_06_windows", documents=docs) == ({}, {})
+
+
+def test_search_in_pieces(spark, monkeypatch):
+    """No more similarities are held at once than CELLS, or k rows; ties by id over all pieces."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    v, q = rng.integers(-2, 3, size=(500, 3)).astype(float), rng.integers(-2, 3, size=(7, 3)).astype(float)
+    ids, held, matrix = rng.permutation(500), [], search._matrix
+    monkeypatch.setattr(search, "CELLS", 70)
+    monkeypatch.setattr(search, "_matrix", lambda c: held.append(len(c)) or matrix(c))
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[k : k + 123]), pa.array(v[k : k + 123].tolist(), pa.list_(pa.float64()))], ["c", "v"]) for k in range(0, 500, 123)]
+    (out,) = search._searcher(np.arange(7), q, 6)(iter(batches))
+    got = {}
+    for a, b, s in zip(*(out.column(k).to_pylist() for k in range(3))):
+        got.setdefault(a, []).append((-s, b))
+    sims = v @ q.T
+    assert got == {k: sorted((-sims[r, k], ids[r]) for r in range(500))[:6] for k in range(7)}
+    assert max(held) == 10
