@@ -650,3 +650,20 @@ def test_search_in_pieces(spark, monkeypatch):
     sims = v @ q.T
     assert got == {k: sorted((-sims[r, k], ids[r]) for r in range(500))[:6] for k in range(7)}
     assert max(held) == 10
+
+
+def test_components_of_alike_keys(spark, monkeypatch):
+    """The components of all pairs, from at most a row per key and two blocks."""
+    import numpy as np
+
+    monkeypatch.setattr(search, "FOREST_BLOCK", 16)
+    monkeypatch.setattr(search, "CELLS", 20)
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(90, 4))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    ids = [int(k) for k in rng.permutation(1000)[:90]]
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in zip(ids, v)], "chunk_id long, vector array<double>")
+    for least in (0.85, 0.95, 0.99):
+        want = {(r.clave, r.id) for r in graph.merge_similar(graph.similar_keys(df, least, None)).collect()}
+        assert {(r.clave, r.id) for r in graph.merge_alike(df, least).collect()} == want
+    assert search.similar_forest(df, 0.85).count() < graph.similar_keys(df, 0.85, None).count()
