@@ -667,3 +667,16 @@ def test_components_of_alike_keys(spark, monkeypatch):
         want = {(r.clave, r.id) for r in graph.merge_similar(graph.similar_keys(df, least, None)).collect()}
         assert {(r.clave, r.id) for r in graph.merge_alike(df, least).collect()} == want
     assert search.similar_forest(df, 0.85).count() < graph.similar_keys(df, 0.85, None).count()
+
+
+def test_texts_in_slices(monkeypatch):
+    """No slice holds more than SLICE bytes besides its first text or list, and all rows come in order."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(T, "SLICE", 10)
+    lists = pa.array([["abc", "defg"], None, [], ["h" * 40], ["ij"], ["kl", None]], pa.list_(pa.string()))
+    for part in (lists, lists[1:5], lists[:0]):
+        got = [x.to_pylist() for x in T.list_slices(part)]
+        assert sum(got, []) == part.to_pylist()
+        assert all(sum(len(t or "") for u in x[1:] for t in u or []) <= 10 for x in got)
+    assert len(list(T.list_slices(lists))) == 3
