@@ -680,3 +680,21 @@ def test_texts_in_slices(monkeypatch):
         assert sum(got, []) == part.to_pylist()
         assert all(sum(len(t or "") for u in x[1:] for t in u or []) <= 10 for x in got)
     assert len(list(T.list_slices(lists))) == 3
+
+
+def test_keys_of_plain_and_other_names(spark):
+    """A key is the same whether or not its name is its own key, and entities count mentions, documents and forms."""
+    names = ["the part 1", "The  Part 1", " part 1", "part 1 ", "part-1", "the", "the ", "The, Part 1", "párt 1", "la ½ parte", "", "a_b c", "part\t1", "ﬁn 1"]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "k long, t string")
+    got = {r.k: r.v for r in df.select("k", T.name_key(F.col("t")).alias("v")).collect()}
+    assert [got[k] for k in range(len(names))] == ["part 1", "part 1", "part 1", "part 1", "part 1", "the", "the", "part 1", "part 1", "1 2 parte", "", "a_b c", "part 1", "fin 1"]
+    rows = [(k % 4, k % 3, n, "x" if k % 5 else "y") for k, n in enumerate(names * 2)]
+    entities, ids = graph.canonical(spark.createDataFrame(rows, "chunk_id long, doc_id long, texto string, tipo string"))
+    want = {}
+    for _, doc, name, kind in rows:
+        if key := got[names.index(name)]:
+            want.setdefault(key, []).append((doc, name, kind))
+    most = lambda xs: min(set(xs), key=lambda x: (-xs.count(x), x))
+    found = {r.id: (r.nombre, r.tipo, list(r.alias), r.df) for r in entities.collect()}
+    assert found == {k: (most([n for _, n, _ in v]), most([t for *_, t in v]), sorted({n for _, n, _ in v}), len({d for d, *_ in v})) for k, v in want.items()}
+    assert sorted((r.clave, r.id) for r in ids.collect()) == sorted((k, k) for k in want)
